@@ -1,0 +1,7 @@
+"""Streaming.
+
+The surveyed workload has no streaming source, sink, watermark or state: every job is a batch over
+whole tables. Nothing is built here on purpose. The batch operators are plain DataFrame functions, so
+they already apply unchanged to a ``readStream`` frame where the operation is supported by Structured
+Streaming (filters, projections, per-batch writes through ``foreachBatch``).
+"""
