@@ -30,6 +30,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark import functions as PF
 
@@ -115,26 +116,29 @@ def lagged_change(
         main = main.withColumn(_SEG, F.date_trunc(segment, t))
         seg_cols = [_SEG]
 
-    last_row = F.max_by(F.struct(*[F.col(m) for m in measures]), F.struct(*[F.col(o) for o in order]))
+    # Values of the last row (largest order) of a group, one max_by per measure so unused measures are
+    # pruned, plus a row count that marks the group as non-empty.
+    order_key = _order_key(df, order)
+    last_values = [F.max_by(F.col(m), order_key).alias(m) for m in measures] + [F.count(F.lit(1)).alias(_LAST)]
     # One row per entity: the last row before the output segments (null dates sort first, so they only
     # win when the entity has nothing else there).
-    history = df.filter(history_cond).groupBy(*keys).agg(last_row.alias(_LAST))
+    history = df.filter(history_cond).groupBy(*keys).agg(*last_values)
 
     if segment:
         seg_type = main.schema[_SEG].dataType
         history = history.withColumn(_SEG, F.lit(None).cast(seg_type))
-        seg_last = main.groupBy(*keys, _SEG).agg(last_row.alias(_LAST))
+        seg_last = main.groupBy(*keys, _SEG).agg(*last_values)
         # Summary of at most (entities x segments) rows: the carrier of a segment is the last row of the
         # previous non-empty segment, the history row sorting before all of them.
-        prev = F.lag(_LAST).over(Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_first()))
+        w_seg = Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_first())
         carriers = (
             history.unionByName(seg_last)
-            .withColumn("__prev", prev)
-            .filter(F.col(_SEG).isNotNull() & F.col("__prev").isNotNull())
-            .select(*keys, _SEG, "__prev.*")
+            .withColumns({c: F.lag(c).over(w_seg) for c in [*measures, _LAST]})
+            .filter(F.col(_SEG).isNotNull() & F.col(_LAST).isNotNull())
+            .select(*keys, _SEG, *measures)
         )
     else:
-        carriers = history.select(*keys, f"{_LAST}.*")
+        carriers = history.select(*keys, *measures)
 
     body = main.withColumn(_KIND, F.lit(1))
     carriers = carriers.withColumn(_KIND, F.lit(0))
@@ -152,6 +156,28 @@ def lagged_change(
     return out.drop(_KIND, *seg_cols)
 
 
+def _order_key(df: DataFrame, order: Sequence[str]) -> Column:
+    """A single orderable value for ``max_by``: the order column itself with nulls mapped below every
+    value (they sort first), which keeps the aggregation a hash aggregation; a struct for several columns.
+    """
+    if len(order) == 1:
+        dtype = df.schema[order[0]].dataType
+        lowest = _LOWEST.get(type(dtype))
+        if lowest is not None:
+            return F.coalesce(F.col(order[0]), F.lit(lowest).cast(dtype))
+    return F.struct(*[F.col(o) for o in order])
+
+
+_LOWEST = {
+    T.DateType: "0001-01-01",
+    T.TimestampType: "0001-01-01 00:00:00",
+    T.TimestampNTZType: "0001-01-01 00:00:00",
+    T.IntegerType: -(2**31),
+    T.LongType: -(2**63),
+    T.DoubleType: float("-inf"),
+}
+
+
 def assert_unique_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """(keys, order) pairs that occur more than once -- empty when the previous row is well defined."""
     return df.groupBy(*keys, *order).count().filter(F.col("count") > 1)

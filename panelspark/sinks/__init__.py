@@ -12,6 +12,12 @@ from panelspark.sources import FILE_FORMATS, table_path
 
 MODES = {"overwrite", "append", "error", "errorifexists", "ignore"}
 
+# Text formats keep microseconds (Spark's default patterns stop at milliseconds).
+TIMESTAMP_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def write_table(
     df: DataFrame,
@@ -43,7 +49,7 @@ def write_table(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+    df.write.mode(mode).options(**TIMESTAMP_FORMATS).option("header", str(header).lower()).csv(path)
 
 
 def _frame_as_json_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -68,5 +74,6 @@ def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> Non
     per partition, streaming over Arrow batches, so no partition is held in memory. Read back with
     :func:`panelspark.sources.read_json_records`.
     """
-    objects = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("json"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    objects = df.select(F.to_json(row, TIMESTAMP_FORMATS).alias("json"))
     objects.mapInPandas(_frame_as_json_array, "value string").write.mode(mode).text(path)

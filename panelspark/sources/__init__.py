@@ -50,7 +50,7 @@ def read_json_records(spark: SparkSession, path: str | list[str], schema: T.Stru
     Files are parsed whole and streamed record by record, one task per file. Keep files to a bounded
     size (the writer in :mod:`panelspark.sinks` makes one per output partition).
     """
-    reader = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE")
+    reader = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE").options(**TIMESTAMP_READ_FORMATS)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -80,6 +80,13 @@ def read_table(
 
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro", "text"}
 
+# Optional fraction of up to six digits: reads what the writers in panelspark.sinks produce, and the
+# plain ISO forms of other exporters.
+TIMESTAMP_READ_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]",
+}
+
 
 def table_path(root: str, database: str, table: str) -> str:
     return f"{root.rstrip('/')}/{database}/{table}"
