@@ -99,6 +99,9 @@ def lagged_change(
     if start_day is not None:
         lower = segment_floor(start_day, segment) if segment else start_day
 
+    # Null order values sort first. Without any bound they are output like every row; with a bound
+    # the range test drops them, so they only feed the carriers.
+    keep_nulls = start_day is None and end_day is None
     main_cond = t.isNotNull()
     if lower is not None:
         main_cond = main_cond & PF.on_or_after(time_col, lower, dtype)
@@ -109,7 +112,7 @@ def lagged_change(
         history_cond = history_cond | PF.before(time_col, lower, dtype)
 
     seg_cols: list[str] = []
-    main = df.filter(main_cond)
+    main = df if keep_nulls else df.filter(main_cond)
     if segment:
         if segment not in SEGMENT_UNITS:
             raise ValueError(f"segment must be one of {SEGMENT_UNITS}, got {segment!r}")
@@ -122,27 +125,28 @@ def lagged_change(
     last_values = [F.max_by(F.col(m), order_key).alias(m) for m in measures] + [F.count(F.lit(1)).alias(_LAST)]
     # One row per entity: the last row before the output segments (null dates sort first, so they only
     # win when the entity has nothing else there).
-    history = df.filter(history_cond).groupBy(*keys).agg(*last_values)
+    history = None if keep_nulls else df.filter(history_cond).groupBy(*keys).agg(*last_values)
 
     if segment:
         seg_type = main.schema[_SEG].dataType
-        history = history.withColumn(_SEG, F.lit(None).cast(seg_type))
-        seg_last = main.groupBy(*keys, _SEG).agg(*last_values)
+        summary = main.groupBy(*keys, _SEG).agg(*last_values)
+        if history is not None:
+            summary = history.withColumn(_SEG, F.lit(None).cast(seg_type)).unionByName(summary)
         # Summary of at most (entities x segments) rows: the carrier of a segment is the last row of the
-        # previous non-empty segment, the history row sorting before all of them.
+        # previous non-empty segment; the history row (null segment) sorts before all of them. A null
+        # segment never receives a carrier: it is the entity's first.
         w_seg = Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_first())
         carriers = (
-            history.unionByName(seg_last)
-            .withColumns({c: F.lag(c).over(w_seg) for c in [*measures, _LAST]})
+            summary.withColumns({c: F.lag(c).over(w_seg) for c in [*measures, _LAST]})
             .filter(F.col(_SEG).isNotNull() & F.col(_LAST).isNotNull())
             .select(*keys, _SEG, *measures)
         )
     else:
-        carriers = history.select(*keys, *measures)
+        carriers = history.select(*keys, *measures) if history is not None else None
 
-    body = main.withColumn(_KIND, F.lit(1))
-    carriers = carriers.withColumn(_KIND, F.lit(0))
-    stacked = body.unionByName(carriers, allowMissingColumns=True)
+    stacked = main.withColumn(_KIND, F.lit(1))
+    if carriers is not None:
+        stacked = stacked.unionByName(carriers.withColumn(_KIND, F.lit(0)), allowMissingColumns=True)
 
     w = Window.partitionBy(*keys, *seg_cols).orderBy(F.col(_KIND), *[F.col(o).asc_nulls_first() for o in order])
     is_first = F.lag(_KIND).over(w).isNull()

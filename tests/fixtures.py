@@ -1,0 +1,74 @@
+"""Hand-written fixture rows (see FIXTURES.md). Expected results are worked out in the tests."""
+
+import datetime as dt
+
+from panelspark import schemas
+
+D = dt.date
+
+
+def county_rows():
+    # date, geoid, county, state, cases, cases_avg, cases_avg_per_100k, deaths, deaths_avg, deaths_avg_per_100k
+    return [
+        # USA-1: first row inside the range 2020-03-30..2020-04-15
+        (D(2020, 4, 2), "USA-1", "Alpha", "Maine", 5, 1.5, 0.25, 0, 0.0, 0.0),
+        (D(2020, 4, 3), "USA-1", "Alpha", "Maine", 7, 2.25, 0.3751, 1, 0.1, 0.01),
+        (D(2020, 4, 4), "USA-1", "Alpha", "Maine", 9, 3.0, 0.5, 1, 0.2, 0.02),
+        # USA-2: starts before the range, a missing day (04-01), a null measure, a negative correction,
+        # values on both bounds and one after the range
+        (D(2020, 3, 28), "USA-2", "Beta", "Ohio", 10, 10.0, 1.0, 1, 1.0, 0.1),
+        (D(2020, 3, 29), "USA-2", "Beta", "Ohio", 12, 11.1111, 1.2, 1, 1.0, 0.1),
+        (D(2020, 3, 30), "USA-2", "Beta", "Ohio", 14, 12.5, 1.5, 2, 1.5, 0.15),
+        (D(2020, 3, 31), "USA-2", "Beta", "Ohio", 16, None, 1.75, 2, 1.5, 0.15),
+        (D(2020, 4, 2), "USA-2", "Beta", "Ohio", -3, 13.0, 1.7, 2, 1.5, 0.15),
+        (D(2020, 4, 15), "USA-2", "Beta", "Ohio", 20, 15.0, 2.0, 3, 2.0, 0.2),
+        (D(2020, 4, 16), "USA-2", "Beta", "Ohio", 21, 16.0, 2.1, 3, 2.0, 0.2),
+        # USA-3: a null date (sorts first, so it is the entity's first row)
+        (None, "USA-3", "Gamma", "Ohio", 1, 4.0, 0.4, 0, 0.0, 0.0),
+        (D(2020, 4, 1), "USA-3", "Gamma", "Ohio", 2, 5.0, 0.5, 0, 0.0, 0.0),
+        # Maine: two months with the same total in 2020, and a second year
+        (D(2020, 5, 10), "USA-1", "Alpha", "Maine", 21, 3.0, 0.5, 2, 0.2, 0.02),
+        (D(2021, 1, 5), "USA-1", "Alpha", "Maine", 4, 1.0, 0.1, 0, 0.0, 0.0),
+        (D(2021, 2, 5), "USA-1", "Alpha", "Maine", 6, 1.0, 0.1, 3, 0.0, 0.0),
+    ]
+
+
+def county(spark):
+    return spark.createDataFrame(county_rows(), schemas.COUNTY_DAILY)
+
+
+WEEKLY_COLUMNS = "country string, region string, region_code string, start_date date, year int, week int, population long, covid_deaths double, covid_deaths_per_100k double"
+
+
+def weekly_rows():
+    """Two years; quarter 1 of 2020 has its deadliest month first (January)."""
+    r = []
+
+    def add(country, day, deaths, rate, year=None, code="1"):
+        r.append((country, "R", code, day, year or day.year, day.isocalendar()[1], 1000, deaths, rate))
+
+    # 2020 Q1: January is the deadliest month; March is the last month with data
+    add("A", D(2020, 1, 6), 100.0, 1.0)
+    add("A", D(2020, 1, 13), 90.0, 2.0)
+    add("B", D(2020, 1, 20), 50.0, None)  # null rate
+    add("A", D(2020, 2, 3), 10.0, 1.5)
+    add("B", D(2020, 2, 10), 0.0, 0.5)  # zero: dropped
+    add("C", D(2020, 3, 2), 5.0, 0.25)
+    add("A", D(2020, 3, 9), -4.0, 0.1)  # negative: dropped
+    add("B", D(2020, 3, 16), None, 0.3)  # null: dropped
+    add("B", D(2020, 3, 23), 6.0, 0.75)
+    # 2020 Q2: June has no rows (empty last month); May is the last month with data
+    add("A", D(2020, 4, 6), 30.0, 3.0)
+    add("C", D(2020, 5, 4), 20.0, 2.0)
+    add("D", D(2020, 5, 11), 20.0, 1.0, code=None)  # null region code
+    # 2021 Q1: a tie at rank 1 in the chosen month and a delivered year that differs from the date's
+    add("A", D(2021, 1, 4), 7.0, 0.7, year=2020)
+    add("B", D(2021, 1, 4), 7.0, 0.7)
+    add("A", D(2021, 2, 1), 1.0, 0.1)
+    add("B", D(2021, 2, 8), 1.0, 0.1)
+    add("C", D(2021, 2, 15), 3.0, 0.3)
+    return r
+
+
+def weekly(spark):
+    return spark.createDataFrame(weekly_rows(), WEEKLY_COLUMNS)
