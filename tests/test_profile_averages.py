@@ -1,0 +1,48 @@
+from pyspark.sql import functions as F
+
+from panelspark.operators import averages, profile
+from tests.fixtures import county, weekly
+
+
+def test_distinct_counts_count_null_once(spark):
+    df = weekly(spark)
+    got = profile.distinct_counts(df, ["country", "region", "region_code", "week"]).first().asDict()
+    brute = {f"n_{c}": df.select(c).distinct().count() for c in ["country", "region", "region_code", "week"]}
+    assert got == brute
+    assert got["n_region_code"] == 2  # "1" and null
+    assert df.select(F.count_distinct("region_code")).first()[0] == 1
+
+
+def test_distinct_counts_empty_input(spark):
+    df = weekly(spark).filter(F.lit(False))
+    assert profile.distinct_counts(df, {"countries": "country"}).first().countries == 0
+
+
+def test_distinct_values_include_null(spark):
+    vals = {r.region_code for r in profile.distinct_values(weekly(spark), "region_code").collect()}
+    assert vals == {"1", None}
+    years = {r.year for r in profile.distinct_values(county(spark), F.year("date"), "year").collect()}
+    assert years == {2020, 2021, None}
+
+
+def test_rows_for_key_pushes_filter(spark, tmp_root):
+    path = f"{tmp_root}/county"
+    county(spark).write.parquet(path)
+    df = profile.rows_for_key(spark.read.parquet(path), "geoid", "USA-2")
+    assert df.count() == 7
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(geoid,USA-2)" in plan
+
+
+def test_average_numeric_skips_non_numeric(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, 2, "x"), ("b", 3.0, None, "y")], "_id string, load_time double, n int, note string"
+    )
+    row = averages.average_numeric(df).first().asDict()
+    assert row == {"load_time": 2.0, "n": 2.0}
+
+
+def test_average_numeric_empty_and_none(spark):
+    df = spark.createDataFrame([], "t double, s string")
+    assert averages.average_numeric(df).first().t is None
+    assert averages.average_numeric(df.select("s")) is None
