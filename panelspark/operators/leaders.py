@@ -73,7 +73,7 @@ def entity_months(
 ) -> DataFrame:
     """One row per (entity, year, month): measure sum, rate sum and count of non-null rates.
 
-    Sums stay in scaled-integer units when a scale is given (exact, order-free); see :func:`_finish`.
+    Sums stay in scaled-integer units when a scale is given (exact, order-free); see :func:`finish`.
     """
     return prepared.groupBy(entity, YEAR, MONTH).agg(
         _sum(measure, measure_scale).alias("__m"),
@@ -88,7 +88,8 @@ def running_totals(months: DataFrame, entity: str) -> DataFrame:
     return months.withColumns({c: F.sum(c).over(w) for c in ("__m", "__r", "__n")})
 
 
-def _finish(df: DataFrame, names: LeaderNames, measure_scale, rate_scale, digits: int = 4) -> DataFrame:
+def finish(df: DataFrame, names: LeaderNames, measure_scale, rate_scale, digits: int = 4) -> DataFrame:
+    """Name the entity total and the rounded mean of the non-null rates (null when there is none)."""
     avg = F.try_divide(PF.unscale("__r", rate_scale), F.col("__n").cast("double"))
     return df.withColumns(
         {
@@ -98,13 +99,13 @@ def _finish(df: DataFrame, names: LeaderNames, measure_scale, rate_scale, digits
     )
 
 
-def period_months(ent_months: DataFrame, cumulative: bool = True) -> DataFrame:
+def period_months(prepared: DataFrame, measure: str, measure_scale=None, cumulative: bool = True) -> DataFrame:
     """All-entity total per (year, month) -- at most 12 rows per year -- year-to-date when cumulative.
 
-    Summed from the (entity, year, month) table, so the source is scanned and shuffled once; both
-    branches read the same exchange.
+    Aggregated straight from the rows: the partial aggregate leaves at most one row per (year, month) in
+    each map task, so its shuffle is negligible next to the entity-month one.
     """
-    months = ent_months.groupBy(YEAR, MONTH).agg(F.sum("__m").alias("__p"))
+    months = prepared.groupBy(YEAR, MONTH).agg(_sum(measure, measure_scale).alias("__p"))
     if cumulative:
         w = Window.partitionBy(YEAR).orderBy(MONTH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         months = months.withColumn("__p", F.sum("__p").over(w))
@@ -142,8 +143,8 @@ def quarter_peak(
     cumulative = mode == "cumulative"
     monthly = entity_months(prepared, entity, measure, rate, measure_scale, rate_scale)
     ent = running_totals(monthly, entity) if cumulative else monthly
-    ent = _finish(ent, names, measure_scale, rate_scale)
-    months = chosen_months(period_months(monthly, cumulative), mode).select(
+    ent = finish(ent, names, measure_scale, rate_scale)
+    months = chosen_months(period_months(prepared, measure, measure_scale, cumulative), mode).select(
         YEAR, MONTH, F.col("__q").alias(names.quarter), PF.unscale("__p", measure_scale).alias(names.period_total)
     )
     # Bounded by construction: at most 12 rows per calendar year.

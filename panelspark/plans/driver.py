@@ -115,22 +115,26 @@ def sorted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- Q3: running totals and quarter leaders
 
 
-def _orders_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = driver_table(spark, sf_dir, "orders")
-    prepared = leaders.prepare(orders, "o_custkey", "o_orderdate", "o_totalprice", "o_totalprice")
+    return leaders.prepare(orders, "o_custkey", "o_orderdate", "o_totalprice", "o_totalprice")
+
+
+def _orders_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = _orders_prepared(spark, sf_dir)
     return leaders.entity_months(prepared, "o_custkey", "o_totalprice", "o_totalprice", 2, 2)
 
 
 def running_period_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year-to-date total of all orders through each month."""
-    months = leaders.period_months(_orders_months(spark, sf_dir), cumulative=True)
+    months = leaders.period_months(_orders_prepared(spark, sf_dir), "o_totalprice", 2, cumulative=True)
     return months.select("year", "month", PF.unscale("__p", 2).alias("period_total"))
 
 
 def running_entity_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year-to-date total and mean order price per customer and month."""
     ytd = leaders.running_totals(_orders_months(spark, sf_dir), "o_custkey")
-    ytd = leaders._finish(ytd, ORDERS_NAMES, 2, 2)
+    ytd = leaders.finish(ytd, ORDERS_NAMES, 2, 2)
     return ytd.select("o_custkey", "year", "month", "customer_total", "avg_price")
 
 
@@ -274,7 +278,8 @@ def _date(s: str) -> str:
     return dt.date.fromisoformat(s).isoformat()
 
 
-_NEXT = lambda s: (dt.date.fromisoformat(s) + dt.timedelta(days=1)).isoformat()
+def _next_day(s: str) -> str:
+    return (dt.date.fromisoformat(s) + dt.timedelta(days=1)).isoformat()
 
 # ---------------------------------------------------------------- oracle SQL (DuckDB dialect)
 
@@ -355,7 +360,7 @@ SELECT user_id, ts, event_id, value, value_diff FROM (
     FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST)
 )
-WHERE ts >= TIMESTAMP '{_date(EVENTS_RANGE[0])} 00:00:00' AND ts < TIMESTAMP '{_NEXT(EVENTS_RANGE[1])} 00:00:00'
+WHERE ts >= TIMESTAMP '{_date(EVENTS_RANGE[0])} 00:00:00' AND ts < TIMESTAMP '{_next_day(EVENTS_RANGE[1])} 00:00:00'
 """,
     "lagged_change_panel": f"""
 WITH daily AS (
