@@ -8,8 +8,9 @@ write theirs):
 
 * ``q1_daily_change``   -- day-on-day change per supplier in a date range (one output);
 * ``q2_peak_month``     -- monthly totals and the peak month per supplier and year, for two measures
-  (two outputs sharing one aggregation);
-* ``q3_quarter_leaders`` -- quarter rows and the top-5 of each quarter (two outputs).
+  (two outputs; the small monthly table is checkpointed once, as the job does);
+* ``q3_quarter_leaders`` -- quarter rows and the top-5 of each quarter (two outputs from one
+  checkpointed quarter table).
 
 Every other registered query is timed too and listed under ``queries``. A query runs fully through the
 ``noop`` sink (all partitions computed, nothing collected to the driver). Each timing is the median of
@@ -52,21 +53,30 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     startup = time.perf_counter() - t0
 
+    from panelspark import session
+    from panelspark.operators import leaders, periods
     from panelspark.plans import driver
 
+    session.scratch_root(spark)  # checkpoint folder: spark.checkpoint.dir, or a private one when unset
+
     def run(df) -> None:
         df.write.format("noop").mode("overwrite").save()
 
+    def q2() -> None:
+        # As the job runs it: the small monthly table is checkpointed once and feeds both outputs.
+        totals = driver.monthly_totals(spark, sf_dir).checkpoint(eager=True)
+        run(periods.peak_period(totals, ["l_suppkey", "year"], "total_quantity"))
+        run(periods.peak_period(totals, ["l_suppkey", "year"], "total_price"))
+
+    def q3() -> None:
+        rows = driver.quarter_peak_rows(spark, sf_dir).checkpoint(eager=True)
+        run(rows)
+        run(leaders.top_n(rows, ["year", "trimester"], "customer_total", driver.TOP_N))
+
     jobs = {
         "q1_daily_change": lambda: run(driver.lagged_change_panel(spark, sf_dir)),
-        "q2_peak_month": lambda: (
-            run(driver.peak_month_quantity(spark, sf_dir)),
-            run(driver.peak_month_price(spark, sf_dir)),
-        ),
-        "q3_quarter_leaders": lambda: (
-            run(driver.quarter_peak_rows(spark, sf_dir)),
-            run(driver.quarter_top_customers(spark, sf_dir)),
-        ),
+        "q2_peak_month": q2,
+        "q3_quarter_leaders": q3,
     }
     for name, fn in driver.QUERIES.items():
         jobs.setdefault(name, (lambda f=fn: run(f(spark, sf_dir))))

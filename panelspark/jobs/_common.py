@@ -20,6 +20,7 @@ def parser(description: str) -> argparse.ArgumentParser:
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--show", type=int, default=20, help="rows to preview on the console (0: none)")
     p.add_argument("--timings-db", default=None, help="append stage timings to <db>.Execution_Times")
+    p.add_argument("--partition-by", default=None, help="comma-separated columns to lay written tables out by")
     return p
 
 
@@ -38,7 +39,10 @@ def output_root(spark: SparkSession, args) -> str:
 
 
 def write(df: DataFrame, spark: SparkSession, args, database: str, table: str, mode: str | None = None) -> None:
-    sinks.write_table(df, output_root(spark, args), database, table, mode=mode or args.mode, fmt=args.format)
+    parts = [c for c in (getattr(args, "partition_by", None) or "").split(",") if c and c in df.columns]
+    sinks.write_table(
+        df, output_root(spark, args), database, table, mode=mode or args.mode, fmt=args.format, partition_by=parts
+    )
 
 
 class Timed:
@@ -67,7 +71,9 @@ def shared(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def start(app: str) -> SparkSession:
+def start(app: str, inputs=None) -> SparkSession:
     spark = session.get_spark(app)
     session.scratch_root(spark)  # makes sure a checkpoint folder is set
+    if inputs:
+        session.size_shuffle(spark, inputs)
     return spark

@@ -17,7 +17,7 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
     timed = C.Timed(args)
     with timed.stage("load"):
-        spark = C.start("Query1_daily_change")
+        spark = C.start("Query1_daily_change", [args.input])
         county = C.load(spark, args, schemas.COUNTY_DAILY)
     with timed.stage("process"):
         result = Q.daily_change(county, args.start, args.end, args.segment)

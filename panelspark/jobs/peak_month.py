@@ -13,7 +13,7 @@ def main(argv=None) -> int:
     args = C.parser(__doc__).parse_args(argv)
     timed = C.Timed(args)
     with timed.stage("load"):
-        spark = C.start("Query2_peak_month")
+        spark = C.start("Query2_peak_month", [args.input])
         county = C.load(spark, args, schemas.COUNTY_DAILY)
     with timed.stage("process"):
         totals = Q.state_monthly_totals(county)

@@ -25,7 +25,7 @@ def main(argv=None) -> int:
     p.add_argument("--key", default=None, help="show the rows of this key (county table)")
     args = p.parse_args(argv)
     schema, copy_name, listed, counted = PROFILES[args.table]
-    spark = C.start(f"profile_{args.table}")
+    spark = C.start(f"profile_{args.table}", [args.input])
     df = C.load(spark, args, schema)
     C.write(df, spark, args, "Dataset", copy_name)
     df.printSchema()

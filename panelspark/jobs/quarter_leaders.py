@@ -21,7 +21,7 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
     timed = C.Timed(args)
     with timed.stage("load"):
-        spark = C.start("Query3_quarter_leaders")
+        spark = C.start("Query3_quarter_leaders", [args.input])
         weekly = C.load(spark, args, schemas.COUNTRY_WEEKLY)
     with timed.stage("process"):
         rows, _ = Q.quarter_outputs(weekly, args.top, args.quarter_mode, args.rate_scale)

@@ -128,7 +128,7 @@ def lagged_change(
     history = None if keep_nulls else df.filter(history_cond).groupBy(*keys).agg(*last_values)
 
     if segment:
-        seg_type = main.schema[_SEG].dataType
+        seg_type = T.TimestampType()  # the type date_trunc returns
         summary = main.groupBy(*keys, _SEG).agg(*last_values)
         if history is not None:
             summary = history.withColumn(_SEG, F.lit(None).cast(seg_type)).unionByName(summary)

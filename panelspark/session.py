@@ -56,6 +56,33 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([scratch_root(spark), "panelspark", *parts, uuid.uuid4().hex])
 
 
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files below ``paths`` (file-system metadata only; nothing is read)."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffle(spark: SparkSession, paths, bytes_per_partition: int = 256 << 20, minimum: int = 200) -> int | None:
+    """Start adaptive execution from ``input size / bytes_per_partition`` shuffle partitions.
+
+    AQE coalesces small partitions afterwards, so erring high is cheap while erring low makes every
+    reducer spill. Nothing is changed when the submitter set ``spark.sql.shuffle.partitions`` or the
+    initial partition number. Returns the number set, or None.
+    """
+    conf = spark.sparkContext.getConf()
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    if any(conf.contains(k) for k in keys) or any(spark.conf.get(k, None) not in (None, "200") for k in keys[1:]):
+        return None
+    n = max(minimum, -(-input_bytes(spark, paths) // bytes_per_partition))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def env_int(name: str, default: int) -> int:
     value = os.environ.get(name)
     return int(value) if value else default

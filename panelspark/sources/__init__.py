@@ -92,6 +92,19 @@ def table_path(root: str, database: str, table: str) -> str:
     return f"{root.rstrip('/')}/{database}/{table}"
 
 
+_KNOWN_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the generated benchmark tables, ``<sf_dir>/<name>.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the generated benchmark tables, ``<sf_dir>/<name>.parquet``.
+
+    The tables are immutable, so the schema read from the footers the first time is reused: later reads
+    skip the schema-inference job.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _KNOWN_SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _KNOWN_SCHEMAS[path] = df.schema
+    return df

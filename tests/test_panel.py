@@ -98,3 +98,19 @@ def test_duplicate_order_check(spark):
     df = county(spark)
     assert panel.assert_unique_order(df, ["geoid"], ["date"]).count() == 0
     assert panel.assert_unique_order(df.union(df.limit(1)), ["geoid"], ["date"]).count() == 1
+
+
+def test_plan_one_window_pruned_scan_pushed_bounds(spark, tmp_root):
+    path = f"{tmp_root}/county_parquet"
+    county(spark).write.parquet(path)
+    df = spark.read.parquet(path)
+    out = panel.lagged_change(df, ["geoid"], ["date"], MEASURES, 3, "2020-03-30", "2020-04-15").select(*OUT)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1
+    # deaths differences are dropped from the plan; unused columns never leave the scan
+    assert "deaths_avg" not in plan.split("Window [")[1].split("\n")[0]
+    for line in plan.splitlines():
+        if "ReadSchema" in line:
+            schema = line.split("ReadSchema:")[1]
+            assert "county" not in schema and "state" not in schema and "deaths" not in schema
+    assert "GreaterThanOrEqual(date,2020-03-30)" in plan and "LessThanOrEqual(date,2020-04-15)" in plan
