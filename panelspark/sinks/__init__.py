@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,21 +51,6 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).options(**TIMESTAMP_FORMATS).option("header", str(header).lower()).csv(path)
 
 
-def _frame_as_json_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Turn one partition's JSON objects into the lines of one JSON array: ``[{..}``, ``,{..}``, ``]``."""
-    started = False
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        prefix = pd.Series(",", index=pdf.index)
-        if not started:
-            prefix.iloc[0] = "["
-            started = True
-        yield pd.DataFrame({"value": prefix + pdf["json"]})
-    if started:
-        yield pd.DataFrame({"value": ["]"]})
-
-
 def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write ``df`` as exported JSON: one file per partition, each holding one array of objects.
 
@@ -74,6 +58,24 @@ def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> Non
     per partition, streaming over Arrow batches, so no partition is held in memory. Read back with
     :func:`panelspark.sources.read_json_records`.
     """
+    # Defined here, not at module level, so it is shipped to the Python workers by value and needs no
+    # import of this package there.
+    def frame_as_json_array(batches: Iterator) -> Iterator:
+        """One partition's JSON objects as the lines of one JSON array: ``[{..}``, ``,{..}``, ``]``."""
+        import pandas as pd
+
+        started = False
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            prefix = pd.Series(",", index=pdf.index)
+            if not started:
+                prefix.iloc[0] = "["
+                started = True
+            yield pd.DataFrame({"value": prefix + pdf["json"]})
+        if started:
+            yield pd.DataFrame({"value": ["]"]})
+
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     objects = df.select(F.to_json(row, TIMESTAMP_FORMATS).alias("json"))
-    objects.mapInPandas(_frame_as_json_array, "value string").write.mode(mode).text(path)
+    objects.mapInPandas(frame_as_json_array, "value string").write.mode(mode).text(path)

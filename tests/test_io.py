@@ -121,3 +121,20 @@ def test_stage_timer_and_log(spark, tmp_root):
     assert log.columns == ["Total_time", "load_time", "process_time", "write_time"]
     assert log.count() == 2
     assert averages.average_numeric(log).first().write_time == pytest.approx(rec["write_time"])
+
+
+def test_input_bytes_and_shuffle_sizing(spark):
+    from panelspark import session
+
+    size = session.input_bytes(spark, ["/root/testdata/sf0.001/lineitem.parquet"])
+    assert size == os.path.getsize("/root/testdata/sf0.001/lineitem.parquet")
+    # the test session sets spark.sql.shuffle.partitions explicitly: left alone
+    assert session.size_shuffle(spark, "/root/testdata/sf0.001/lineitem.parquet") is None
+
+
+def test_json_writer_needs_no_package_on_workers():
+    """The per-partition framing function is defined inside the writer, so it is pickled by value."""
+    import inspect
+
+    src = inspect.getsource(sinks.write_json_records)
+    assert "def frame_as_json_array" in src
