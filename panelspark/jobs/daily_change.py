@@ -14,13 +14,15 @@ def main(argv=None) -> int:
     p.add_argument("--start", default=Q.Q1_RANGE[0])
     p.add_argument("--end", default=Q.Q1_RANGE[1])
     p.add_argument("--segment", default=None, help="split each county's history by this calendar unit")
+    p.add_argument("--lookback-days", type=int, default=Q.Q1_LOOKBACK_DAYS,
+                   help="history window read for every county; older rows only for counties absent from it")
     args = p.parse_args(argv)
     timed = C.Timed(args)
     with timed.stage("load"):
         spark = C.start("Query1_daily_change", [args.input])
         county = C.load(spark, args, schemas.COUNTY_DAILY)
     with timed.stage("process"):
-        result = Q.daily_change(county, args.start, args.end, args.segment)
+        result = Q.daily_change(county, args.start, args.end, args.segment, args.lookback_days)
     with timed.stage("write"):
         C.write(result, spark, args, "Query1", "Average_Difference")
     timed.log(spark)

@@ -80,12 +80,17 @@ def lagged_change(
     end=None,
     segment: str | None = None,
     suffix: str = "_diff",
+    lookback_days: int | None = None,
 ) -> DataFrame:
     """Add ``<m><suffix>`` for every measure; keep rows in ``[start, end]`` (each bound optional).
 
     ``order[0]`` is the date/timestamp column the range and the segments refer to; further ``order``
     columns break ties (e.g. an event id). Rows with equal order values have no defined order, as with
     any window.
+
+    ``lookback_days`` (with ``start``) bounds the history most entities need: carriers come from the
+    ``lookback_days`` before the output segments, and only output entities without a row there are
+    looked up in the older history (see :func:`_bounded_history`). Results are the same either way.
     """
     keys, order, measures = list(keys), list(order), list(measures)
     time_col = order[0]
@@ -125,7 +130,12 @@ def lagged_change(
     last_values = [F.max_by(F.col(m), order_key).alias(m) for m in measures] + [F.count(F.lit(1)).alias(_LAST)]
     # One row per entity: the last row before the output segments (null dates sort first, so they only
     # win when the entity has nothing else there).
-    history = None if keep_nulls else df.filter(history_cond).groupBy(*keys).agg(*last_values)
+    if keep_nulls:
+        history = None
+    elif lookback_days is not None and lower is not None:
+        history = _bounded_history(df, main, keys, time_col, dtype, lower, lookback_days, last_values)
+    else:
+        history = df.filter(history_cond).groupBy(*keys).agg(*last_values)
 
     if segment:
         seg_type = T.TimestampType()  # the type date_trunc returns
@@ -160,6 +170,32 @@ def lagged_change(
     return out.drop(_KIND, *seg_cols)
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi/anti join on ``keys`` where null matches null (a null key is one entity, as in a window)."""
+    renamed = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)])
+    cond = [F.col(k).eqNullSafe(F.col(f"__rk{i}")) for i, k in enumerate(keys)]
+    return left.join(renamed, cond, how)
+
+
+def _bounded_history(df, main, keys, time_col, dtype, lower, lookback_days, last_values) -> DataFrame:
+    """Last row before ``lower`` per output entity, reading old history only for the entities that need it.
+
+    * recent: rows in ``[lower - lookback_days, lower)`` reduced to their last row per entity;
+    * needy: entities of the output rows with no recent row (a small key set in a dense panel);
+    * old: rows before the look-back window (and null dates) of the needy entities only.
+
+    The needy set is joined, not broadcast by hint: adaptive execution broadcasts it when its measured
+    size is small, keeps a shuffle join otherwise, and drops the old-history branch when it is empty.
+    """
+    recent_lo = lower - dt.timedelta(days=lookback_days)
+    t = F.col(time_col)
+    recent = df.filter(PF.on_or_after(time_col, recent_lo, dtype) & PF.before(time_col, lower, dtype))
+    recent_last = recent.groupBy(*keys).agg(*last_values)
+    needy = _null_safe_join(main.select(*keys).distinct(), recent_last.select(*keys), keys, "left_anti")
+    old = _null_safe_join(df.filter(t.isNull() | PF.before(time_col, recent_lo, dtype)), needy, keys, "left_semi")
+    return recent_last.unionByName(old.groupBy(*keys).agg(*last_values))
+
+
 def _order_key(df: DataFrame, order: Sequence[str]) -> Column:
     """A single orderable value for ``max_by``: the order column itself with nulls mapped below every
     value (they sort first), which keeps the aggregation a hash aggregation; a struct for several columns.

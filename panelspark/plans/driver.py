@@ -30,6 +30,9 @@ EVENTS_RANGE = ("2024-01-08", "2024-01-14")
 PANEL_RANGE = ("1998-03-30", "1998-04-15")
 TOP_N = 5
 KEY_SEGMENT = "MACHINERY"
+# History windows before the ranges; older rows are read only for entities absent from them.
+EVENTS_LOOKBACK_DAYS = 3
+PANEL_LOOKBACK_DAYS = 31
 
 ORDERS_NAMES = leaders.LeaderNames(
     quarter="trimester", entity_total="customer_total", entity_avg="avg_price", period_total="period_total"
@@ -46,7 +49,15 @@ def lagged_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = driver_table(spark, sf_dir, "events")
     out = panel.lagged_change(
-        ev, ["user_id"], ["ts", "event_id"], ["value"], digits=3, start=EVENTS_RANGE[0], end=EVENTS_RANGE[1], segment="day"
+        ev,
+        ["user_id"],
+        ["ts", "event_id"],
+        ["value"],
+        digits=3,
+        start=EVENTS_RANGE[0],
+        end=EVENTS_RANGE[1],
+        segment="day",
+        lookback_days=EVENTS_LOOKBACK_DAYS,
     )
     return out.select("user_id", "ts", "event_id", "value", "value_diff")
 
@@ -82,6 +93,7 @@ def lagged_change_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         digits=3,
         start=PANEL_RANGE[0],
         end=PANEL_RANGE[1],
+        lookback_days=PANEL_LOOKBACK_DAYS,
     )
     return out.select("ship_date", "l_suppkey", "quantity", "quantity_diff", "base_price_diff")
 

@@ -14,14 +14,23 @@ Q1_RANGE = ("2020-03-30", "2020-04-15")
 Q1_MEASURES = ["deaths_avg", "deaths_avg_per_100k", "cases_avg", "cases_avg_per_100k"]
 Q1_OUTPUT = ["date", "geoid", "cases_avg", "cases_avg_diff", "cases_avg_per_100k_diff"]
 Q3_TOP_N = 5
+Q1_LOOKBACK_DAYS = 31  # our choice: a daily panel almost always has a row in the month before the range
 
 
-def daily_change(county: DataFrame, start=Q1_RANGE[0], end=Q1_RANGE[1], segment: str | None = None) -> DataFrame:
+def daily_change(
+    county: DataFrame,
+    start=Q1_RANGE[0],
+    end=Q1_RANGE[1],
+    segment: str | None = None,
+    lookback_days: int | None = Q1_LOOKBACK_DAYS,
+) -> DataFrame:
     """Q1: day-on-day change of the four averages per county, shown for ``[start, end]``.
 
     The deaths differences are defined like the others but not selected; Catalyst removes them.
     """
-    out = panel.lagged_change(county, ["geoid"], ["date"], Q1_MEASURES, 3, start, end, segment=segment)
+    out = panel.lagged_change(
+        county, ["geoid"], ["date"], Q1_MEASURES, 3, start, end, segment=segment, lookback_days=lookback_days
+    )
     return out.select(*Q1_OUTPUT)
 
 

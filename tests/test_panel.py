@@ -53,10 +53,13 @@ def test_daily_change_hand_worked(spark):
 @pytest.mark.parametrize(
     "bounds", [("2020-03-30", "2020-04-15"), (None, None), ("2020-04-02", None), (None, "2020-04-02")]
 )
-def test_matches_plain_window_with_null_dates(spark, segment, bounds):
+@pytest.mark.parametrize("lookback", [None, 0, 1, 3])
+def test_matches_plain_window_with_null_dates(spark, segment, bounds, lookback):
     df = county(spark)
     expected = rows(plain_lagged(df, ["geoid"], ["date"], MEASURES, 3, *bounds), OUT)
-    got = rows(panel.lagged_change(df, ["geoid"], ["date"], MEASURES, 3, *bounds, segment=segment), OUT)
+    got = rows(
+        panel.lagged_change(df, ["geoid"], ["date"], MEASURES, 3, *bounds, segment=segment, lookback_days=lookback), OUT
+    )
     assert got == expected
 
 

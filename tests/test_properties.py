@@ -13,7 +13,7 @@ BASE = dt.date(2020, 1, 1)
 
 panel_rows = st.lists(
     st.tuples(
-        st.sampled_from(["a", "b", "c"]),  # entity; "a" tends to be hot
+        st.sampled_from(["a", "b", "c", None]),  # entity (null is an entity too); "a" tends to be hot
         st.one_of(st.none(), st.integers(0, 400)),  # day offset, or a null date
         st.one_of(st.none(), st.integers(-50, 50).map(lambda x: x / 4)),  # measure (quarters: exact in binary)
     ),
@@ -22,7 +22,7 @@ panel_rows = st.lists(
     unique_by=lambda r: (r[0], r[1]),  # one row per (entity, day) -- null days may repeat per entity only once
 )
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @SETTINGS
@@ -31,8 +31,9 @@ SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[Healt
     segment=st.sampled_from([None, "week", "month", "quarter"]),
     start=st.one_of(st.none(), st.integers(0, 400)),
     span=st.one_of(st.none(), st.integers(0, 200)),
+    lookback=st.one_of(st.none(), st.integers(0, 60)),
 )
-def test_lagged_change_equals_plain_window(spark, data, segment, start, span):
+def test_lagged_change_equals_plain_window(spark, data, segment, start, span, lookback):
     df = spark.createDataFrame(
         [(k, None if d is None else BASE + dt.timedelta(days=d), v) for k, d, v in data], "k string, d date, v double"
     )
@@ -40,7 +41,7 @@ def test_lagged_change_equals_plain_window(spark, data, segment, start, span):
     hi = None if (start is None or span is None) else lo + dt.timedelta(days=span)
     cols = ["k", "d", "v", "v_diff"]
     expected = rows(plain_lagged(df, ["k"], ["d"], ["v"], 2, lo, hi), cols)
-    got = rows(panel.lagged_change(df, ["k"], ["d"], ["v"], 2, lo, hi, segment=segment), cols)
+    got = rows(panel.lagged_change(df, ["k"], ["d"], ["v"], 2, lo, hi, segment=segment, lookback_days=lookback), cols)
     assert got == expected
 
 
