@@ -21,6 +21,10 @@ With ``segment`` (a calendar unit such as ``"day"`` or ``"month"``) the window i
 (entity, segment) instead of entity, so one entity's history is spread over many tasks. Each segment
 receives as carrier the last row of the previous non-empty segment, found by a lag over the small
 (entity, segment) summary. A window group is then at most one entity-segment, whatever the skew.
+
+With ``lookback_days`` the carriers come from a short window before the range; only the output
+entities without a row there are looked up in the older history (a null-safe semi-join that adaptive
+execution broadcasts when the key set is small), so a sparse panel does not shuffle its whole past.
 """
 
 from __future__ import annotations
