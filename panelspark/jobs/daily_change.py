@@ -1,4 +1,4 @@
-"""Q1 job: day-on-day change of the county averages in a date range -> Query1.Average_Difference."""
+"""Q1 job: day-on-day change of the county averages in a date range (table ``Q1_TABLE``)."""
 
 from __future__ import annotations
 
@@ -24,10 +24,10 @@ def main(argv=None) -> int:
     with timed.stage("process"):
         result = Q.daily_change(county, args.start, args.end, args.segment, args.lookback_days)
     with timed.stage("write"):
-        C.write(result, spark, args, "Query1", "Average_Difference")
+        C.write(result, spark, args, *Q.Q1_TABLE)
     timed.log(spark)
     if args.show:
-        C.sources.read_table(spark, C.output_root(spark, args), "Query1", "Average_Difference", fmt=args.format).show(args.show)
+        C.sources.read_table(spark, C.output_root(spark, args), *Q.Q1_TABLE, fmt=args.format).show(args.show)
     return 0
 
 

@@ -20,8 +20,8 @@ def main(argv=None) -> int:
     with timed.stage("write"):
         # One row per (state, year, month): small; both outputs read it, so it is computed once.
         cases, deaths = Q.peak_months(C.shared(totals))
-        C.write(cases, spark, args, "Query2", "max_cases_per_year")
-        C.write(deaths, spark, args, "Query2", "max_deaths_per_year")
+        C.write(cases, spark, args, *Q.Q2_CASES_TABLE)
+        C.write(deaths, spark, args, *Q.Q2_DEATHS_TABLE)
     timed.log(spark)
     if args.show:
         cases.show(args.show)

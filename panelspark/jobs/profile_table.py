@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from panelspark import schemas
 from panelspark.jobs import _common as C
 from panelspark.operators import profile
+from panelspark.plans import panel_queries as Q
 
 PROFILES = {
-    # table kind: (schema, copy name, columns whose values are listed, columns whose distinct values are counted)
-    "weekly": (schemas.COUNTRY_WEEKLY, "all_weekly_excess_deaths", ["region_code", "days", "year", "country"],
+    # table kind: (schema, copy table, columns whose values are listed, columns whose distinct values are counted)
+    "weekly": (schemas.COUNTRY_WEEKLY, Q.WEEKLY_COPY_TABLE, ["region_code", "days", "year", "country"],
                ["country", "region", "region_code", "week"]),
-    "county": (schemas.COUNTY_DAILY, "us-counties", ["year"], ["county", "state", "geoid"]),
+    "county": (schemas.COUNTY_DAILY, Q.COUNTY_COPY_TABLE, ["year"], ["county", "state", "geoid"]),
 }
 
 
@@ -24,10 +25,10 @@ def main(argv=None) -> int:
     p.add_argument("--key-column", default="geoid", help="column of the key whose rows are shown")
     p.add_argument("--key", default=None, help="show the rows of this key (county table)")
     args = p.parse_args(argv)
-    schema, copy_name, listed, counted = PROFILES[args.table]
+    schema, copy_table, listed, counted = PROFILES[args.table]
     spark = C.start(f"profile_{args.table}", [args.input])
     df = C.load(spark, args, schema)
-    C.write(df, spark, args, "Dataset", copy_name)
+    C.write(df, spark, args, *copy_table)
     df.printSchema()
     if "year" not in df.columns:
         df = df.withColumn("year", F.year("date"))

@@ -8,11 +8,6 @@ from panelspark import schemas
 from panelspark.jobs import _common as C
 from panelspark.plans import panel_queries as Q
 
-# Fixed output names of the recorded workload (kept for readers of those tables).
-ROWS_TABLE = "Max_deaths_year"
-TOP_TABLE = "Countries_Rancking"
-
-
 def main(argv=None) -> int:
     p = C.parser(__doc__)
     p.add_argument("--top", type=int, default=Q.Q3_TOP_N)
@@ -29,8 +24,8 @@ def main(argv=None) -> int:
         # At most (countries x quarters) rows, read by both outputs.
         rows = C.shared(rows)
         top = Q.leaders.top_n(rows, ["year", "trimester"], "country_covid_deaths", args.top)
-        C.write(rows, spark, args, "Query3", ROWS_TABLE)
-        C.write(top, spark, args, "Query3", TOP_TABLE)
+        C.write(rows, spark, args, *Q.Q3_ROWS_TABLE)
+        C.write(top, spark, args, *Q.Q3_TOP_TABLE)
     timed.log(spark)
     if args.show:
         top.show(args.show)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from panelspark import sources
+from panelspark import sources, timings
 from panelspark.jobs import _common as C
 from panelspark.operators import averages
 
@@ -22,7 +22,7 @@ def main(argv=None) -> int:
         log = sources.read_json_records(spark, args.json)
     else:
         root = args.root or C.session.scratch_root(spark) + "/panelspark-tables"
-        log = sources.read_table(spark, root, args.database, "Execution_Times", fmt=args.format)
+        log = sources.read_table(spark, root, args.database, timings.TIMING_TABLE, fmt=args.format)
     result = averages.average_numeric(log)
     if result is None:
         print("No numeric field found.")

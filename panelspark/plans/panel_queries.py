@@ -10,10 +10,21 @@ from pyspark.sql import DataFrame
 from panelspark.operators import leaders, panel, periods
 
 # ---------------------------------------------------------------- fixed values of the recorded workload
+# Query parameters and output columns.
 Q1_RANGE = ("2020-03-30", "2020-04-15")
 Q1_MEASURES = ["deaths_avg", "deaths_avg_per_100k", "cases_avg", "cases_avg_per_100k"]
 Q1_OUTPUT = ["date", "geoid", "cases_avg", "cases_avg_diff", "cases_avg_per_100k_diff"]
 Q3_TOP_N = 5
+# Output tables as (database, table); kept so readers of those tables find them.
+Q1_TABLE = ("Query1", "Average_Difference")
+Q2_CASES_TABLE = ("Query2", "max_cases_per_year")
+Q2_DEATHS_TABLE = ("Query2", "max_deaths_per_year")
+Q3_ROWS_TABLE = ("Query3", "Max_deaths_year")
+Q3_TOP_TABLE = ("Query3", "Countries_Rancking")
+WEEKLY_COPY_TABLE = ("Dataset", "all_weekly_excess_deaths")
+COUNTY_COPY_TABLE = ("Dataset", "us-counties")
+# ---------------------------------------------------------------- end of fixed values
+
 Q1_LOOKBACK_DAYS = 31  # our choice: a daily panel almost always has a row in the month before the range
 
 

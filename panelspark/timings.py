@@ -16,6 +16,7 @@ from panelspark import schemas
 from panelspark.sinks import write_table
 
 STAGES = ("load", "process", "write")
+TIMING_TABLE = "Execution_Times"  # fixed value: the log table name of the recorded workload
 
 
 class StageTimer:
@@ -63,4 +64,4 @@ def record_frame(spark: SparkSession, record: dict[str, float]) -> DataFrame:
 
 def log_run(spark: SparkSession, record: dict[str, float], root: str, database: str, fmt: str = "parquet") -> None:
     """Append one run to ``<database>.Execution_Times``."""
-    write_table(record_frame(spark, record), root, database, "Execution_Times", mode="append", fmt=fmt)
+    write_table(record_frame(spark, record), root, database, TIMING_TABLE, mode="append", fmt=fmt)
