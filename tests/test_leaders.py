@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from panelspark.operators import leaders
@@ -100,9 +102,24 @@ def test_driver_orders_match_row_level_at_scale(spark):
 
 
 def test_top_n_plan_limits_before_exchange(spark):
+    """Each map task keeps at most n rows (plus ties) per quarter before the final rank."""
     _, top = run(spark, n=5)
     plan = top._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    partial = [line for line in plan.splitlines() if "WindowGroupLimit" in line and "Partial" in line]
+    assert partial
+    top_part = plan.split("Exchange hashpartitioning(year")[1]
+    assert "WindowGroupLimit" in top_part.splitlines()[1]
+
+
+def test_quarter_plan_broadcasts_only_the_month_table(spark):
+    rows, _ = run(spark)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # the broadcast side is the (year, month) table: every aggregation in it is keyed by year and month only
+    broadcast_side = plan.split("BroadcastExchange")[1].split("FileScan")[0]
+    keys = re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", broadcast_side)
+    assert keys and all(re.sub(r"#\d+", "", k) == "year, month" for k in keys)
 
 
 def test_bad_mode(spark):

@@ -68,3 +68,11 @@ def test_quarter_matches_floor_formula(spark):
     df = df.withColumn("d", F.make_date(F.lit(2020), F.col("m"), F.lit(15)))
     got = periods.with_quarter(df, "d").collect()
     assert all(r.trimester == (r.m - 1) // 3 + 1 for r in got)
+
+
+def test_monthly_totals_combine_before_the_shuffle(spark):
+    """A hot key is summed map-side: the partial aggregate sits below the only exchange."""
+    plan = totals(spark)._jdf.queryExecution().executedPlan().toString()
+    below_exchange = plan.split("Exchange hashpartitioning")[1]
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in below_exchange
