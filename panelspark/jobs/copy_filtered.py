@@ -8,17 +8,18 @@ import sys
 from panelspark import sinks, sources
 from panelspark.jobs import _common as C
 from panelspark.operators import profile
+from panelspark.plans import panel_queries as Q
 
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--root", default=None, help="root of file tables (default: shared scratch folder)")
     p.add_argument("--format", default="parquet")
-    p.add_argument("--database", required=True)
-    p.add_argument("--table", required=True)
-    p.add_argument("--target", required=True)
-    p.add_argument("--column", required=True)
-    p.add_argument("--value", required=True)
+    p.add_argument("--database", default=Q.COPY_SOURCE[0])
+    p.add_argument("--table", default=Q.COPY_SOURCE[1])
+    p.add_argument("--target", default=Q.COPY_TARGET)
+    p.add_argument("--column", default=Q.COPY_FILTER[0])
+    p.add_argument("--value", default=Q.COPY_FILTER[1])
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     args = p.parse_args(argv)
     spark = C.start("copy_filtered")

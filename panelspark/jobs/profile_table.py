@@ -22,9 +22,11 @@ PROFILES = {
 def main(argv=None) -> int:
     p = C.parser(__doc__)
     p.add_argument("--table", choices=sorted(PROFILES), required=True)
-    p.add_argument("--key-column", default="geoid", help="column of the key whose rows are shown")
-    p.add_argument("--key", default=None, help="show the rows of this key (county table)")
+    p.add_argument("--key-column", default=Q.COUNTY_PROFILE_KEY[0], help="column of the key whose rows are shown")
+    p.add_argument("--key", default=None, help=f"show the rows of this key (county default: {Q.COUNTY_PROFILE_KEY[1]})")
     args = p.parse_args(argv)
+    if args.key is None and args.table == "county":
+        args.key = Q.COUNTY_PROFILE_KEY[1]
     schema, copy_table, listed, counted = PROFILES[args.table]
     spark = C.start(f"profile_{args.table}", [args.input])
     df = C.load(spark, args, schema)

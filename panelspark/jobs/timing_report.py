@@ -8,6 +8,7 @@ import sys
 from panelspark import sources, timings
 from panelspark.jobs import _common as C
 from panelspark.operators import averages
+from panelspark.plans import panel_queries as Q
 
 
 def main(argv=None) -> int:
@@ -15,7 +16,7 @@ def main(argv=None) -> int:
     p.add_argument("--json", default=None, help="exported records (array of objects)")
     p.add_argument("--root", default=None)
     p.add_argument("--format", default="parquet")
-    p.add_argument("--database", default=None, help="read <database>.Execution_Times")
+    p.add_argument("--database", default=Q.TIMING_REPORT_DATABASE, help="read <database>.Execution_Times")
     args = p.parse_args(argv)
     spark = C.start("timing_report")
     if args.json:

@@ -23,6 +23,12 @@ Q3_ROWS_TABLE = ("Query3", "Max_deaths_year")
 Q3_TOP_TABLE = ("Query3", "Countries_Rancking")
 WEEKLY_COPY_TABLE = ("Dataset", "all_weekly_excess_deaths")
 COUNTY_COPY_TABLE = ("Dataset", "us-counties")
+# Rows shown by the county profile, the filtered copy, and the timing log that is averaged.
+COUNTY_PROFILE_KEY = ("geoid", "USA-36998")
+COPY_SOURCE = ("mydatabase", "customers")
+COPY_TARGET = "customers1"
+COPY_FILTER = ("address", "Park Lane 38")
+TIMING_REPORT_DATABASE = "Query3"
 # ---------------------------------------------------------------- end of fixed values
 
 Q1_LOOKBACK_DAYS = 31  # our choice: a daily panel almost always has a row in the month before the range
