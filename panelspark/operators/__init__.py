@@ -4,6 +4,8 @@ from panelspark.operators.averages import average_numeric, numeric_columns
 from panelspark.operators.leaders import (
     COVID_NAMES,
     LeaderNames,
+    entity_running_totals,
+    period_totals,
     quarter_leaders,
     quarter_peak,
     running_totals,
@@ -19,11 +21,13 @@ __all__ = [
     "average_numeric",
     "distinct_counts",
     "distinct_values",
+    "entity_running_totals",
     "in_date_range",
     "lagged_change",
     "monthly_totals",
     "numeric_columns",
     "peak_period",
+    "period_totals",
     "quarter_leaders",
     "quarter_peak",
     "rows_for_key",

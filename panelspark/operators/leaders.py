@@ -152,6 +152,41 @@ def quarter_peak(
     return joined.select(entity, YEAR, names.quarter, MONTH, names.entity_total, names.entity_avg, names.period_total)
 
 
+def period_totals(
+    df: DataFrame,
+    date: str,
+    measure: str,
+    measure_scale: int | None = None,
+    cumulative: bool = True,
+    positive_only: bool = True,
+    name: str = "period_total",
+) -> DataFrame:
+    """(year, month, <name>): the all-entity total of each month, year-to-date when cumulative."""
+    prepared = df.select(PF.year(date).alias(YEAR), PF.month(date).alias(MONTH), measure)
+    if positive_only:
+        prepared = prepared.filter(F.col(measure) > 0)
+    months = period_months(prepared, measure, measure_scale, cumulative)
+    return months.select(YEAR, MONTH, PF.unscale("__p", measure_scale).alias(name))
+
+
+def entity_running_totals(
+    df: DataFrame,
+    entity: str,
+    date: str,
+    measure: str,
+    rate: str,
+    measure_scale: int | None = None,
+    rate_scale: int | None = None,
+    positive_only: bool = True,
+    names: LeaderNames = LeaderNames(),
+) -> DataFrame:
+    """(entity, year, month, <entity_total>, <entity_avg>): year-to-date per entity and month."""
+    prepared = prepare(df, entity, date, measure, rate, positive_only)
+    ytd = running_totals(entity_months(prepared, entity, measure, rate, measure_scale, rate_scale), entity)
+    ytd = finish(ytd, names, measure_scale, rate_scale)
+    return ytd.select(entity, YEAR, MONTH, names.entity_total, names.entity_avg)
+
+
 def top_n(df: DataFrame, group: Sequence[str], measure: str, n: int, output: Sequence[str] | None = None) -> DataFrame:
     """Rows with ``rank() <= n`` by ``measure`` (descending, nulls last) within each ``group``."""
     w = Window.partitionBy(*group).orderBy(F.col(measure).desc_nulls_last())

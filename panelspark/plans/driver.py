@@ -127,27 +127,18 @@ def sorted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- Q3: running totals and quarter leaders
 
 
-def _orders_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = driver_table(spark, sf_dir, "orders")
-    return leaders.prepare(orders, "o_custkey", "o_orderdate", "o_totalprice", "o_totalprice")
-
-
-def _orders_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _orders_prepared(spark, sf_dir)
-    return leaders.entity_months(prepared, "o_custkey", "o_totalprice", "o_totalprice", 2, 2)
-
-
 def running_period_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year-to-date total of all orders through each month."""
-    months = leaders.period_months(_orders_prepared(spark, sf_dir), "o_totalprice", 2, cumulative=True)
-    return months.select("year", "month", PF.unscale("__p", 2).alias("period_total"))
+    orders = driver_table(spark, sf_dir, "orders")
+    return leaders.period_totals(orders, "o_orderdate", "o_totalprice", measure_scale=2)
 
 
 def running_entity_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year-to-date total and mean order price per customer and month."""
-    ytd = leaders.running_totals(_orders_months(spark, sf_dir), "o_custkey")
-    ytd = leaders.finish(ytd, ORDERS_NAMES, 2, 2)
-    return ytd.select("o_custkey", "year", "month", "customer_total", "avg_price")
+    orders = driver_table(spark, sf_dir, "orders")
+    return leaders.entity_running_totals(
+        orders, "o_custkey", "o_orderdate", "o_totalprice", "o_totalprice", 2, 2, names=ORDERS_NAMES
+    )
 
 
 def _quarter(spark: SparkSession, sf_dir: str, mode: str) -> tuple[DataFrame, DataFrame]:
