@@ -44,10 +44,18 @@ def scratch_root(spark: SparkSession) -> str:
     executors see). Only when it is unset -- local tests -- a private temporary folder is made and
     registered as the checkpoint folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: no SparkContext on the client
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="panelspark-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # Spark Connect: the conf is the only handle
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
@@ -74,11 +82,15 @@ def size_shuffle(spark: SparkSession, paths, bytes_per_partition: int = 256 << 2
     reducer spill. Nothing is changed when the submitter set ``spark.sql.shuffle.partitions`` or the
     initial partition number. Returns the number set, or None.
     """
-    conf = spark.sparkContext.getConf()
     keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    try:
+        conf = spark.sparkContext.getConf()
+        size = input_bytes(spark, paths)
+    except Exception:  # Spark Connect: no file-system handle on the client; leave the settings alone
+        return None
     if any(conf.contains(k) for k in keys) or any(spark.conf.get(k, None) not in (None, "200") for k in keys[1:]):
         return None
-    n = max(minimum, -(-input_bytes(spark, paths) // bytes_per_partition))
+    n = max(minimum, -(-size // bytes_per_partition))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n
 
