@@ -58,7 +58,8 @@ COVID_NAMES = LeaderNames(
 
 def prepare(df: DataFrame, entity: str, date: str, measure: str, rate: str, positive_only: bool = True) -> DataFrame:
     """(entity, year, month, measure, rate), keeping only rows with ``measure > 0`` when asked."""
-    out = df.select(entity, PF.year(date).alias(YEAR), PF.month(date).alias(MONTH), measure, rate)
+    values = [measure] if rate == measure else [measure, rate]
+    out = df.select(entity, PF.year(date).alias(YEAR), PF.month(date).alias(MONTH), *values)
     if positive_only:
         out = out.filter(F.col(measure) > 0)
     return out
