@@ -56,9 +56,13 @@ def _is_timestamp(dtype_name: str) -> bool:
 
 
 def day_start_literal(day: dt.date, dtype_name: str) -> Column:
+    """Midnight starting ``day`` as a literal of the column's type.
+
+    Built from text, so it means midnight in the session time zone (or wall-clock midnight for
+    ``timestamp_ntz``) whatever the time zone of the Python process.
+    """
     if _is_timestamp(dtype_name):
-        lit = dt.datetime.combine(day, dt.time())
-        return F.lit(lit).cast(dtype_name)
+        return F.lit(f"{day.isoformat()} 00:00:00").cast(dtype_name)
     return F.lit(day)
 
 
