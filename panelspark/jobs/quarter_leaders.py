@@ -19,8 +19,11 @@ def main(argv=None) -> int:
         spark = C.start("Query3_quarter_leaders", [args.input])
         weekly = C.load(spark, args, schemas.COUNTRY_WEEKLY)
     with timed.stage("process"):
-        rows, _ = Q.quarter_outputs(weekly, args.top, args.quarter_mode, args.rate_scale)
+        monthly = Q.country_months(weekly, args.rate_scale)
     with timed.stage("write"):
+        # One row per (country, year, month): the source is read once, and both the country and the
+        # all-country month tables are derived from this checkpoint.
+        rows = Q.quarter_rows_from_months(C.shared(monthly), args.quarter_mode, args.rate_scale)
         # At most (countries x quarters) rows, read by both outputs.
         rows = C.shared(rows)
         top = Q.leaders.top_n(rows, ["year", "trimester"], "country_covid_deaths", args.top)

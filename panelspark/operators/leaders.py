@@ -139,13 +139,35 @@ def quarter_peak(
     """One row per entity with data in each quarter's chosen month.
 
     Columns: ``entity, year, <quarter>, month, <entity_total>, <entity_avg>, <period_total>``.
+    The month table is aggregated straight from the rows (a second, column-pruned scan); to scan a
+    costly source once, materialise :func:`entity_months` and use :func:`quarter_peak_from_months`.
     """
     prepared = prepare(df, entity, date, measure, rate, positive_only)
-    cumulative = mode == "cumulative"
     monthly = entity_months(prepared, entity, measure, rate, measure_scale, rate_scale)
+    periods = period_months(prepared, measure, measure_scale, mode == "cumulative")
+    return quarter_peak_from_months(monthly, entity, mode, measure_scale, rate_scale, names, periods)
+
+
+def quarter_peak_from_months(
+    monthly: DataFrame,
+    entity: str,
+    mode: str = "cumulative",
+    measure_scale: int | None = None,
+    rate_scale: int | None = None,
+    names: LeaderNames = LeaderNames(),
+    periods: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`quarter_peak` from the (entity, year, month) table of :func:`entity_months`.
+
+    Without ``periods`` the all-entity month table is summed from ``monthly`` itself, so a checkpointed
+    ``monthly`` makes the whole query read its source once.
+    """
+    cumulative = mode == "cumulative"
+    if periods is None:
+        periods = period_months(monthly.withColumnRenamed("__m", "__v"), "__v", None, cumulative)
     ent = running_totals(monthly, entity) if cumulative else monthly
     ent = finish(ent, names, measure_scale, rate_scale)
-    months = chosen_months(period_months(prepared, measure, measure_scale, cumulative), mode).select(
+    months = chosen_months(periods, mode).select(
         YEAR, MONTH, F.col("__q").alias(names.quarter), PF.unscale("__p", measure_scale).alias(names.period_total)
     )
     # Bounded by construction: at most 12 rows per calendar year.

@@ -80,3 +80,14 @@ def quarter_outputs(
         rate_scale=rate_scale,
         names=leaders.COVID_NAMES,
     )
+
+
+def country_months(weekly: DataFrame, rate_scale: int | None = None) -> DataFrame:
+    """Q3 input reduced to one row per (country, year, month), positive weeks only."""
+    prepared = leaders.prepare(weekly, "country", "start_date", "covid_deaths", "covid_deaths_per_100k")
+    return leaders.entity_months(prepared, "country", "covid_deaths", "covid_deaths_per_100k", None, rate_scale)
+
+
+def quarter_rows_from_months(monthly: DataFrame, mode: str = "cumulative", rate_scale: int | None = None) -> DataFrame:
+    """Q3 quarter rows from :func:`country_months` (which a job materialises once)."""
+    return leaders.quarter_peak_from_months(monthly, "country", mode, None, rate_scale, leaders.COVID_NAMES)

@@ -125,3 +125,12 @@ def test_quarter_plan_broadcasts_only_the_month_table(spark):
 def test_bad_mode(spark):
     with pytest.raises(ValueError):
         run(spark, mode="weekly")
+
+
+@pytest.mark.parametrize("mode", ["cumulative", "calendar"])
+def test_from_checkpointed_months_equals_direct(spark, mode):
+    from panelspark.plans import panel_queries as Q
+
+    direct = as_set(run(spark, mode=mode)[0])
+    monthly = Q.country_months(weekly(spark)).checkpoint(eager=True)
+    assert as_set(Q.quarter_rows_from_months(monthly, mode)) == direct
