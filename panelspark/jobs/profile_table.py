@@ -30,10 +30,11 @@ def main(argv=None) -> int:
     schema, copy_table, listed, counted = PROFILES[args.table]
     spark = C.start(f"profile_{args.table}", [args.input])
     df = C.load(spark, args, schema)
-    C.write(df, spark, args, *copy_table)
-    df.printSchema()
     if "year" not in df.columns:
+        # the calendar year of the date: listed below, and a partition column for the copy if asked
         df = df.withColumn("year", F.year("date"))
+    C.write(df, spark, args, *copy_table)
+    df.printSchema()
     for c in listed:
         profile.distinct_values(df, c).show(args.show, truncate=False)
     counts = profile.distinct_counts(df, counted).first().asDict()

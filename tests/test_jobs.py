@@ -98,3 +98,19 @@ def test_insert_copy_and_timing_jobs(spark, tmp_root, capsys):
         json.dump([{"_id": {"$oid": "x"}, "Total_time": 2.0, "load_time": 1.0, "process_time": 0.5, "write_time": 0.5}], fh)
     assert timing_report.main(["--json", times]) == 0
     assert "Total_time: 2.0" in capsys.readouterr().out
+
+
+def test_parquet_copy_then_daily_change(spark, inputs):
+    """The recommended flow for large inputs: a year-partitioned parquet copy, then Q1 on it."""
+    county, _, root = inputs
+    assert profile_table.main(
+        ["--input", county, "--output-root", root, "--table", "county", "--show", "0", "--partition-by", "year"]
+    ) == 0
+    copy = f"{root}/Dataset/us-counties"
+    assert any(name.startswith("year=2020") for name in os.listdir(copy))
+    out_root = f"{root}/from_parquet"
+    assert daily_change.main(["--input", copy, "--input-format", "parquet", "--output-root", out_root, "--show", "0"]) == 0
+    from_parquet = {tuple(r) for r in sources.read_table(spark, out_root, "Query1", "Average_Difference").collect()}
+    daily_change.main(["--input", county, "--output-root", root, "--show", "0"])
+    from_csv = {tuple(r) for r in sources.read_table(spark, root, "Query1", "Average_Difference").collect()}
+    assert from_parquet == from_csv and len(from_csv) == 8
