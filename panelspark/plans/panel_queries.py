@@ -65,23 +65,6 @@ def peak_months(totals: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def quarter_outputs(
-    weekly: DataFrame, n: int = Q3_TOP_N, mode: str = "cumulative", rate_scale: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Q3: the rows of each quarter's chosen month, and the top-n countries of each quarter."""
-    return leaders.quarter_leaders(
-        weekly,
-        "country",
-        "start_date",
-        "covid_deaths",
-        "covid_deaths_per_100k",
-        n=n,
-        mode=mode,
-        rate_scale=rate_scale,
-        names=leaders.COVID_NAMES,
-    )
-
-
 def country_months(weekly: DataFrame, rate_scale: int | None = None) -> DataFrame:
     """Q3 input reduced to one row per (country, year, month), positive weeks only."""
     prepared = leaders.prepare(weekly, "country", "start_date", "covid_deaths", "covid_deaths_per_100k")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -92,8 +91,3 @@ def size_shuffle(spark: SparkSession, paths, bytes_per_partition: int = 256 << 2
     n = max(minimum, -(-input_bytes(spark, paths) // bytes_per_partition))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n
-
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
