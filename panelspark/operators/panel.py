@@ -202,7 +202,9 @@ def _bounded_history(df, main, keys, time_col, dtype, lower, lookback_days, last
 
 def _order_key(df: DataFrame, order: Sequence[str]) -> Column:
     """A single orderable value for ``max_by``: the order column itself with nulls mapped below every
-    value (they sort first), which keeps the aggregation a hash aggregation; a struct for several columns.
+    value (they sort first), which keeps the aggregation a hash aggregation; a struct for several columns
+    (planned as a sort aggregation -- exact, whereas packing e.g. a ``timestamp_ntz`` and an id into one
+    number would go through the session time zone and can invert order inside a DST gap).
     """
     if len(order) == 1:
         dtype = df.schema[order[0]].dataType
