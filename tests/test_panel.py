@@ -117,3 +117,29 @@ def test_plan_one_window_pruned_scan_pushed_bounds(spark, tmp_root):
             schema = line.split("ReadSchema:")[1]
             assert "county" not in schema and "state" not in schema and "deaths" not in schema
     assert "GreaterThanOrEqual(date,2020-03-30)" in plan and "LessThanOrEqual(date,2020-04-15)" in plan
+
+
+@pytest.mark.parametrize("segment", ["hour", "day"])
+def test_segments_across_a_dst_gap(spark, segment):
+    """Wall-clock timestamps around the 2024-03-10 spring-forward gap, with a DST session time zone."""
+    data = [
+        ("u", dt.datetime(2024, 3, 10, 1, 50), 1, 1.0),
+        ("u", dt.datetime(2024, 3, 10, 2, 30), 2, 4.0),  # does not exist in New York
+        ("u", dt.datetime(2024, 3, 10, 3, 10), 3, 9.0),
+        ("u", dt.datetime(2024, 3, 10, 3, 40), 4, 16.0),
+        ("v", dt.datetime(2024, 11, 3, 1, 30), 5, 1.0),  # falls in the autumn overlap
+        ("v", dt.datetime(2024, 11, 3, 1, 45), 6, 3.0),
+        ("v", dt.datetime(2024, 11, 3, 2, 15), 7, 6.0),
+    ]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, id long, v double")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        cols = ["k", "ts", "id", "v", "v_diff"]
+        for bounds in [(None, None), ("2024-03-10", "2024-11-03")]:
+            expected = rows(plain_lagged(df, ["k"], ["ts", "id"], ["v"], 3, *bounds), cols)
+            got = rows(panel.lagged_change(df, ["k"], ["ts", "id"], ["v"], 3, *bounds, segment=segment), cols)
+            assert got == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
