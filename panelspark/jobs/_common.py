@@ -21,6 +21,7 @@ def parser(description: str) -> argparse.ArgumentParser:
     p.add_argument("--show", type=int, default=20, help="rows to preview on the console (0: none)")
     p.add_argument("--timings-db", default=None, help="append stage timings to <db>.Execution_Times")
     p.add_argument("--partition-by", default=None, help="comma-separated columns to lay written tables out by")
+    p.add_argument("--explain", action="store_true", help="print each output's formatted physical plan first")
     return p
 
 
@@ -39,6 +40,9 @@ def output_root(spark: SparkSession, args) -> str:
 
 
 def write(df: DataFrame, spark: SparkSession, args, database: str, table: str, mode: str | None = None) -> None:
+    if getattr(args, "explain", False):
+        print(f"== {database}.{table} ==")
+        df.explain("formatted")
     parts = [c for c in (getattr(args, "partition_by", None) or "").split(",") if c and c in df.columns]
     sinks.write_table(
         df, output_root(spark, args), database, table, mode=mode or args.mode, fmt=args.format, partition_by=parts

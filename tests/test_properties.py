@@ -25,7 +25,7 @@ panel_rows = st.lists(
 SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
-@SETTINGS
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     data=panel_rows,
     segment=st.sampled_from([None, "week", "month", "quarter"]),
