@@ -60,7 +60,10 @@ def segment_floor(day: dt.date, unit: str) -> dt.date:
     raise ValueError(f"segment must be one of {SEGMENT_UNITS}, got {unit!r}")
 
 
-def in_date_range(df: DataFrame, column: str, start, end) -> DataFrame:
+DayBound = str | dt.date | None
+
+
+def in_date_range(df: DataFrame, column: str, start: DayBound, end: DayBound) -> DataFrame:
     """Rows whose ``column`` lies in the inclusive day range ``[start, end]``; null dates drop out.
 
     Bounds are ``YYYY-MM-DD`` text or dates. For a timestamp column the end day is included to its end.
@@ -80,8 +83,8 @@ def lagged_change(
     order: Sequence[str],
     measures: Sequence[str],
     digits: int = 3,
-    start=None,
-    end=None,
+    start: DayBound = None,
+    end: DayBound = None,
     segment: str | None = None,
     suffix: str = "_diff",
     lookback_days: int | None = None,
