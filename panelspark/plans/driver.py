@@ -62,6 +62,13 @@ def lagged_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "ts", "event_id", "value", "value_diff")
 
 
+def lagged_change_events_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user, change of ``value`` from the previous event over the whole history (no range)."""
+    ev = driver_table(spark, sf_dir, "events")
+    out = panel.lagged_change(ev, ["user_id"], ["ts", "event_id"], ["value"], digits=3, segment="day")
+    return out.select("user_id", "ts", "event_id", "value", "value_diff")
+
+
 def daily_supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as a daily panel: one row per (l_suppkey, ship_date) with four exact sums."""
     li = driver_table(spark, sf_dir, "lineitem")
@@ -180,6 +187,13 @@ def distinct_counts_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.distinct_counts(driver_table(spark, sf_dir, "documents"), ["lang", "source"])
 
 
+def distinct_counts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts of low- and high-cardinality columns of ``orders`` in one aggregation."""
+    return profile.distinct_counts(
+        driver_table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority", "o_custkey"]
+    )
+
+
 def distinct_years_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.distinct_values(driver_table(spark, sf_dir, "orders"), PF.year("o_orderdate"), "year")
 
@@ -254,6 +268,7 @@ def timing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lagged_change_events": lagged_change_events,
+    "lagged_change_events_all": lagged_change_events_all,
     "lagged_change_panel": lagged_change_panel,
     "monthly_totals": monthly_totals,
     "peak_month_quantity": peak_month_quantity,
@@ -266,6 +281,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarter_top_customers_calendar": quarter_top_customers_calendar,
     "distinct_values_source": distinct_values_source,
     "distinct_counts_documents": distinct_counts_documents,
+    "distinct_counts_orders": distinct_counts_orders,
     "distinct_years_orders": distinct_years_orders,
     "rows_for_key": rows_for_key,
     "numeric_averages": numeric_averages,
@@ -364,6 +380,13 @@ SELECT user_id, ts, event_id, value, value_diff FROM (
     WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST)
 )
 WHERE ts >= TIMESTAMP '{_date(EVENTS_RANGE[0])} 00:00:00' AND ts < TIMESTAMP '{_next_day(EVENTS_RANGE[1])} 00:00:00'
+""",
+    "lagged_change_events_all": """
+SELECT user_id, ts, event_id, value,
+       CASE WHEN row_number() OVER w = 1 THEN value
+            ELSE round(value - lag(value) OVER w, 3) END AS value_diff
+FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST)
 """,
     "lagged_change_panel": f"""
 WITH daily AS (
@@ -431,6 +454,11 @@ QUALIFY rank() OVER (PARTITION BY year, trimester ORDER BY customer_total DESC N
     "distinct_counts_documents": """
 SELECT (SELECT count(*) FROM (SELECT DISTINCT lang FROM documents)) AS n_lang,
        (SELECT count(*) FROM (SELECT DISTINCT source FROM documents)) AS n_source
+""",
+    "distinct_counts_orders": """
+SELECT (SELECT count(*) FROM (SELECT DISTINCT o_orderstatus FROM orders)) AS n_o_orderstatus,
+       (SELECT count(*) FROM (SELECT DISTINCT o_orderpriority FROM orders)) AS n_o_orderpriority,
+       (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM orders)) AS n_o_custkey
 """,
     "distinct_years_orders": "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders",
     "rows_for_key": f"SELECT * FROM customer WHERE c_mktsegment = '{KEY_SEGMENT}'",
