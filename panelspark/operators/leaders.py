@@ -210,9 +210,29 @@ def entity_running_totals(
     return ytd.select(entity, YEAR, MONTH, names.entity_total, names.entity_avg)
 
 
-def top_n(df: DataFrame, group: Sequence[str], measure: str, n: int, output: Sequence[str] | None = None) -> DataFrame:
-    """Rows with ``rank() <= n`` by ``measure`` (descending, nulls last) within each ``group``."""
-    w = Window.partitionBy(*group).orderBy(F.col(measure).desc_nulls_last())
+def top_n(
+    df: DataFrame,
+    group: Sequence[str],
+    measure: str,
+    n: int,
+    output: Sequence[str] | None = None,
+    buckets: int = 64,
+) -> DataFrame:
+    """Rows with ``rank() <= n`` by ``measure`` (descending, nulls last) within each ``group``.
+
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default) Spark plans the filter as
+    a partial group limit before the exchange. Beyond it, the same bound is made explicit: rows are first
+    ranked within (group, hash bucket), keeping ``rank <= n`` there -- a row's rank in its bucket is never
+    above its rank in the group, so nothing that qualifies is lost -- and the survivors, at most
+    ``buckets`` x (n + ties) per group, are ranked again per group.
+    """
+    order = F.col(measure).desc_nulls_last()
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > threshold:
+        bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets))
+        local = Window.partitionBy(*group, bucket).orderBy(order)
+        df = df.withColumn("__rank", F.rank().over(local)).filter(F.col("__rank") <= n).drop("__rank")
+    w = Window.partitionBy(*group).orderBy(order)
     ranked = df.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") <= n)
     return ranked.select(*(output or df.columns))
 

@@ -1,6 +1,8 @@
 import re
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from panelspark.operators import leaders
 from tests.fixtures import weekly
@@ -134,3 +136,24 @@ def test_from_checkpointed_months_equals_direct(spark, mode):
     direct = as_set(run(spark, mode=mode)[0])
     monthly = Q.country_months(weekly(spark)).checkpoint(eager=True)
     assert as_set(Q.quarter_rows_from_months(monthly, mode)) == direct
+
+
+def test_top_n_beyond_the_group_limit_threshold(spark):
+    """Above the threshold the explicit bucketed pre-rank gives the same rows, ties included."""
+    rows, _ = run(spark)
+    expected = as_set(leaders.top_n(rows, ["year", "trimester"], "country_covid_deaths", 2))
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1")
+    try:
+        top = leaders.top_n(rows, ["year", "trimester"], "country_covid_deaths", 2, buckets=3)
+        assert as_set(top) == expected
+        windows = lambda d: d._jdf.queryExecution().executedPlan().toString().count("Window [")
+        assert windows(top) == windows(rows) + 2  # bucketed pre-rank, then the group rank
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    big = leaders.top_n(orders, ["o_orderstatus"], "o_totalprice", 1500, buckets=8)
+    plain = orders.withColumn(
+        "r", F.rank().over(Window.partitionBy("o_orderstatus").orderBy(F.col("o_totalprice").desc()))
+    ).filter("r <= 1500").drop("r")
+    assert big.count() == plain.count() and big.exceptAll(plain).count() == 0
