@@ -29,14 +29,13 @@ def read_csv(
         return reader.option("inferSchema", str(infer_schema).lower()).csv(path)
     raw = reader.csv(path)
     present = set(raw.columns)
-    return raw.select(
-        [
-            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(
-                f.name
-            )
-            for f in schema.fields
-        ]
-    )
+
+    def typed(field: T.StructField):
+        if field.name not in present:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        return F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name)
+
+    return raw.select([typed(f) for f in schema.fields])
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], columns: Iterable[str] | None = None) -> DataFrame:
