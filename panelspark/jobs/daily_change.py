@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 
-from panelspark import schemas
+from panelspark import schemas, sources
 from panelspark.jobs import _common as C
 from panelspark.plans import panel_queries as Q
 
@@ -33,7 +33,7 @@ def main(argv=None) -> int:
         C.write(result, spark, args, *Q.Q1_TABLE)
     timed.log(spark)
     if args.show:
-        C.sources.read_table(spark, C.output_root(spark, args), *Q.Q1_TABLE, fmt=args.format).show(args.show)
+        sources.read_table(spark, C.output_root(spark, args), *Q.Q1_TABLE, fmt=args.format).show(args.show)
     return 0
 
 

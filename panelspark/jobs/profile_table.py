@@ -6,7 +6,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from panelspark import schemas
+from panelspark import schemas, sources
 from panelspark.jobs import _common as C
 from panelspark.operators import profile
 from panelspark.plans import panel_queries as Q
@@ -36,7 +36,7 @@ def main(argv=None) -> int:
     C.write(df, spark, args, *copy_table)
     # Profile the copy just written: each listing below reads only its own column from it, instead of
     # parsing the source text once per listing.
-    df = C.sources.read_table(spark, C.output_root(spark, args), *copy_table, fmt=args.format)
+    df = sources.read_table(spark, C.output_root(spark, args), *copy_table, fmt=args.format)
     df.printSchema()
     for c in listed:
         profile.distinct_values(df, c).show(args.show, truncate=False)
