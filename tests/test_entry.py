@@ -58,3 +58,20 @@ def test_query_matches_oracle(spark, duck, name):
 def test_timing_queries_run(spark):
     assert E.queries()["timing_log"](spark, SF).count() == 2
     assert E.queries()["timing_report"](spark, SF).count() == 1
+
+
+FORBIDDEN_IN_PLANS = (
+    "BatchEvalPython",  # row-at-a-time Python UDF
+    "ArrowEvalPython",  # pandas UDF
+    "MapInPandas",
+    "FlatMapGroupsInPandas",
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+)
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"timing_log", "timing_report"}))
+def test_plans_stay_on_the_jvm_and_emit_no_pairs(spark, name):
+    """Every registered query runs as built-in expressions, with no Python on rows and no all-pairs join."""
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [p for p in FORBIDDEN_IN_PLANS if p in plan]
