@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import licenses, mixing, quality_rules, secrets
-from panelspark.llm.common import table
+from panelspark.llm import language_id, licenses, mixing, packing, quality_rules, secrets
+from panelspark.llm.common import id_bucket, table
 
 
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
@@ -32,6 +32,13 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "lang")
+    found = language_id.identify(docs, id_bucket(F.col("doc_id"), 4) != 2)
+    held_out = F.coalesce(id_bucket(F.col("doc_id"), 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(documents(spark, sf_dir))
     joined = {n: F.array_join(f"{n}_array", ",").alias(n) for n in ("base_labels", "labels")}
@@ -39,6 +46,12 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined.values(), "score", places.alias("detections"))
 
 
+def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir))
+    crc = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -47,7 +60,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
+    "op3_language_id": op3_language_id,
     "op7_license_scan": op7_license_scan,
+    "op9_pack": op9_pack,
     "op10_mix_sources": op10_mix_sources,
 }
 
