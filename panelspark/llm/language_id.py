@@ -25,9 +25,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE_CHARS = 12_000
 SAMPLE_ROWS = 64
@@ -92,16 +93,6 @@ class LanguageModel:
     tables: list[np.ndarray]
     bits: list[float]  # bits a phrase
 
-    def parse(self, symbols: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """Phrases per block; ``symbols`` has one row per position in the block and one column per block."""
-        state = np.zeros(symbols.shape[1], np.int32)
-        phrases = np.zeros(symbols.shape[1], np.int32)
-        for row in symbols:
-            step = table[state * self.n_symbols + row]
-            phrases += step & 1
-            state = step >> 1
-        return phrases
-
     def phrases(self, coded: list[np.ndarray]) -> np.ndarray:
         """Phrases of each coded text (rows) by language (columns)."""
         out = np.zeros((len(coded), len(self.tables)))
@@ -202,11 +193,12 @@ def identify(docs: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",)
     ``docs`` has doc_id, text and lang; a prediction sees the text alone.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(docs, learn), sample_chars))
-    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep) + ", lang_pred string, score double"
+    fields = [T.StructField(c, docs.schema[c].dataType) for c in keep]
+    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            predicted, score = model.value.predict(pdf["text"].tolist())
-            yield pdf[list(keep)].assign(lang_pred=predicted, score=score)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            predicted, score = model.value.predict(batch.column(len(keep)).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(predicted, pa.string()), pa.array(score)], names=schema.names)
 
-    return docs.select(*keep, "text").mapInPandas(run, schema)
+    return docs.select(*keep, "text").mapInArrow(run, schema)

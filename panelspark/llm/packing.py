@@ -30,6 +30,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ END_ID = 1
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 _LAID = PIECES + ", leftover boolean"
+_ARROW = {"bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+TEXTS_AT_ONCE = 1_000
 
 
 def default_tokenizer() -> str:
@@ -191,39 +194,42 @@ class OpenWindows:
 
 
 def _layout(window: int, most: int, tokenizer_path: str | None):
-    """Pandas iterator function: (doc_id, text) of one partition -> pieces with their place."""
+    """Arrow iterator function: (doc_id, text) of one partition -> pieces with their place."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         tokenizer = tokenizer_of(tokenizer_path)
         spaces = OpenWindows(window, most)
         # Windows are numbered within their partition; the partition fills the upper bits.
         base, used = TaskContext.get().partitionId() << 32, 0
-        names = [c.split()[0] for c in _LAID.split(", ")]
+        schema = pa.schema([(n, _ARROW[t]) for n, t in (c.split() for c in _LAID.split(", "))])
 
         def emit(held: list, leftover: bool = False) -> list:
             nonlocal used
             used += 1
             return [(*item, base + used - 1, at, leftover) for at, item in held]
 
-        for pdf in batches:
-            rows: list = []
-            for doc, ids in zip(pdf["doc_id"].tolist(), tokenizer.batch(pdf["text"].tolist()), strict=True):
-                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                doc = None if pd.isna(doc) else int(doc)
-                full = len(ids) // window * window
-                for at in range(0, full, window):
-                    rows += emit([(0, (doc, at, window, ids[at : at + window].tobytes(), len(ids)))])
-                if full < len(ids):
-                    rest = len(ids) - full
-                    if held := spaces.add(rest, (doc, full, rest, ids[full:].tobytes(), len(ids))):
-                        rows += emit(held)
-            if rows:
-                yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        def batch_of(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                rows: list = []
+                for doc, ids in zip(ids_of[at : at + TEXTS_AT_ONCE], tokenizer.batch(texts[at : at + TEXTS_AT_ONCE]), strict=True):
+                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                    full = len(ids) // window * window
+                    for start in range(0, full, window):
+                        rows += emit([(0, (doc, start, window, ids[start : start + window].tobytes(), len(ids)))])
+                    if full < len(ids):
+                        rest = len(ids) - full
+                        if held := spaces.add(rest, (doc, full, rest, ids[full:].tobytes(), len(ids))):
+                            rows += emit(held)
+                if rows:
+                    yield batch_of(rows)
         if spaces.held:
-            left = [row for held in spaces.held for row in emit(held, leftover=True)]
-            yield pd.DataFrame(left, columns=names).astype({"doc_id": "Int64"})
+            yield batch_of([row for held in spaces.held for row in emit(held, leftover=True)])
 
     return run
 
@@ -255,7 +261,7 @@ def pack(
 
     ``docs`` has ``doc_id`` and ``text``. Pieces of one ``sequence_id`` fill it from offset 0 without gaps.
     """
-    laid = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    laid = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _layout(window, open_windows, tokenizer_path), _LAID
     )
     pieces = stored(laid, "packing", compression="zstd")

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import language_id, licenses, mixing, packing, quality_rules, secrets
+from panelspark.llm import language_id, licenses, line_crf, mixing, packing, quality_rules, secrets
 from panelspark.llm.common import id_bucket, table
 
+QUALITY_AT = 0.3  # score from which a document counts as good
+
 
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", *more)
@@ -46,6 +48,15 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined.values(), "score", places.alias("detections"))
 
 
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    fold = id_bucket(F.col("doc_id"), 5)
+    model = line_crf.train(docs, labels, fold != 0)
+    scored = line_crf.score_documents(docs, model)
+    held_out = F.coalesce(fold == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir))
     crc = F.crc32("ids").alias("ids_crc32")
@@ -62,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_language_id": op3_language_id,
     "op7_license_scan": op7_license_scan,
+    "op8_line_quality": op8_line_quality,
     "op9_pack": op9_pack,
     "op10_mix_sources": op10_mix_sources,
 }
