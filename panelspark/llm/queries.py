@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import language_id, licenses, line_crf, mixing, packing, quality_rules, secrets
+from panelspark.llm import language_id, licenses, line_crf, minhash, mixing, packing, quality_rules, secrets
 from panelspark.llm.common import id_bucket, table
 
 QUALITY_AT = 0.3  # score from which a document counts as good
@@ -41,6 +41,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), size=4, percent=80)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(documents(spark, sf_dir))
     joined = {n: F.array_join(f"{n}_array", ",").alias(n) for n in ("base_labels", "labels")}
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
     "op3_language_id": op3_language_id,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_line_quality": op8_line_quality,
     "op9_pack": op9_pack,
