@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import language_id, licenses, line_crf, minhash, mixing, packing, quality_rules, secrets
+from panelspark.llm import chat, language_id, licenses, line_crf, minhash, mixing, packing, quality_rules, secrets, topk
 from panelspark.llm.common import id_bucket, table
 
 QUALITY_AT = 0.3  # score from which a document counts as good
@@ -41,10 +41,20 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = chat.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+    return parts.withColumn("mask", spans)
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), size=4, percent=80)
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(documents(spark, sf_dir))
     joined = {n: F.array_join(f"{n}_array", ",").alias(n) for n in ("base_labels", "labels")}
@@ -76,7 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
     "op3_language_id": op3_language_id,
+    "op4_chat_rotation": op4_chat_rotation,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_license_scan": op7_license_scan,
     "op8_line_quality": op8_line_quality,
     "op9_pack": op9_pack,
