@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
@@ -84,26 +85,26 @@ def on_or_before(c: ColumnOrName, day: dt.date, dtype_name: str = "date") -> Col
 # ---------------------------------------------------------------- exact sums
 #
 # A double sum depends on the order rows arrive in, which changes with partitioning. Measures that are
-# decimals at heart (money with 2 places, counts) are summed as scaled 64-bit integers instead: the sum
-# is exact whatever the order, stays in whole-stage codegen, and the result is the double nearest to the
-# exact decimal sum -- the same value ``CAST(SUM(CAST(x AS DECIMAL(p, scale))) AS DOUBLE)`` gives.
-# Under ANSI mode an overflow raises instead of wrapping.
+# decimals at heart (money with 2 places, counts) are summed as decimals instead and cast once at the end: the
+# sum is exact whatever the order and however large (38 digits), and the result is the double nearest to it.
+
+PRECISION = 28  # digits of a summand; Spark sums it with 10 digits more
 
 
 def scaled(c: ColumnOrName, scale: int) -> Column:
-    """``x`` as an integer count of ``10**-scale`` units (HALF_UP)."""
-    return F.round(col(c) * F.lit(10**scale)).cast("long")
+    """``x`` as a decimal with ``scale`` places (HALF_UP)."""
+    return col(c).cast(T.DecimalType(PRECISION, scale))
 
 
 def exact_sum(c: ColumnOrName, scale: int | None = None) -> Column:
-    """``sum(x)``; with ``scale``, summed exactly in units of ``10**-scale`` and returned as double."""
+    """``sum(x)``; with ``scale``, summed exactly as decimals of that many places and returned as double."""
     if scale is None:
         return F.sum(col(c))
-    return F.sum(scaled(c, scale)) / F.lit(10**scale)
+    return F.sum(scaled(c, scale)).cast("double")
 
 
 def unscale(c: ColumnOrName, scale: int | None) -> Column:
-    """Turn a sum of :func:`scaled` values back into a double."""
+    """Turn a sum of :func:`scaled` values into a double."""
     if scale is None:
         return col(c)
-    return col(c) / F.lit(10**scale)
+    return col(c).cast("double")

@@ -15,6 +15,7 @@ def parser(description: str) -> argparse.ArgumentParser:
     p.add_argument("--input", required=True, help="input path (CSV with header unless --input-format says otherwise)")
     p.add_argument("--input-format", default="csv", choices=["csv", "parquet", "json"])
     p.add_argument("--infer-schema", action="store_true", help="infer CSV types (extra pass) instead of the fixed schema")
+    p.add_argument("--bad-values", default="raise", choices=["raise", "null"], help="CSV text that does not convert")
     p.add_argument("--output-root", default=None, help="root folder of written tables (default: the shared scratch folder)")
     p.add_argument("--format", default="parquet", help="table format, or a connector name on the class path")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
@@ -25,11 +26,11 @@ def parser(description: str) -> argparse.ArgumentParser:
     return p
 
 
-def load(spark: SparkSession, args, schema) -> DataFrame:
+def load(spark: SparkSession, args, schema, all_columns: bool = False) -> DataFrame:
     if args.input_format == "csv":
         if args.infer_schema:
             return sources.read_csv(spark, args.input, infer_schema=True)
-        return sources.read_csv(spark, args.input, schema=schema)
+        return sources.read_csv(spark, args.input, schema=schema, bad_values=args.bad_values, all_columns=all_columns)
     if args.input_format == "json":
         return sources.read_json_records(spark, args.input, schema=schema)
     return sources.read_parquet(spark, args.input)
@@ -67,12 +68,13 @@ class Timed:
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """Materialise a small intermediate read by two outputs, cutting its lineage.
+    """Materialise a small intermediate read by two outputs: a Parquet table in the shared scratch folder.
 
-    ``checkpoint`` writes it to the shared checkpoint folder, so a lost executor does not send the job
-    back to the source scan.
+    A lost executor does not send the job back to the source scan, and each output reads its columns only.
     """
-    return df.checkpoint(eager=True)
+    path = session.scratch_path(df.sparkSession, "shared")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def start(app: str, inputs=None) -> SparkSession:

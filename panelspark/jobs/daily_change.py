@@ -13,22 +13,13 @@ def main(argv=None) -> int:
     p = C.parser(__doc__)
     p.add_argument("--start", default=Q.Q1_RANGE[0])
     p.add_argument("--end", default=Q.Q1_RANGE[1])
-    p.add_argument("--segment", default=None, help="split each county's history by this calendar unit")
-    p.add_argument("--lookback-days", type=int, default=None,
-                   help="history window read for every county; older rows only for counties absent from it. "
-                        f"Default: {Q.Q1_LOOKBACK_DAYS} for parquet input (row groups outside the window are "
-                        "skipped), off for CSV/JSON (each extra branch would parse the text again); < 0: off")
     args = p.parse_args(argv)
-    if args.lookback_days is None:
-        args.lookback_days = Q.Q1_LOOKBACK_DAYS if args.input_format == "parquet" else None
-    elif args.lookback_days < 0:
-        args.lookback_days = None
     timed = C.Timed(args)
     with timed.stage("load"):
         spark = C.start("Query1_daily_change", [args.input])
         county = C.load(spark, args, schemas.COUNTY_DAILY)
     with timed.stage("process"):
-        result = Q.daily_change(county, args.start, args.end, args.segment, args.lookback_days)
+        result = Q.daily_change(county, args.start, args.end)
     with timed.stage("write"):
         C.write(result, spark, args, *Q.Q1_TABLE)
     timed.log(spark)

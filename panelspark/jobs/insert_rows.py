@@ -13,7 +13,7 @@ from panelspark.operators import profile
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(description=__doc__)
-    p.add_argument("--records", required=True, help="JSON file or folder: arrays of objects")
+    p.add_argument("--records", required=True, help="JSON file or folder: arrays of objects, or one object or array a line")
     p.add_argument("--root", default=None)
     p.add_argument("--format", default="parquet")
     p.add_argument("--database", required=True)

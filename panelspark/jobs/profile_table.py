@@ -4,42 +4,39 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import functions as F
-
+from panelspark import functions as PF
 from panelspark import schemas, sources
 from panelspark.jobs import _common as C
 from panelspark.operators import profile
 from panelspark.plans import panel_queries as Q
 
-PROFILES = {
-    # table kind: (schema, copy table, columns whose values are listed, columns whose distinct values are counted)
-    "weekly": (schemas.COUNTRY_WEEKLY, Q.WEEKLY_COPY_TABLE, ["region_code", "days", "year", "country"],
-               ["country", "region", "region_code", "week"]),
-    "county": (schemas.COUNTY_DAILY, Q.COUNTY_COPY_TABLE, ["year"], ["county", "state", "geoid"]),
-}
+SCHEMAS = {"weekly": schemas.COUNTRY_WEEKLY, "county": schemas.COUNTY_DAILY}
 
 
 def main(argv=None) -> int:
     p = C.parser(__doc__)
-    p.add_argument("--table", choices=sorted(PROFILES), required=True)
+    p.add_argument("--table", choices=sorted(Q.PROFILES), required=True)
     p.add_argument("--key-column", default=Q.COUNTY_PROFILE_KEY[0], help="column of the key whose rows are shown")
     p.add_argument("--key", default=None, help=f"show the rows of this key (county default: {Q.COUNTY_PROFILE_KEY[1]})")
     args = p.parse_args(argv)
     if args.key is None and args.table == "county":
         args.key = Q.COUNTY_PROFILE_KEY[1]
-    schema, copy_table, listed, counted = PROFILES[args.table]
+    copy_table, listed, counted = Q.PROFILES[args.table]
     spark = C.start(f"profile_{args.table}", [args.input])
-    df = C.load(spark, args, schema)
-    if "year" not in df.columns:
-        # the calendar year of the date: listed below, and a partition column for the copy if asked
-        df = df.withColumn("year", F.year("date"))
+    df = C.load(spark, args, SCHEMAS[args.table], all_columns=True)
+    if "year" in (args.partition_by or "").split(",") and "year" not in df.columns:
+        df = df.withColumn("year", PF.year("date"))
     C.write(df, spark, args, *copy_table)
     # Profile the copy just written: each listing below reads only its own column from it, instead of
     # parsing the source text once per listing.
     df = sources.read_table(spark, C.output_root(spark, args), *copy_table, fmt=args.format)
     df.printSchema()
     for c in listed:
-        profile.distinct_values(df, c).show(args.show, truncate=False)
+        if c not in df.columns and c != "year":
+            print(f"No column {c}")
+            continue
+        values = profile.distinct_values(df, PF.year("date") if c == "year" and c not in df.columns else c, c)
+        values.show(profile.row_count(values), truncate=False)  # every value
     counts = profile.distinct_counts(df, counted).first().asDict()
     for name, value in counts.items():
         print(f"Number of {name[2:]} values: {value}")

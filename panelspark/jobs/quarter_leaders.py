@@ -12,7 +12,7 @@ def main(argv=None) -> int:
     p = C.parser(__doc__)
     p.add_argument("--top", type=int, default=Q.Q3_TOP_N)
     p.add_argument("--quarter-mode", default="cumulative", choices=["cumulative", "calendar"])
-    p.add_argument("--rate-scale", type=int, default=None, help="sum rates exactly with this many decimals")
+    p.add_argument("--rate-scale", type=int, default=Q.RATE_SCALE, help="sum rates exactly with this many decimals")
     args = p.parse_args(argv)
     timed = C.Timed(args)
     with timed.stage("load"):

@@ -2,7 +2,6 @@
 
 from panelspark.operators.averages import average_numeric, numeric_columns
 from panelspark.operators.leaders import (
-    COVID_NAMES,
     LeaderNames,
     entity_running_totals,
     period_totals,
@@ -16,7 +15,6 @@ from panelspark.operators.periods import monthly_totals, peak_period, sorted_by,
 from panelspark.operators.profile import distinct_counts, distinct_values, rows_for_key
 
 __all__ = [
-    "COVID_NAMES",
     "LeaderNames",
     "average_numeric",
     "distinct_counts",

@@ -48,14 +48,6 @@ class LeaderNames:
     period_total: str = "period_total"
 
 
-COVID_NAMES = LeaderNames(
-    quarter="trimester",
-    entity_total="country_covid_deaths",
-    entity_avg="avg_deaths_per100k",
-    period_total="monthly_covid_deaths",
-)
-
-
 def prepare(df: DataFrame, entity: str, date: str, measure: str, rate: str, positive_only: bool = True) -> DataFrame:
     """(entity, year, month, measure, rate), keeping only rows with ``measure > 0`` when asked."""
     values = [measure] if rate == measure else [measure, rate]
@@ -74,7 +66,7 @@ def entity_months(
 ) -> DataFrame:
     """One row per (entity, year, month): measure sum, rate sum and count of non-null rates.
 
-    Sums stay in scaled-integer units when a scale is given (exact, order-free); see :func:`finish`.
+    Sums stay decimals when a scale is given (exact, order-free); see :func:`finish`.
     """
     return prepared.groupBy(entity, YEAR, MONTH).agg(
         _sum(measure, measure_scale).alias("__m"),
@@ -171,7 +163,10 @@ def quarter_peak_from_months(
         YEAR, MONTH, F.col("__q").alias(names.quarter), PF.unscale("__p", measure_scale).alias(names.period_total)
     )
     # Bounded by construction: at most 12 rows per calendar year.
-    joined = ent.join(F.broadcast(months), [YEAR, MONTH], "inner")
+    # Null matches null: rows without a date have a null year, quarter and month, and stay.
+    months = months.withColumnsRenamed({YEAR: "__y", MONTH: "__mo"})
+    same = F.col(YEAR).eqNullSafe(F.col("__y")) & F.col(MONTH).eqNullSafe(F.col("__mo"))
+    joined = ent.join(F.broadcast(months), same, "inner")
     return joined.select(entity, YEAR, names.quarter, MONTH, names.entity_total, names.entity_avg, names.period_total)
 
 
@@ -210,29 +205,13 @@ def entity_running_totals(
     return ytd.select(entity, YEAR, MONTH, names.entity_total, names.entity_avg)
 
 
-def top_n(
-    df: DataFrame,
-    group: Sequence[str],
-    measure: str,
-    n: int,
-    output: Sequence[str] | None = None,
-    buckets: int = 64,
-) -> DataFrame:
+def top_n(df: DataFrame, group: Sequence[str], measure: str, n: int, output: Sequence[str] | None = None) -> DataFrame:
     """Rows with ``rank() <= n`` by ``measure`` (descending, nulls last) within each ``group``.
 
-    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default) Spark plans the filter as
-    a partial group limit before the exchange. Beyond it, the same bound is made explicit: rows are first
-    ranked within (group, hash bucket), keeping ``rank <= n`` there -- a row's rank in its bucket is never
-    above its rank in the group, so nothing that qualifies is lost -- and the survivors, at most
-    ``buckets`` x (n + ties) per group, are ranked again per group.
+    Spark plans the filter as a partial group limit before the exchange, so each task sends on at most n
+    rows (and ties) of a group.
     """
-    order = F.col(measure).desc_nulls_last()
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets))
-        local = Window.partitionBy(*group, bucket).orderBy(order)
-        df = df.withColumn("__rank", F.rank().over(local)).filter(F.col("__rank") <= n).drop("__rank")
-    w = Window.partitionBy(*group).orderBy(order)
+    w = Window.partitionBy(*group).orderBy(F.col(measure).desc_nulls_last())
     ranked = df.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") <= n)
     return ranked.select(*(output or df.columns))
 

@@ -1,6 +1,6 @@
 """Change from the previous row of each entity (day-on-day difference of panel measures).
 
-Semantics (per entity, rows ordered by ``order``; nulls in the order column sort first):
+Semantics (per entity, rows ordered by ``order``; nulls in the order columns sort first):
 
 * ``<m>_diff = round(m - m_of_previous_row, digits)`` -- the previous *row*, not the previous calendar
   day; a null value on either side gives null;
@@ -10,21 +10,14 @@ Semantics (per entity, rows ordered by ``order``; nulls in the order column sort
 
 Plan
 ----
-The plain form is one window partitioned by entity. Two facts make it cheaper and skew-proof:
-
-* the window only looks back, so rows after ``end`` are dropped before it (pushed into the scan);
-* everything before the output segment only matters through its **last row**. Those rows are reduced to
-  one "carrier" row per entity by an aggregation (combined map-side, so a hot entity never reaches one
-  reducer whole) and put in front of the window as a synthetic predecessor.
-
-With ``segment`` (a calendar unit such as ``"day"`` or ``"month"``) the window is partitioned by
-(entity, segment) instead of entity, so one entity's history is spread over many tasks. Each segment
-receives as carrier the last row of the previous non-empty segment, found by a lag over the small
-(entity, segment) summary. A window group is then at most one entity-segment, whatever the skew.
-
-With ``lookback_days`` the carriers come from a short window before the range; only the output
-entities without a row there are looked up in the older history (a null-safe semi-join that adaptive
-execution broadcasts when the key set is small), so a sparse panel does not shuffle its whole past.
+One scan, one exchange by entity, one sorted window. The window only looks back, so rows after ``end`` are
+dropped in the scan.
+
+An entity with more than ``task_rows`` rows is *hot*: its rows would be one task's sort. Counting rows per
+entity reads the key columns alone and combines map-side; if no entity is hot, nothing else happens.
+Otherwise the hot entities' rows take a second path: their order column is cut at ``PIECES`` quantiles of that
+entity's own rows, the window runs per (entity, piece), and the last row of each piece is put in front of
+the next one. There are at most (all rows / task_rows) hot entities, whatever the skew.
 """
 
 from __future__ import annotations
@@ -34,37 +27,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelspark import functions as PF
 
-_KIND = "__row_kind"  # 0 = carrier (last row before the segment), 1 = real row
-_LAST = "__last"
-_SEG = "__segment"
-
-SEGMENT_UNITS = ("year", "quarter", "month", "week", "day", "hour")
-
-
-def segment_floor(day: dt.date, unit: str) -> dt.date:
-    """First day of the ``unit`` that contains ``day`` (what ``date_trunc(unit, day)`` gives)."""
-    if unit == "year":
-        return day.replace(month=1, day=1)
-    if unit == "quarter":
-        return day.replace(month=3 * ((day.month - 1) // 3) + 1, day=1)
-    if unit == "month":
-        return day.replace(day=1)
-    if unit == "week":
-        return day - dt.timedelta(days=day.weekday())
-    if unit in ("day", "hour"):
-        return day
-    raise ValueError(f"segment must be one of {SEGMENT_UNITS}, got {unit!r}")
-
+TASK_ROWS = 5_000_000
+PIECES = 256  # pieces of a hot entity
+_KIND = "__row_kind"  # 0 = last row of the piece before, 1 = real row
+_PIECE, _LAST = "__piece", "__last"
 
 DayBound = str | dt.date | None
 
 
 def in_date_range(df: DataFrame, column: str, start: DayBound, end: DayBound) -> DataFrame:
-    """Rows whose ``column`` lies in the inclusive day range ``[start, end]``; null dates drop out.
+    """Rows whose ``column`` lies in the inclusive day range ``[start, end]``; null dates drop out if a bound is given.
 
     Bounds are ``YYYY-MM-DD`` text or dates. For a timestamp column the end day is included to its end.
     """
@@ -85,146 +60,67 @@ def lagged_change(
     digits: int = 3,
     start: DayBound = None,
     end: DayBound = None,
-    segment: str | None = None,
     suffix: str = "_diff",
-    lookback_days: int | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Add ``<m><suffix>`` for every measure; keep rows in ``[start, end]`` (each bound optional).
 
-    ``order[0]`` is the date/timestamp column the range and the segments refer to; further ``order``
-    columns break ties (e.g. an event id). Rows with equal order values have no defined order, as with
-    any window.
-
-    ``lookback_days`` (with ``start``) bounds the history most entities need: carriers come from the
-    ``lookback_days`` before the output segments, and only output entities without a row there are
-    looked up in the older history (see :func:`_bounded_history`). Results are the same either way.
+    ``order[0]`` is the date or timestamp column the range refers to and the pieces of a hot entity are cut
+    by; further ``order`` columns break ties (e.g. an event id). Rows with equal order values have no
+    defined order, as with any window.
     """
     keys, order, measures = list(keys), list(order), list(measures)
-    time_col = order[0]
-    dtype = df.schema[time_col].dataType.typeName()
-    start_day = PF.as_date(start) if start is not None else None
-    end_day = PF.as_date(end) if end is not None else None
-    t = F.col(time_col)
-
-    # First day that can hold an output row's segment. Rows before it only feed carriers.
-    lower = None
-    if start_day is not None:
-        lower = segment_floor(start_day, segment) if segment else start_day
-
-    # Null order values sort first. Without any bound they are output like every row; with a bound
-    # the range test drops them, so they only feed the carriers.
-    keep_nulls = start_day is None and end_day is None
-    main_cond = t.isNotNull()
-    if lower is not None:
-        main_cond = main_cond & PF.on_or_after(time_col, lower, dtype)
-    if end_day is not None:
-        main_cond = main_cond & PF.on_or_before(time_col, end_day, dtype)
-    history_cond = t.isNull()
-    if lower is not None:
-        history_cond = history_cond | PF.before(time_col, lower, dtype)
-
-    seg_cols: list[str] = []
-    main = df if keep_nulls else df.filter(main_cond)
-    if segment:
-        if segment not in SEGMENT_UNITS:
-            raise ValueError(f"segment must be one of {SEGMENT_UNITS}, got {segment!r}")
-        main = main.withColumn(_SEG, F.date_trunc(segment, t))
-        seg_cols = [_SEG]
-
-    # Values of the last row (largest order) of a group, one max_by per measure so unused measures are
-    # pruned, plus a row count that marks the group as non-empty.
-    order_key = _order_key(df, order)
-    last_values = [F.max_by(F.col(m), order_key).alias(m) for m in measures] + [F.count(F.lit(1)).alias(_LAST)]
-    # One row per entity: the last row before the output segments (null dates sort first, so they only
-    # win when the entity has nothing else there).
-    if keep_nulls:
-        history = None
-    elif lookback_days is not None and lower is not None:
-        history = _bounded_history(df, main, keys, time_col, dtype, lower, lookback_days, last_values)
-    else:
-        history = df.filter(history_cond).groupBy(*keys).agg(*last_values)
-
-    if segment:
-        seg_type = T.TimestampType()  # the type date_trunc returns
-        summary = main.groupBy(*keys, _SEG).agg(*last_values)
-        if history is not None:
-            summary = history.withColumn(_SEG, F.lit(None).cast(seg_type)).unionByName(summary)
-        # Summary of at most (entities x segments) rows: the carrier of a segment is the last row of the
-        # previous non-empty segment; the history row (null segment) sorts before all of them. A null
-        # segment never receives a carrier: it is the entity's first.
-        w_seg = Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_first())
-        carriers = (
-            summary.withColumns({c: F.lag(c).over(w_seg) for c in [*measures, _LAST]})
-            .filter(F.col(_SEG).isNotNull() & F.col(_LAST).isNotNull())
-            .select(*keys, _SEG, *measures)
-        )
+    rows = df
+    if end is not None:
+        # Rows without a date come before all others, so they may be a previous row.
+        dtype = df.schema[order[0]].dataType.typeName()
+        rows = df.filter(F.col(order[0]).isNull() | PF.on_or_before(order[0], PF.as_date(end), dtype))
+    hot = rows.groupBy(*keys).count().filter(F.col("count") > task_rows).select(*keys)
+    if hot.isEmpty():
+        changed = _changes(rows, keys, order, measures, digits, suffix)
     else:
-        carriers = history.select(*keys, *measures) if history is not None else None
+        cold = _null_safe_join(rows, hot, keys, "left_anti")
+        # Bounded: at most (all rows / task_rows) entities.
+        cold = _changes(cold, keys, order, measures, digits, suffix)
+        split = _changes_in_pieces(_null_safe_join(rows, hot, keys, "left_semi"), keys, order, measures, digits, suffix)
+        changed = cold.unionByName(split)
+    return in_date_range(changed, order[0], start, end)
 
-    stacked = main.withColumn(_KIND, F.lit(1))
-    if carriers is not None:
-        stacked = stacked.unionByName(carriers.withColumn(_KIND, F.lit(0)), allowMissingColumns=True)
 
-    w = Window.partitionBy(*keys, *seg_cols).orderBy(F.col(_KIND), *[F.col(o).asc_nulls_first() for o in order])
-    is_first = F.lag(_KIND).over(w).isNull()
+def _changes(rows: DataFrame, keys, order, measures, digits: int, suffix: str, first: Sequence[str] = ()) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*first, *[F.col(o).asc_nulls_first() for o in order])
+    is_first = F.row_number().over(w) == 1
     diffs: dict[str, Column] = {
-        f"{m}{suffix}": F.when(is_first, F.col(m)).otherwise(F.round(F.col(m) - F.lag(m).over(w), digits))
-        for m in measures
+        f"{m}{suffix}": F.when(is_first, F.col(m)).otherwise(F.round(F.col(m) - F.lag(m).over(w), digits)) for m in measures
     }
-    out = stacked.withColumns(diffs).filter(F.col(_KIND) == 1)
-    if start_day is not None and lower != start_day:
-        out = out.filter(PF.on_or_after(time_col, start_day, dtype))
-    return out.drop(_KIND, *seg_cols)
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Semi/anti join on ``keys`` where null matches null (a null key is one entity, as in a window)."""
-    renamed = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)])
-    cond = [F.col(k).eqNullSafe(F.col(f"__rk{i}")) for i, k in enumerate(keys)]
-    return left.join(renamed, cond, how)
-
-
-def _bounded_history(df, main, keys, time_col, dtype, lower, lookback_days, last_values) -> DataFrame:
-    """Last row before ``lower`` per output entity, reading old history only for the entities that need it.
-
-    * recent: rows in ``[lower - lookback_days, lower)`` reduced to their last row per entity;
-    * needy: entities of the output rows with no recent row (a small key set in a dense panel);
-    * old: rows before the look-back window (and null dates) of the needy entities only.
-
-    The needy set is joined, not broadcast by hint: adaptive execution broadcasts it when its measured
-    size is small, keeps a shuffle join otherwise, and drops the old-history branch when it is empty.
-    """
-    recent_lo = lower - dt.timedelta(days=lookback_days)
-    t = F.col(time_col)
-    recent = df.filter(PF.on_or_after(time_col, recent_lo, dtype) & PF.before(time_col, lower, dtype))
-    recent_last = recent.groupBy(*keys).agg(*last_values)
-    needy = _null_safe_join(main.select(*keys).distinct(), recent_last.select(*keys), keys, "left_anti")
-    old = _null_safe_join(df.filter(t.isNull() | PF.before(time_col, recent_lo, dtype)), needy, keys, "left_semi")
-    return recent_last.unionByName(old.groupBy(*keys).agg(*last_values))
-
-
-def _order_key(df: DataFrame, order: Sequence[str]) -> Column:
-    """A single orderable value for ``max_by``: the order column itself with nulls mapped below every
-    value (they sort first), which keeps the aggregation a hash aggregation; a struct for several columns
-    (planned as a sort aggregation -- exact, whereas packing e.g. a ``timestamp_ntz`` and an id into one
-    number would go through the session time zone and can invert order inside a DST gap).
-    """
-    if len(order) == 1:
-        dtype = df.schema[order[0]].dataType
-        lowest = _LOWEST.get(type(dtype))
-        if lowest is not None:
-            return F.coalesce(F.col(order[0]), F.lit(lowest).cast(dtype))
-    return F.struct(*[F.col(o) for o in order])
-
-
-_LOWEST = {
-    T.DateType: "0001-01-01",
-    T.TimestampType: "0001-01-01 00:00:00",
-    T.TimestampNTZType: "0001-01-01 00:00:00",
-    T.IntegerType: -(2**31),
-    T.LongType: -(2**63),
-    T.DoubleType: float("-inf"),
-}
+    return rows.withColumns(diffs)
+
+
+def _changes_in_pieces(rows: DataFrame, keys, order, measures, digits: int, suffix: str) -> DataFrame:
+    """:func:`_changes` with every entity cut into pieces of its own rows."""
+    shares = [i / PIECES for i in range(1, PIECES)]
+    bounds = rows.groupBy(*keys).agg(F.percentile_approx(order[0], shares, 10 * PIECES).alias("__bounds"))
+    cut = _null_safe_join(rows, bounds, keys, "inner", keep=["__bounds"])
+    # Rows without an order value come first: piece 0.
+    below = F.size(F.filter(F.coalesce("__bounds", F.array()), lambda b: b <= F.col(order[0])))
+    cut = cut.withColumn(_PIECE, F.when(F.col(order[0]).isNull(), 0).otherwise(below)).drop("__bounds")
+    last = cut.groupBy(*keys, _PIECE).agg(F.max_by(F.struct(*measures), F.struct(*order)).alias(_LAST))
+    # One row per piece: its predecessor is the piece before that has rows.
+    before = F.lag(_LAST).over(Window.partitionBy(*keys).orderBy(_PIECE))
+    carried = last.withColumn(_LAST, before).filter(F.col(_LAST).isNotNull())
+    carried = carried.select(*keys, _PIECE, *[F.col(f"{_LAST}.{m}").alias(m) for m in measures])
+    stacked = cut.withColumn(_KIND, F.lit(1)).unionByName(carried.withColumn(_KIND, F.lit(0)), allowMissingColumns=True)
+    changed = _changes(stacked, [*keys, _PIECE], order, measures, digits, suffix, first=[_KIND])
+    return changed.filter(F.col(_KIND) == 1).drop(_KIND, _PIECE)
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Join on ``keys`` where null matches null (a null key is one entity, as in a window)."""
+    renamed = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)], *keep)
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__rk{i}"))
+    return left.join(renamed, cond, how).drop(*[f"__rk{i}" for i in range(len(keys))])
 
 
 def assert_unique_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ Every query reads whole tables (``<sf_dir>/<name>.parquet``). The mapping to the
 * state monthly totals -> ``lineitem`` per (supplier, year, month);
 * weekly country panel -> ``orders`` per customer (``o_totalprice`` as measure and as rate).
 
-Money is summed exactly (scaled integers in Spark, ``DECIMAL`` in the oracle) so both engines get the
+Money is summed exactly (as decimals in both engines) so both engines get the
 same doubles regardless of summation order. The oracles restate the plain row-level semantics -- not
 the rewritten plans -- so they check the rewrites too.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from panelspark import functions as PF
 from panelspark import session as S
-from panelspark import sinks, sources, timings
+from panelspark import schemas, sinks, sources, timings
 from panelspark.operators import averages, leaders, panel, periods, profile
 from panelspark.sources import driver_table
 
@@ -30,9 +30,6 @@ EVENTS_RANGE = ("2024-01-08", "2024-01-14")
 PANEL_RANGE = ("1998-03-30", "1998-04-15")
 TOP_N = 5
 KEY_SEGMENT = "MACHINERY"
-# History windows before the ranges; older rows are read only for entities absent from them.
-EVENTS_LOOKBACK_DAYS = 3
-PANEL_LOOKBACK_DAYS = 31
 
 ORDERS_NAMES = leaders.LeaderNames(
     quarter="trimester", entity_total="customer_total", entity_avg="avg_price", period_total="period_total"
@@ -43,10 +40,7 @@ ORDERS_NAMES = leaders.LeaderNames(
 
 
 def lagged_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per user, change of ``value`` from the previous event; events of 2024-01-08..14.
-
-    Segmented by day: a user with a third of all events is still spread over one task per day.
-    """
+    """Per user, change of ``value`` from the previous event; events of 2024-01-08..14."""
     ev = driver_table(spark, sf_dir, "events")
     out = panel.lagged_change(
         ev,
@@ -56,8 +50,6 @@ def lagged_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         digits=3,
         start=EVENTS_RANGE[0],
         end=EVENTS_RANGE[1],
-        segment="day",
-        lookback_days=EVENTS_LOOKBACK_DAYS,
     )
     return out.select("user_id", "ts", "event_id", "value", "value_diff")
 
@@ -65,7 +57,7 @@ def lagged_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lagged_change_events_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user, change of ``value`` from the previous event over the whole history (no range)."""
     ev = driver_table(spark, sf_dir, "events")
-    out = panel.lagged_change(ev, ["user_id"], ["ts", "event_id"], ["value"], digits=3, segment="day")
+    out = panel.lagged_change(ev, ["user_id"], ["ts", "event_id"], ["value"], digits=3)
     return out.select("user_id", "ts", "event_id", "value", "value_diff")
 
 
@@ -100,7 +92,6 @@ def lagged_change_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         digits=3,
         start=PANEL_RANGE[0],
         end=PANEL_RANGE[1],
-        lookback_days=PANEL_LOOKBACK_DAYS,
     )
     return out.select("ship_date", "l_suppkey", "quantity", "quantity_diff", "base_price_diff")
 
@@ -211,15 +202,16 @@ def numeric_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overwrite replaces, append adds, the re-read returns what was written.
+    """Overwrite replaces, append adds, the re-read returns what was written: all orders.
 
-    Three writes to one table in the shared scratch folder: the 'P' orders (then overwritten), the 'F'
-    orders (overwrite), the 'O' orders (append). Reading back gives the 'F' and 'O' orders.
+    Four writes to one table in the shared scratch folder: the 'P' orders, then the 'F' orders in their place, then the others
+    and the 'P' orders once more behind these.
     """
     orders = driver_table(spark, sf_dir, "orders")
     root = S.scratch_path(spark, "round_trip")
-    for status, mode in (("P", "overwrite"), ("F", "overwrite"), ("O", "append")):
-        sinks.write_table(profile.rows_for_key(orders, "o_orderstatus", status), root, "copies", "orders", mode=mode)
+    status = F.coalesce("o_orderstatus", F.lit(""))
+    for rows, mode in ((status == "P", "overwrite"), (status == "F", "overwrite"), (~status.isin("F", "P"), "append"), (status == "P", "append")):
+        sinks.write_table(orders.filter(rows), root, "copies", "orders", mode=mode)
     return sources.read_table(spark, root, "copies", "orders")
 
 
@@ -252,16 +244,70 @@ def _timed_peak_month(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
 
 
 def timing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two timed runs of the peak-month job, appended to the timing log and read back (wall times)."""
+    """Two timed runs of the peak-month job, appended to the timing log and read back: what can be checked of it.
+
+    Runs, runs with all stages, runs whose total is at least the sum of the stages, and the rows that the job wrote.
+    """
     root = S.scratch_path(spark, "timings")
     for _ in range(2):
         timings.log_run(spark, _timed_peak_month(spark, sf_dir, root), root, "Query2")
-    return sources.read_table(spark, root, "Query2", "Execution_Times")
+    log = sources.read_table(spark, root, "Query2", "Execution_Times")
+    stages = [F.col(f"{s}_time") for s in timings.STAGES]
+    whole = stages[0] + stages[1] + stages[2]
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    checked = log.select(
+        one.alias("n_runs"),
+        (F.least(*stages) >= 0).cast("long").alias("n_with_stages"),
+        (F.col("Total_time") >= whole - 1e-6).cast("long").alias("n_with_total"),
+        none.alias("n_written"),
+    )
+    names = checked.columns
+    written = sources.read_table(spark, root, "Query2", "max_quantity_per_year").select(none, none, none, one)
+    return checked.union(written).agg(*[F.sum(n).alias(n) for n in names])
 
 
 def timing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Average of every numeric field of the timing log (one row)."""
-    return averages.average_numeric(timing_log(spark, sf_dir))
+    """Average of every numeric field of exported records: ``lineitem`` as timing records with an id."""
+    records = driver_table(spark, sf_dir, "lineitem").select(
+        F.struct(F.col("l_orderkey").cast("string").alias("$oid")).alias("_id"),
+        F.col("l_extendedprice").alias("Total_time"),
+        F.col("l_quantity").alias("load_time"),
+        F.col("l_discount").alias("process_time"),
+        F.col("l_tax").alias("write_time"),
+    )
+    path = S.scratch_path(spark, "timing_export")
+    sinks.write_json_records(records, path)
+    return averages.average_numeric(sources.read_json_records(spark, path, schemas.TIMING_EXPORT), digits=4)
+
+
+# ---------------------------------------------------------------- rows that filters and null handling have to see
+
+
+def signed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` with some prices null, zero or negative and some dates null (see _SIGNED_SQL)."""
+    k = F.col("o_orderkey")
+    price = F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, 0.0).when(k % 5 == 2, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
+    date = F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("o_orderdate"))
+    return driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", date.alias("o_orderdate"), price.alias("o_totalprice"))
+
+
+def _signed_quarter(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    names = ("o_custkey", "o_orderdate", "o_totalprice", "o_totalprice")
+    return leaders.quarter_peak(signed_orders(spark, sf_dir), *names, mode=mode, measure_scale=2, rate_scale=2, names=ORDERS_NAMES)
+
+
+def quarter_rows_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter rows where prices may be null, zero or negative and dates null."""
+    return _signed_quarter(spark, sf_dir, "cumulative")
+
+
+def quarter_rows_with_nulls_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _signed_quarter(spark, sf_dir, "calendar")
+
+
+def distinct_counts_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts in which null is a value of some columns."""
+    return profile.distinct_counts(signed_orders(spark, sf_dir), ["o_custkey", "o_orderdate", "o_totalprice"])
 
 
 # ---------------------------------------------------------------- registry
@@ -290,6 +336,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_records_scan": json_records_scan,
     "timing_log": timing_log,
     "timing_report": timing_report,
+    "quarter_rows_with_nulls": quarter_rows_with_nulls,
+    "quarter_rows_with_nulls_calendar": quarter_rows_with_nulls_calendar,
+    "distinct_counts_with_nulls": distinct_counts_with_nulls,
 }
 
 
@@ -367,10 +416,34 @@ SELECT c.o_custkey, c.year, c.trimester, c.month,
        CAST(c.s AS DOUBLE) AS customer_total,
        round(CAST(c.s AS DOUBLE) / c.n, 4) AS avg_price,
        CAST(m.t AS DOUBLE) AS period_total
-FROM cust c JOIN chosen m ON c.year = m.year AND c.month = m.month
+FROM cust c JOIN chosen m ON c.year IS NOT DISTINCT FROM m.year AND c.month IS NOT DISTINCT FROM m.month
 """
 
+# Orders with null, zero and negative prices and null dates, as signed_orders makes them.
+_SIGNED_SQL = """(
+    SELECT o_orderkey, o_custkey,
+           CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate,
+           CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 0.0 WHEN 2 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+    FROM orders
+)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "quarter_rows_with_nulls": _ORDER_ROWS_SQL.replace("FROM orders", f"FROM {_SIGNED_SQL}"),
+    "quarter_rows_with_nulls_calendar": _CALENDAR_ROWS_SQL.replace("FROM orders", f"FROM {_SIGNED_SQL}"),
+    "distinct_counts_with_nulls": f"""
+SELECT (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM {_SIGNED_SQL})) AS n_o_custkey,
+       (SELECT count(*) FROM (SELECT DISTINCT o_orderdate FROM {_SIGNED_SQL})) AS n_o_orderdate,
+       (SELECT count(*) FROM (SELECT DISTINCT o_totalprice FROM {_SIGNED_SQL})) AS n_o_totalprice
+""",
+    "timing_log": """
+SELECT CAST(2 AS BIGINT) AS n_runs, CAST(2 AS BIGINT) AS n_with_stages, CAST(2 AS BIGINT) AS n_with_total,
+       (SELECT count(*) FROM (SELECT DISTINCT l_suppkey, year(l_shipdate) FROM lineitem)) AS n_written
+""",
+    "timing_report": """
+SELECT round(avg(l_extendedprice), 4) AS Total_time, round(avg(l_quantity), 4) AS load_time,
+       round(avg(l_discount), 4) AS process_time, round(avg(l_tax), 4) AS write_time
+FROM lineitem
+""",
     "lagged_change_events": f"""
 SELECT user_id, ts, event_id, value, value_diff FROM (
     SELECT user_id, ts, event_id, value,
@@ -469,7 +542,7 @@ SELECT round(avg(l_orderkey), 4) AS l_orderkey, round(avg(l_partkey), 4) AS l_pa
        round(avg(l_discount), 4) AS l_discount, round(avg(l_tax), 4) AS l_tax
 FROM lineitem
 """,
-    "table_round_trip": "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')",
+    "table_round_trip": "SELECT * FROM orders",
     "csv_scan": "SELECT * FROM orders",
     "json_records_scan": "SELECT * FROM events",
 }

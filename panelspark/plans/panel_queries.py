@@ -29,25 +29,30 @@ COPY_SOURCE = ("mydatabase", "customers")
 COPY_TARGET = "customers1"
 COPY_FILTER = ("address", "Park Lane 38")
 TIMING_REPORT_DATABASE = "Query3"
+# Output columns of the quarter query.
+COVID_NAMES = leaders.LeaderNames(
+    quarter="trimester",
+    entity_total="country_covid_deaths",
+    entity_avg="avg_deaths_per100k",
+    period_total="monthly_covid_deaths",
+)
+# Profiled table: (its copy, columns whose values are listed, columns whose distinct values are counted).
+PROFILES = {
+    "weekly": (WEEKLY_COPY_TABLE, ["region_code", "days", "year", "country"], ["country", "region", "region_code", "week"]),
+    "county": (COUNTY_COPY_TABLE, ["year"], ["county", "state", "geoid"]),
+}
 # ---------------------------------------------------------------- end of fixed values
 
-Q1_LOOKBACK_DAYS = 31  # our choice: a daily panel almost always has a row in the month before the range
+RATE_SCALE = 12  # decimal places in which rates are summed, and deaths below; no order of rows changes such sums
+DEATHS_SCALE = 6
 
 
-def daily_change(
-    county: DataFrame,
-    start=Q1_RANGE[0],
-    end=Q1_RANGE[1],
-    segment: str | None = None,
-    lookback_days: int | None = Q1_LOOKBACK_DAYS,
-) -> DataFrame:
+def daily_change(county: DataFrame, start=Q1_RANGE[0], end=Q1_RANGE[1]) -> DataFrame:
     """Q1: day-on-day change of the four averages per county, shown for ``[start, end]``.
 
     The deaths differences are defined like the others but not selected; Catalyst removes them.
     """
-    out = panel.lagged_change(
-        county, ["geoid"], ["date"], Q1_MEASURES, 3, start, end, segment=segment, lookback_days=lookback_days
-    )
+    out = panel.lagged_change(county, ["geoid"], ["date"], Q1_MEASURES, 3, start, end)
     return out.select(*Q1_OUTPUT)
 
 
@@ -65,12 +70,12 @@ def peak_months(totals: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def country_months(weekly: DataFrame, rate_scale: int | None = None) -> DataFrame:
+def country_months(weekly: DataFrame, rate_scale: int | None = RATE_SCALE) -> DataFrame:
     """Q3 input reduced to one row per (country, year, month), positive weeks only."""
     prepared = leaders.prepare(weekly, "country", "start_date", "covid_deaths", "covid_deaths_per_100k")
-    return leaders.entity_months(prepared, "country", "covid_deaths", "covid_deaths_per_100k", None, rate_scale)
+    return leaders.entity_months(prepared, "country", "covid_deaths", "covid_deaths_per_100k", DEATHS_SCALE, rate_scale)
 
 
-def quarter_rows_from_months(monthly: DataFrame, mode: str = "cumulative", rate_scale: int | None = None) -> DataFrame:
+def quarter_rows_from_months(monthly: DataFrame, mode: str = "cumulative", rate_scale: int | None = RATE_SCALE) -> DataFrame:
     """Q3 quarter rows from :func:`country_months` (which a job materialises once)."""
-    return leaders.quarter_peak_from_months(monthly, "country", mode, None, rate_scale, leaders.COVID_NAMES)
+    return leaders.quarter_peak_from_months(monthly, "country", mode, DEATHS_SCALE, rate_scale, COVID_NAMES)

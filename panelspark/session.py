@@ -29,11 +29,17 @@ def get_spark(app: str = "panelspark", conf: dict | None = None, master: str | N
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    merged = dict(DEFAULT_CONF)
-    merged.update(conf or {})
-    for key, value in merged.items():
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    try:
+        known = spark._jsparkSession.sessionState().conf()
+    except Exception:  # Spark Connect: what was set cannot be seen, so nothing is changed
+        return spark
+    for key, value in DEFAULT_CONF.items():
+        if not known.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -50,6 +56,9 @@ def scratch_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect: no SparkContext on the client
             root = None
     if not root:
+        master = _master(spark)
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="panelspark-")
         try:
             spark.sparkContext.setCheckpointDir(root)
@@ -58,6 +67,13 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.master", "")
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path below :func:`scratch_root` (nothing is created)."""
     return "/".join([scratch_root(spark), "panelspark", *parts, uuid.uuid4().hex])
@@ -74,6 +90,9 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return int(total)
 
 
+SIZED = "spark.panelspark.initialPartitionNum"  # what size_shuffle set last, so that each job is sized anew
+
+
 def size_shuffle(spark: SparkSession, paths, bytes_per_partition: int = 256 << 20, minimum: int = 200) -> int | None:
     """Start adaptive execution from ``input size / bytes_per_partition`` shuffle partitions.
 
@@ -86,8 +105,10 @@ def size_shuffle(spark: SparkSession, paths, bytes_per_partition: int = 256 << 2
         conf = spark.sparkContext.getConf()
     except Exception:  # Spark Connect: no file-system handle on the client; leave the settings alone
         return None
-    if any(conf.contains(k) for k in keys) or any(spark.conf.get(k, None) not in (None, "200") for k in keys[1:]):
+    ours = spark.conf.get(SIZED, None)
+    if any(conf.contains(k) for k in keys) or spark.conf.get(keys[1], None) not in (None, ours):
         return None
     n = max(minimum, -(-input_bytes(spark, paths) // bytes_per_partition))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set(keys[1], str(n))
+    spark.conf.set(SIZED, str(n))
     return n

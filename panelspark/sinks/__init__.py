@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.sources import FILE_FORMATS, table_path
+from panelspark.sources import FILE_FORMATS, refuse_lossy, table_path
 
 MODES = {"overwrite", "append", "error", "errorifexists", "ignore"}
 
@@ -38,6 +38,9 @@ def write_table(
     mode = mode.lower()
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}")
+    refuse_lossy(fmt)
+    if fmt == "csv":
+        options = {**TIMESTAMP_FORMATS, "header": "true", **options}
     writer = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -51,31 +54,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).options(**TIMESTAMP_FORMATS).option("header", str(header).lower()).csv(path)
 
 
-def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write ``df`` as exported JSON: one file per partition, each holding one array of objects.
+def write_json_records(df: DataFrame, path: str, mode: str = "overwrite", per_array: int = 1_000) -> None:
+    """Write ``df`` as exported JSON: every line is one array of at most ``per_array`` records.
 
-    Rows are turned into JSON on the JVM (``to_json``); only the array brackets and commas are added
-    per partition, streaming over Arrow batches, so no partition is held in memory. Read back with
-    :func:`panelspark.sources.read_json_records`.
+    All of it runs on the JVM. Arrays are filled within the input partitions, and the files can be split by
+    line when they are read back with :func:`panelspark.sources.read_json_records`.
     """
-    # Defined here, not at module level, so it is shipped to the Python workers by value and needs no
-    # import of this package there.
-    def frame_as_json_array(batches: Iterator) -> Iterator:
-        """One partition's JSON objects as the lines of one JSON array: ``[{..}``, ``,{..}``, ``]``."""
-        import pandas as pd
-
-        started = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            prefix = pd.Series(",", index=pdf.index)
-            if not started:
-                prefix.iloc[0] = "["
-                started = True
-            yield pd.DataFrame({"value": prefix + pdf["json"]})
-        if started:
-            yield pd.DataFrame({"value": ["]"]})
-
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    objects = df.select(F.to_json(row, TIMESTAMP_FORMATS).alias("json"))
-    objects.mapInPandas(frame_as_json_array, "value string").write.mode(mode).text(path)
+    chunk = F.floor(F.monotonically_increasing_id() / F.lit(per_array))
+    numbered = df.select(F.to_json(row, TIMESTAMP_FORMATS).alias("json"), chunk.alias("chunk"))
+    # As many files as the cluster has task slots at least, so that reading them back is shared out as well.
+    spread = numbered.repartition(df.sparkSession.sparkContext.defaultParallelism, "chunk")
+    arrays = spread.groupBy("chunk").agg(F.array_join(F.collect_list("json"), ",").alias("records"))
+    arrays.select(F.concat(F.lit("["), "records", F.lit("]")).alias("value")).write.mode(mode).text(path)

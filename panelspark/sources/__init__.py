@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,27 +15,49 @@ def read_csv(
     schema: T.StructType | None = None,
     header: bool = True,
     infer_schema: bool = False,
+    bad_values: str = "raise",
+    all_columns: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV with a header line.
 
-    With ``schema`` the columns are matched **by header name** (the file may hold more columns, in any
-    order) and converted with ``try_cast``, so a malformed value becomes null instead of failing the
-    job. No extra pass over the data is made. Without a schema the columns stay strings, or are inferred
-    with ``infer_schema=True`` (one extra pass over the file).
+    With ``schema`` the columns are matched by header name and converted; the file may hold more columns, in
+    any order. A value that is present but does not convert raises an error, or becomes null with
+    ``bad_values="null"``. Whole numbers written as ``12.0`` or ``1e3`` are whole numbers. The result has the
+    schema's columns, absent ones as nulls; with ``all_columns`` it has the file's own columns instead, all of them,
+    those outside the schema as strings.
+
+    All files of a folder must have the same header; a file whose header differs raises an error when it is read.
+    Without a schema the columns stay strings, or are inferred with ``infer_schema=True`` (one extra pass).
     """
+    if bad_values not in ("raise", "null"):
+        raise ValueError(f"bad_values must be 'raise' or 'null', got {bad_values!r}")
     reader = spark.read.options(header=str(header).lower(), **options)
+    if header:
+        # Else values of a file with another column order would land under the wrong names.
+        reader = reader.option("enforceSchema", "false")
     if schema is None:
         return reader.option("inferSchema", str(infer_schema).lower()).csv(path)
     raw = reader.csv(path)
+    known = {f.name: f for f in schema.fields}
+    if all_columns:
+        return raw.select(*[_converted(known[c], bad_values) if c in known else F.col(f"`{c}`") for c in raw.columns])
     present = set(raw.columns)
+    return raw.select(
+        *[_converted(f, bad_values) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
 
-    def typed(field: T.StructField):
-        if field.name not in present:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        return F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name)
 
-    return raw.select([typed(f) for f in schema.fields])
+def _converted(field: T.StructField, bad_values: str) -> Column:
+    text = F.col(f"`{field.name}`")
+    value = text.try_cast(field.dataType)
+    if isinstance(field.dataType, T.IntegralType):
+        number = text.try_cast(T.DecimalType(38, 10))
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(field.dataType)))
+    if bad_values == "raise":
+        told = F.concat(F.lit(f"column {field.name}: cannot convert "), text)
+        value = F.when(text.isNotNull() & value.isNull(), F.raise_error(told).cast(field.dataType)).otherwise(value)
+    return value.alias(field.name)
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], columns: Iterable[str] | None = None) -> DataFrame:
@@ -43,16 +65,51 @@ def read_parquet(spark: SparkSession, path: str | list[str], columns: Iterable[s
     return df.select(*columns) if columns else df
 
 
-def read_json_records(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """Exported JSON: each file holds one array of objects (or one object), spread over many lines.
+def read_json_records(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, layout: str | None = None
+) -> DataFrame:
+    """Exported JSON: the records of every file, whichever way they are laid out.
+
+    * ``lines``: every line is an object or an array of objects; files are split among tasks;
+    * ``document``: a file is one array of objects, or one object, over any number of lines; Spark parses
+      such a file in one task and builds its whole array there, so keep these files small.
 
-    Files are parsed whole and streamed record by record, one task per file. Keep files to a bounded
-    size (the writer in :mod:`panelspark.sinks` makes one per output partition).
+    Without ``layout`` each file's is found first, by one pass over the lines. A file that is neither (several
+    objects one after the other, each over several lines) raises an error, as does text that is not JSON.
     """
-    reader = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE").options(**TIMESTAMP_READ_FORMATS)
+    paths = [path] if isinstance(path, str) else list(path)
+    if layout not in (None, "lines", "document"):
+        raise ValueError(f"layout must be 'lines' or 'document', got {layout!r}")
+    by_layout = {layout: paths} if layout else _json_layouts(spark, paths)
+    reader = spark.read.option("mode", "FAILFAST").options(**TIMESTAMP_READ_FORMATS)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.json(path)
+    parts = [
+        reader.option("multiLine", str(kind == "document").lower()).json(found) for kind, found in sorted(by_layout.items()) if found
+    ]
+    if not parts:
+        return spark.createDataFrame([], schema or T.StructType())
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
+def _json_layouts(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Files by layout. Names of files come to the driver, as in any file listing; their lines do not."""
+    lines = spark.read.text(paths).select(F.trim("value").alias("v"), F.col("_metadata.file_path").alias("file")).filter("v <> ''")
+    whole = F.regexp_like("v", F.lit(r"^(\{.*\}|\[.*\])$"))
+    files = lines.groupBy("file").agg(
+        F.min(whole).alias("lines"),
+        F.max(F.startswith("v", F.lit("["))).alias("array"),
+        F.sum(F.regexp_like("v", F.lit(r"^\{")).cast("int")).alias("objects"),
+    )
+    found: dict[str, list[str]] = {"lines": [], "document": []}
+    for row in files.collect():
+        if not row["lines"] and not row["array"] and row["objects"] > 1:
+            raise ValueError(f"{row['file']}: several JSON values over several lines each")
+        found["lines" if row["lines"] else "document"].append(row["file"])
+    return found
 
 
 def read_table(
@@ -69,7 +126,8 @@ def read_table(
     File formats live at ``root/database/table``. Any other format (a connector on the class path, for
     example a document store) receives ``database`` and ``collection``/``table`` options instead.
     """
-    reader = spark.read.format(fmt).options(**options)
+    refuse_lossy(fmt)
+    reader = spark.read.format(fmt).options(**{**_READ_OPTIONS.get(fmt, {}), **options})
     if schema is not None:
         reader = reader.schema(schema)
     if fmt in FILE_FORMATS:
@@ -77,7 +135,14 @@ def read_table(
     return reader.option("database", database).option("collection", table).option("table", table).load()
 
 
-FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro", "text"}
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
+# A table's csv files carry their header; without a schema their types are inferred.
+_READ_OPTIONS = {"csv": {"header": "true", "inferSchema": "true", "enforceSchema": "false"}}
+
+
+def refuse_lossy(fmt: str) -> None:
+    if fmt == "text":
+        raise ValueError("text files keep neither column names nor types; choose another table format")
 
 # Optional fraction of up to six digits: reads what the writers in panelspark.sinks produce, and the
 # plain ISO forms of other exporters.
@@ -91,19 +156,6 @@ def table_path(root: str, database: str, table: str) -> str:
     return f"{root.rstrip('/')}/{database}/{table}"
 
 
-_KNOWN_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the generated benchmark tables, ``<sf_dir>/<name>.parquet``.
-
-    The tables are immutable, so the schema read from the footers the first time is reused: later reads
-    skip the schema-inference job.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _KNOWN_SCHEMAS.get(path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    _KNOWN_SCHEMAS[path] = df.schema
-    return df
+    """One of the generated benchmark tables, ``<sf_dir>/<name>.parquet``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as E
+from panelspark.plans import driver
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels"]
@@ -18,8 +19,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_but_wall_times():
-    assert set(E.oracle_sql()) == set(E.queries()) - {"timing_log", "timing_report"}
+def test_every_query_has_an_oracle():
+    assert set(driver.ORACLE_SQL) == set(driver.QUERIES)
+    assert set(driver.ORACLE_SQL) <= set(E.oracle_sql()) and set(driver.QUERIES) <= set(E.queries())
 
 
 def _norm(rows, cols):
@@ -43,7 +45,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(driver.ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -55,11 +57,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert _norm(rows, df.columns) == _norm(orows, ocols)
 
 
-def test_timing_queries_run(spark):
-    assert E.queries()["timing_log"](spark, SF).count() == 2
-    assert E.queries()["timing_report"](spark, SF).count() == 1
-
-
 FORBIDDEN_IN_PLANS = (
     "BatchEvalPython",  # row-at-a-time Python UDF
     "ArrowEvalPython",  # pandas UDF
@@ -70,8 +67,26 @@ FORBIDDEN_IN_PLANS = (
 )
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"timing_log", "timing_report"}))
+@pytest.mark.parametrize("name", sorted(driver.QUERIES))
 def test_plans_stay_on_the_jvm_and_emit_no_pairs(spark, name):
-    """Every registered query runs as built-in expressions, with no Python on rows and no all-pairs join."""
-    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert not [p for p in FORBIDDEN_IN_PLANS if p in plan]
+    """Every query, and every table it writes on its way, runs as built-in expressions with no all-pairs join."""
+    seen = []
+    tracked = type(spark.range(0).write)
+    save = {n: getattr(tracked, n) for n in ("save", "parquet", "csv", "json", "text")}
+
+    def recording(method):
+        def run(self, *args, **kwargs):
+            seen.append(self._df._jdf.queryExecution().executedPlan().toString())
+            return method(self, *args, **kwargs)
+
+        return run
+
+    try:
+        for n, method in save.items():
+            setattr(tracked, n, recording(method))
+        seen.append(driver.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for n, method in save.items():
+            setattr(tracked, n, method)
+    for plan in seen:
+        assert not [p for p in FORBIDDEN_IN_PLANS if p in plan]

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +49,51 @@ def test_scratch_root_is_the_checkpoint_folder(spark):
     assert a != b and a.startswith(root)
 
 
-def test_get_spark_returns_the_active_session(spark):
+def test_get_spark_leaves_what_was_set(spark):
     assert session.get_spark("other-name") is spark
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    keep = {"spark.sql.session.timeZone": "America/New_York", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keep}
+    try:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+        session.get_spark("again")
+        assert {k: spark.conf.get(k) for k in keep} == keep
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+        session.get_spark("again")
+        assert spark._jsparkSession.sessionState().conf().contains("spark.sql.adaptive.skewJoin.enabled")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_no_private_scratch_folder_on_a_cluster(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://head:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.scratch_root(Session())
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_beyond_64_bits(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        values = [90071992547409.91] * 3 + [0.01] * 7  # over 2**53 units together
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+        exact = sum(Decimal(repr(v)) for v in values)
+        assert exact * 100 > 2**53 and df.agg(PF.exact_sum("x", 2).alias("s")).first().s == float(exact)
+        big = spark.range(0, 30).select(F.lit(9e15).alias("x"))
+        assert big.agg(PF.exact_sum("x", 6).alias("s")).first().s == 2.7e17  # 2.7e23 units
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

@@ -60,7 +60,12 @@ def test_csv_schema_by_header_name(spark, tmp_root):
             d["extra"] = "zz"
             fh.write(",".join("" if d[c] is None else str(d[c]) for c in cols) + "\n")
         fh.write("USA-9,not-a-date,Utah,Delta,zz,abc,1,1.0,1.0,1.0,1.0\n")
-    df = sources.read_csv(spark, path, schema=schemas.COUNTY_DAILY)
+    with pytest.raises(Exception, match="cannot convert"):
+        sources.read_csv(spark, path, schema=schemas.COUNTY_DAILY).collect()
+    # all columns of the file, those outside the schema as text
+    whole = sources.read_csv(spark, path, schema=schemas.COUNTY_DAILY, bad_values="null", all_columns=True)
+    assert whole.columns == cols and whole.filter("extra <> 'zz'").count() == 0
+    df = sources.read_csv(spark, path, schema=schemas.COUNTY_DAILY, bad_values="null")
     assert df.columns == schemas.COUNTY_DAILY.fieldNames()
     got = {tuple(r) for r in df.filter(F.col("geoid") != "USA-9").collect()}
     assert got == {tuple(r) for r in county(spark).collect()}
@@ -74,11 +79,11 @@ def test_json_records_round_trip_with_empty_partitions(spark, tmp_root):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     path = os.path.join(tmp_root, "events_json")
     sinks.write_json_records(ev.repartition(16).filter(F.col("event_id") % 7 == 0), path)
-    for name in os.listdir(path):
-        if name.endswith(".txt"):
-            text = open(os.path.join(path, name)).read()
-            if text:
-                assert isinstance(json.loads(text), list)
+    files = [name for name in os.listdir(path) if name.endswith(".txt")]
+    assert len(files) > 1
+    for name in files:
+        for line in open(os.path.join(path, name)):
+            assert isinstance(json.loads(line), list)
     back = sources.read_json_records(spark, path, schema=ev.schema)
     assert back.subtract(ev.filter(F.col("event_id") % 7 == 0)).count() == 0
     assert back.count() == ev.filter(F.col("event_id") % 7 == 0).count()
@@ -132,9 +137,81 @@ def test_input_bytes_and_shuffle_sizing(spark):
     assert session.size_shuffle(spark, "/root/testdata/sf0.001/lineitem.parquet") is None
 
 
-def test_json_writer_needs_no_package_on_workers():
-    """The per-partition framing function is defined inside the writer, so it is pickled by value."""
-    import inspect
+RECORDS = [{"name": n, "n": i} for i, n in enumerate("abcde")]
 
-    src = inspect.getsource(sinks.write_json_records)
-    assert "def frame_as_json_array" in src
+
+@pytest.mark.parametrize("layout", ["lines", "one line", "pretty", "array of lines", "objects over lines", "empty"])
+def test_json_records_of_any_layout(spark, tmp_root, layout):
+    """Never a prefix: all records, or an error."""
+    path = os.path.join(tmp_root, "records.json")
+    text = {
+        "lines": "\n".join(map(json.dumps, RECORDS)),
+        "one line": json.dumps(RECORDS),
+        "pretty": json.dumps(RECORDS, indent=2),
+        "array of lines": "[" + ",\n".join(map(json.dumps, RECORDS)) + "]",
+        "objects over lines": "\n".join(json.dumps(r, indent=2) for r in RECORDS),
+        "empty": "",
+    }[layout]
+    with open(path, "w") as fh:
+        fh.write(text)
+    if layout == "objects over lines":
+        with pytest.raises(ValueError):
+            sources.read_json_records(spark, path)
+        return
+    back = sources.read_json_records(spark, path, schema="name string, n long" if layout == "empty" else None)
+    assert sorted((r.name, r.n) for r in back.collect()) == ([] if layout == "empty" else [(r["name"], r["n"]) for r in RECORDS])
+
+
+def test_json_lines_read_as_a_document_fail_or_are_found(spark, tmp_root):
+    path = os.path.join(tmp_root, "mixed")
+    os.makedirs(path)
+    for name, text in (("a.json", "\n".join(map(json.dumps, RECORDS))), ("b.json", json.dumps(RECORDS, indent=1))):
+        with open(os.path.join(path, name), "w") as fh:
+            fh.write(text)
+    assert sources.read_json_records(spark, path).count() == 2 * len(RECORDS)
+
+
+def test_json_export_is_read_by_several_tasks(spark, tmp_root):
+    path = os.path.join(tmp_root, "events_json")
+    ev = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    sinks.write_json_records(ev, path)
+    back = sources.read_json_records(spark, path, schema=ev.schema)
+    assert back.rdd.getNumPartitions() > 1
+    assert back.count() == ev.count()
+
+
+def test_csv_files_of_one_folder_must_agree(spark, tmp_root):
+    path = os.path.join(tmp_root, "folder")
+    os.makedirs(path)
+    for name, text in (("a.csv", "geoid,deaths,cases\nX,1,2\nZ,3,4\n"), ("b.csv", "geoid,cases,deaths\nY,1,2\n")):
+        with open(os.path.join(path, name), "w") as fh:
+            fh.write(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_csv(spark, path, schema=schemas.COUNTY_DAILY).collect()
+
+
+def test_csv_whole_numbers_in_any_form(spark, tmp_root):
+    path = os.path.join(tmp_root, "numbers.csv")
+    with open(path, "w") as fh:
+        fh.write("geoid,cases\na,12.0\nb,1e3\nc,7\nd,\n")
+    got = sources.read_csv(spark, path, schema=schemas.COUNTY_DAILY).select("geoid", "cases").collect()
+    assert {r.geoid: r.cases for r in got} == {"a": 12, "b": 1000, "c": 7, "d": None}
+    with open(path, "a") as fh:
+        fh.write("e,1.5\n")
+    with pytest.raises(Exception, match="cannot convert"):
+        sources.read_csv(spark, path, schema=schemas.COUNTY_DAILY).collect()
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_table_formats_round_trip(spark, tmp_root, fmt):
+    df = spark.createDataFrame([("a", 1, 2.5), ("b", 2, None)], "name string, n long, x double")
+    sinks.write_table(df, tmp_root, "d", "t", fmt=fmt)
+    back = sources.read_table(spark, tmp_root, "d", "t", fmt=fmt).select("name", "n", "x")
+    assert sorted(map(tuple, back.collect())) == [("a", 1, 2.5), ("b", 2, None)]
+
+
+def test_text_tables_are_refused(spark, tmp_root):
+    with pytest.raises(ValueError):
+        sinks.write_table(spark.range(1), tmp_root, "d", "t", fmt="text")
+    with pytest.raises(ValueError):
+        sources.read_table(spark, tmp_root, "d", "t", fmt="text")

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelspark.operators import leaders
+from panelspark.plans import panel_queries as Q
 from tests.fixtures import weekly
 
 COLS = ["country", "year", "trimester", "month", "country_covid_deaths", "avg_deaths_per100k", "monthly_covid_deaths"]
@@ -33,7 +34,7 @@ FROM m WHERE monthly_covid_deaths = mx
 def run(spark, n=1, mode="cumulative"):
     return leaders.quarter_leaders(
         weekly(spark), "country", "start_date", "covid_deaths", "covid_deaths_per_100k", n=n, mode=mode,
-        names=leaders.COVID_NAMES,
+        names=Q.COVID_NAMES,
     )
 
 
@@ -131,29 +132,27 @@ def test_bad_mode(spark):
 
 @pytest.mark.parametrize("mode", ["cumulative", "calendar"])
 def test_from_checkpointed_months_equals_direct(spark, mode):
-    from panelspark.plans import panel_queries as Q
-
     direct = as_set(run(spark, mode=mode)[0])
-    monthly = Q.country_months(weekly(spark)).checkpoint(eager=True)
+    monthly = Q.country_months(weekly(spark))
     assert as_set(Q.quarter_rows_from_months(monthly, mode)) == direct
 
 
-def test_top_n_beyond_the_group_limit_threshold(spark):
-    """Above the threshold the explicit bucketed pre-rank gives the same rows, ties included."""
-    rows, _ = run(spark)
-    expected = as_set(leaders.top_n(rows, ["year", "trimester"], "country_covid_deaths", 2))
-    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1")
-    try:
-        top = leaders.top_n(rows, ["year", "trimester"], "country_covid_deaths", 2, buckets=3)
-        assert as_set(top) == expected
-        windows = lambda d: d._jdf.queryExecution().executedPlan().toString().count("Window [")
-        assert windows(top) == windows(rows) + 2  # bucketed pre-rank, then the group rank
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+@pytest.mark.parametrize("n", [1, 5, 1500])
+def test_top_n_of_any_n(spark, n):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    big = leaders.top_n(orders, ["o_orderstatus"], "o_totalprice", 1500, buckets=8)
-    plain = orders.withColumn(
-        "r", F.rank().over(Window.partitionBy("o_orderstatus").orderBy(F.col("o_totalprice").desc()))
-    ).filter("r <= 1500").drop("r")
-    assert big.count() == plain.count() and big.exceptAll(plain).count() == 0
+    top = leaders.top_n(orders, ["o_orderstatus"], "o_totalprice", n)
+    w = Window.partitionBy("o_orderstatus").orderBy(F.col("o_totalprice").desc())
+    plain = orders.withColumn("r", F.rank().over(w)).filter(F.col("r") <= n).drop("r")
+    assert top.count() == plain.count() and top.exceptAll(plain).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["cumulative", "calendar"])
+def test_rows_without_a_date_stay(spark, mode):
+    df = spark.createDataFrame(
+        [("A", "2020-01-05", 3.0), ("A", None, 4.0), ("B", None, 5.0), ("B", None, -1.0), (None, "2020-02-02", 1.0)],
+        "country string, start_date string, v double",
+    ).withColumn("start_date", F.to_date("start_date"))
+    got = leaders.quarter_peak(df, "country", "start_date", "v", "v", mode=mode, names=Q.COVID_NAMES)
+    undated = {(r.country, r.country_covid_deaths, r.monthly_covid_deaths) for r in got.filter("year IS NULL").collect()}
+    assert undated == {("A", 4.0, 9.0), ("B", 5.0, 9.0)}
+    assert got.filter("year IS NOT NULL").count() == 1

@@ -5,6 +5,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from panelspark.plans import panel_queries as Q
 from panelspark.operators import leaders, panel, periods
 from tests.test_leaders import ROW_LEVEL_SQL
 from tests.test_panel import plain_lagged, rows
@@ -28,12 +29,11 @@ SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[Healt
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     data=panel_rows,
-    segment=st.sampled_from([None, "week", "month", "quarter"]),
+    task_rows=st.sampled_from([panel.TASK_ROWS, 0, 2, 5]),
     start=st.one_of(st.none(), st.integers(0, 400)),
     span=st.one_of(st.none(), st.integers(0, 200)),
-    lookback=st.one_of(st.none(), st.integers(0, 60)),
 )
-def test_lagged_change_equals_plain_window(spark, data, segment, start, span, lookback):
+def test_lagged_change_equals_plain_window(spark, data, task_rows, start, span):
     df = spark.createDataFrame(
         [(k, None if d is None else BASE + dt.timedelta(days=d), v) for k, d, v in data], "k string, d date, v double"
     )
@@ -41,7 +41,7 @@ def test_lagged_change_equals_plain_window(spark, data, segment, start, span, lo
     hi = None if (start is None or span is None) else lo + dt.timedelta(days=span)
     cols = ["k", "d", "v", "v_diff"]
     expected = rows(plain_lagged(df, ["k"], ["d"], ["v"], 2, lo, hi), cols)
-    got = rows(panel.lagged_change(df, ["k"], ["d"], ["v"], 2, lo, hi, segment=segment, lookback_days=lookback), cols)
+    got = rows(panel.lagged_change(df, ["k"], ["d"], ["v"], 2, lo, hi, task_rows=task_rows), cols)
     assert got == expected
 
 
@@ -67,7 +67,7 @@ def test_quarter_peak_equals_row_level(spark, data):
     df.createOrReplaceTempView("weekly")
     expected = {tuple(r) for r in spark.sql(ROW_LEVEL_SQL).collect()}
     got, _ = leaders.quarter_leaders(
-        df, "country", "start_date", "covid_deaths", "covid_deaths_per_100k", names=leaders.COVID_NAMES
+        df, "country", "start_date", "covid_deaths", "covid_deaths_per_100k", names=Q.COVID_NAMES
     )
     cols = ["country", "year", "trimester", "month", "country_covid_deaths", "avg_deaths_per100k", "monthly_covid_deaths"]
     assert {tuple(r) for r in got.select(*cols).collect()} == expected
