@@ -1,0 +1,219 @@
+"""Quality rules, secret scans, license scans and mixing against plain Python."""
+
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from panelspark.llm import licenses, mixing, quality_rules, queries, secrets
+from panelspark.llm.common import matches, prefix_sums
+from tests.llm import brute
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+
+
+def same(row, names, expected):
+    return tuple(row[n] for n in names) == tuple(expected)
+
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def test_op1_against_brute_force(spark, texts):
+    rows = queries.op1_quality_rules(spark, SF).collect()
+    assert len(rows) == len(texts)
+    assert all(same(r, COUNTS, brute.quality_counts(texts[r.doc_id])) for r in rows)
+    assert not any(r.kept and r.base_failed for r in rows) and sum(r.kept for r in rows) > len(rows) / 2
+
+
+def test_quality_rules_on_odd_rows(odd_docs, odd_rows, no_docs):
+    rows = quality_rules.quality_rules(odd_docs).collect()
+    got = Counter((r.doc_id, *[r[n] for n in COUNTS]) for r in rows)
+    assert got == Counter((i, *brute.quality_counts(t)) for i, t, *_ in odd_rows)
+    assert quality_rules.quality_rules(no_docs).collect() == []
+
+
+def test_votes_find_bad_documents():
+    """Votes drawn from known accuracies: the posterior separates the classes better than all-must-pass."""
+    rng = random.Random(5)
+    drawn = []
+    for _ in range(4000):
+        good = rng.random() < 0.8
+        right = [rng.random() < 0.85 for _ in range(6)]
+        drawn.append((good, tuple((1 if good else -1) * (1 if r else -1) if rng.random() < 0.8 else 0 for r in right)))
+    counts = Counter(v for _, v in drawn)
+    model = quality_rules.fit_votes(list(counts.items()), 6)
+    assert 0.7 < model.prior < 0.9
+
+    def kept(v):
+        return math.log(model.prior / (1 - model.prior)) + sum(r[x] for r, x in zip(model.log_ratios, v)) >= 0
+
+    accuracy = sum(kept(v) == g for g, v in drawn) / len(drawn)
+    strict = sum((-1 not in v) == g for g, v in drawn) / len(drawn)
+    assert accuracy > 0.93 and accuracy > strict + 0.1
+    assert quality_rules.fit_votes([], 6).prior == 0.5
+
+
+def test_op2_against_brute_force(spark, texts):
+    rows = queries.op2_secret_scan(spark, SF).collect()
+    assert len(rows) == len(texts)
+    names = ["n_assign", "n_access", "n_hex", "base_sha256"]
+    for r in rows:
+        *expected, spans = brute.secrets(texts[r.doc_id])
+        assert same(r, names, expected)
+        assert set(spans) <= set(r.spans.split(","))
+
+
+def test_secrets_on_odd_rows(odd_docs, odd_rows, no_docs):
+    rows = secrets.scan(odd_docs).select("doc_id", secrets.spans_text(F.col("base_spans")).alias("b"), secrets.spans_text(F.col("spans")).alias("s")).collect()
+    got = Counter((r.doc_id, r.b) for r in rows)
+    assert got == Counter((i, ",".join(brute.secrets(t)[4])) for i, t, *_ in odd_rows)
+    found = next(r.s for r in rows if r.doc_id == 9)
+    assert "access:0:20" in found and "entropy_base64" in found and "entropy_hex" in found
+    assert secrets.scan(no_docs).collect() == []
+
+
+def entropy(window):
+    n = Counter(window)
+    return -sum(c / len(window) * math.log2(c / len(window)) for c in n.values())
+
+
+def test_incremental_entropy_equals_each_window(spark):
+    rng = random.Random(3)
+    strings = ["".join(rng.choice("0123456789abcdefXYZ"[:k]) for _ in range(n)) for k, n in [(1, 20), (2, 33), (16, 20), (16, 64), (19, 300)]]
+    df = spark.createDataFrame([(s,) for s in [*strings, "short"]], "s string").select("s", secrets.window_entropy(F.col("s")).alias("h"))
+    for r in df.collect():
+        expected = [entropy(r.s[i : i + 20]) for i in range(len(r.s) - 19)]
+        assert r.h is None if not expected else r.h == pytest.approx(max(expected), abs=1e-5)
+
+
+def test_allow_list_and_redaction(spark, odd_docs):
+    keep = "deadbeefdeadbeefDEADBEEF01 EXAMPLEabc123XYZ789EXAMPLEkey"
+    text = f"{keep} then token='{'ab12' * 10}' and Zx9Qw8Er7Ty6Ui5Op4As3Df2Gh1 end"
+    docs = spark.createDataFrame([(1, text, 99, "b", "s"), (2, None, None, "", ""), (3, "clean", 5, "", "")], "doc_id long, text string, n_chars long, base string, spans string")
+    got = {r.doc_id: r for r in secrets.redact(docs).collect()}
+    assert got[1].text == f"{keep} then [SECRET]' and [SECRET] end" and got[1].n_chars == len(got[1].text)
+    assert tuple(got[2]) == (2, None, None, "", "") and tuple(got[3]) == (3, "clean", 5, "", "")
+    assert secrets.redact(odd_docs).columns == odd_docs.columns and secrets.redact(odd_docs).count() == odd_docs.count()
+
+
+def test_positions_of_many_matches(spark):
+    text = "é1 " * 1000
+    df = spark.createDataFrame([(text,)], "t string").select(matches(F.col("t"), "[0-9]").alias("m"))
+    assert [(m.start, m.end, m.hit) for m in df.first().m] == [(3 * i + 1, 3 * i + 2, "1") for i in range(1000)]
+    sums = spark.createDataFrame([(list(range(300)),)], "v array<int>").select(prefix_sums(F.col("v")).alias("p")).first().p
+    assert sums == [sum(range(i)) for i in range(300)]
+
+
+LICENSE = ["n_words", "n_base", "first_word", "last_word", "base_labels"]
+
+
+def test_op7_against_brute_force(spark, texts):
+    rows = queries.op7_license_scan(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert same(r, LICENSE, brute.licenses(texts[r.doc_id]))
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_licenses_on_odd_rows(odd_docs, odd_rows, no_docs):
+    rows = licenses.scan_licenses(odd_docs.select("doc_id", "text")).collect()
+    got = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, ",".join(r.base_labels_array)) for r in rows)
+    assert got == Counter((i, *brute.licenses(t)) for i, t, *_ in odd_rows)
+    assert licenses.scan_licenses(no_docs.select("doc_id", "text")).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("GNU Lesser General Public License, version 3", ["lgpl-3"]),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", ["gpl-2"]),
+        ("see https://www.apache.org/licenses/LICENSE-2.0.txt", ["apache-2"]),
+        ("the MIT license and the BSD 3-Clause License", ["bsd-3", "mit"]),
+        ("GNU General Public License, version 2; GNU General Public License", ["gpl", "gpl-2"]),
+        ("plain prose about permits", []),
+    ],
+)
+def test_overlaps_are_suppressed(spark, text, labels):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert licenses.scan_licenses(df).first().labels_array == labels
+
+
+def test_every_rule_is_reached_through_its_keyword_and_a_stem():
+    """Every address, tag and fixed phrase passes both gates; hundreds of rules."""
+    assert len(licenses.RULES) > 190
+    samples = [at for *_, at in licenses.LICENSES if at] + [f"spdx-license-identifier: {s}".lower() for *_, s, _ in licenses.LICENSES if s]
+    assert all(any(stem in s for stem in licenses.STEMS) or "licen" in s for s in samples if ".org/license" in s or "spdx" in s)
+
+
+def plain_targets(sizes, weights=(1, 2, 3), most=3):
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        free = [s for s in names if s not in fixed]
+        rest = total - sum(fixed.values())
+        share = {s: rest * w[s] / sum(w[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > most * sizes[s]]
+        if not over:
+            return fixed | share
+        fixed |= {s: most * sizes[s] for s in over}
+
+
+def test_op10_targets_and_copies(spark, texts):
+    rows = queries.op10_mix_sources(spark, SF).collect()
+    assert len(rows) == len(texts)
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source").collect()}
+    size = {i: len(brute.words(t)) for i, t in texts.items()}
+    per = Counter()
+    for i, n in size.items():
+        per[source[i]] += n
+    targets = plain_targets(per)
+    for r in rows:
+        assert (r.size, r.source_size) == (size[r.doc_id], per[source[r.doc_id]])
+        assert r.target == pytest.approx(targets[source[r.doc_id]])
+        rate = r.target / r.source_size
+        assert r.taken in (r.size * math.floor(rate), r.size * math.ceil(rate)) and r.taken <= 3 * r.size
+    again = queries.op10_mix_sources(spark, SF).collect()
+    assert sorted(rows) == sorted(again)
+
+
+def test_mixing_takes_near_the_target(spark):
+    """Many documents of one length: taken words come close to the target, capped sources included."""
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 50 == 0, "rare").when(F.col("id") % 3 == 0, None).otherwise(F.lit("big")).alias("source"),
+        F.lit("a b c d").alias("text"),
+    )
+    plan = mixing.mix_plan(docs).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size"))
+    rows = plan.collect()
+    sizes = {r.source: r.size for r in rows}
+    assert {r.source: r.target for r in rows} == pytest.approx(plain_targets(sizes))
+    assert next(r for r in rows if r.source == "rare").target == 3 * sizes["rare"]
+    assert all(abs(r.taken - r.target) < 0.05 * r.target for r in rows)
+
+
+def test_mixing_on_odd_rows(odd_docs, odd_rows, no_docs):
+    plan = mixing.mix_plan(odd_docs).collect()
+    assert Counter((r.doc_id, r.size) for r in plan) == Counter((i, len(brute.words(t))) for i, t, *_ in odd_rows)
+    mixed = mixing.mix(odd_docs)
+    assert mixed.columns == odd_docs.columns
+    times = Counter(r.doc_id for r in mixed.collect())
+    expected = Counter()
+    for r in plan:
+        expected[r.doc_id] += r.copies
+    assert times == +expected
+    assert mixing.mix_plan(no_docs).collect() == [] and mixing.mix(no_docs).collect() == []
+
+
+def test_native_plans_have_no_python(spark):
+    for name in ("op1_quality_rules", "op2_secret_scan", "op7_license_scan", "op10_mix_sources"):
+        plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
