@@ -75,12 +75,16 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_r
     return ranked.select("source", "source_size", target.alias("target"))
 
 
+def coin(*key: Column, seed: int = SEED) -> Column:
+    """A number in [0, 1) from the key: the first 52 bits of a digest, so that any SQL engine can repeat it."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in key])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
 def copies(rate: Column, *key: Column, seed: int = SEED) -> Column:
     """``floor(rate)`` plus one with probability ``rate - floor(rate)``, by a hash of the key."""
     whole = F.floor(rate)
-    # The top 53 bits of the hash as a number in [0, 1).
-    coin = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 11).cast("double") / F.lit(float(1 << 53))
-    return F.coalesce(whole + F.when(coin < rate - whole, 1).otherwise(0), F.lit(0)).cast("int")
+    return F.coalesce(whole + F.when(coin(*key, seed=seed) < rate - whole, 1).otherwise(0), F.lit(0)).cast("int")
 
 
 def with_rates(sized: DataFrame, targets: DataFrame) -> DataFrame:

@@ -95,4 +95,99 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# SQL of the operators that it can express: the whole definition, not the operator's way to the result.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat_rotation": f"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '{chat.UNKNOWN}') AS speaker, coalesce(text, '') AS words FROM conversations
+),
+participants AS (SELECT DISTINCT conv_id, speaker AS participant FROM said),
+lines AS (
+    SELECT p.conv_id, participant, floor(turn / {chat.PART}.0) AS block, speaker = participant AS own, words,
+           CASE WHEN speaker = participant THEN '<|assistant|>' ELSE '<|user name=' || speaker || '|>' END || chr(10) AS opening,
+           row_number() OVER (PARTITION BY p.conv_id, participant ORDER BY turn NULLS LAST, speaker, words) AS k
+    FROM participants p JOIN said s ON p.conv_id IS NOT DISTINCT FROM s.conv_id
+),
+placed AS (
+    SELECT *, coalesce(sum(length(opening) + length(words) + 8) OVER (
+        PARTITION BY conv_id, participant ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+    FROM lines
+),
+within AS (SELECT *, pos - min(pos) OVER (PARTITION BY conv_id, participant, block) + length(opening) AS s FROM placed)
+SELECT conv_id, participant,
+       CAST(row_number() OVER (PARTITION BY conv_id, participant ORDER BY block NULLS LAST) - 1 AS BIGINT) AS part,
+       CAST(min(pos) AS BIGINT) AS start,
+       string_agg(opening || words || '<|end|>' || chr(10), '' ORDER BY k) AS text,
+       coalesce(string_agg(CAST(s AS BIGINT) || ':' || CAST(s + length(words) + 7 AS BIGINT), ',' ORDER BY k) FILTER (own), '') AS mask,
+       count(*) AS n_messages, count(*) FILTER (own) AS n_trained
+FROM within GROUP BY conv_id, participant, block
+""",
+    "op5_minhash_dedup": f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, {_WORDS.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3])) END AS s
+    FROM words
+),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+members AS (SELECT doc_id, unnest(s) AS x FROM sets),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM members a JOIN members b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * k >= 80 * (x.n + y.n - k)
+),
+reach AS (
+    SELECT doc_id, doc_id AS r FROM sizes
+    UNION
+    SELECT reach.doc_id, b FROM reach JOIN links ON reach.r = links.a
+)
+SELECT doc_id, n AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n
+""",
+    "op6_exact_top_k": f"""
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= {topk.K}
+""",
+    "op10_mix_sources": f"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(len({_WORDS.format(text="coalesce(text, '')")}) AS BIGINT) AS size FROM documents
+),
+sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (
+    SELECT *, 3 * source_size AS most, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sums
+),
+-- Sources in the order in which a rising water level reaches their caps; the level is that of the first not reached.
+ordered AS (
+    SELECT *, row_number() OVER caps AS k,
+           (SELECT sum(source_size) FROM sums) - coalesce(sum(most) OVER (caps ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+           sum(weight) OVER (caps ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+    FROM weighed WINDOW caps AS (ORDER BY CAST(most AS DOUBLE) / weight, source NULLS LAST)
+),
+level AS (
+    SELECT rest, weights, k FROM ordered WHERE NOT most < CAST(rest AS DOUBLE) / CAST(weights AS DOUBLE) * weight ORDER BY k LIMIT 1
+),
+targets AS (
+    SELECT source, source_size, CASE WHEN o.k < l.k THEN CAST(most AS DOUBLE)
+        ELSE least(CAST(l.rest AS DOUBLE) * weight / CAST(l.weights AS DOUBLE), CAST(most AS DOUBLE)) END AS target
+    FROM ordered o, level l
+),
+rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM targets)
+SELECT doc_id, size, source_size, target,
+       size * (CAST(floor(rate) AS BIGINT) + CASE WHEN CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(s.source, '') || ':'
+           || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
+FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
+""",
+}
