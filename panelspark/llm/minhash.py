@@ -15,7 +15,8 @@ Jaccard similarity reaches the threshold; a component is what links connect.
 5. *Verification*: a pair's signatures are compared ``BATCH`` min-hashes at a time. After m equal ones of n,
    the similarity has (with a flat prior) a Beta(m + 1, n - m + 1) posterior; the pair is dropped when the
    posterior puts less than ``MISS`` on similarities from the threshold up. Survivors are confirmed on
-   the full sets, most promising first, so that pairs which became connected meanwhile need no check.
+   the full sets, every node's most promising pair first, so that pairs which became connected meanwhile need no
+   check; the star round's survivors are settled before the block round begins.
 
 Defined cases: a null text or one without words has an empty set, is linked with nothing and is its own
 component; a text of fewer words than a shingle is one shingle; rows that share an id are one document; a row without an id
@@ -42,6 +43,8 @@ HASHES = BANDS * ROWS
 BATCH = 36
 MISS = 1e-6
 BLOCK = 256  # nodes in a block of the block round
+BITMAP_WORDS = 1 << 18  # 2 MB of marks
+ROUNDS = 4  # of confirmation: the last one checks whatever is left
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -261,8 +264,18 @@ def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, hashes) of the documents named in ``nodes``; the texts are read again for these few."""
-    wanted = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node")
+    """(node, hashes) of the documents named in ``nodes``, and of a few others.
+
+    The texts are read again and not shuffled: a bitmap of ``BITMAP_WORDS`` 64-bit words, the union of the nodes'
+    hashed positions, is joined to the documents' own positions. Its size is fixed, so it is broadcast; where many
+    nodes crowd it, more documents pass that are not asked for.
+    """
+    place = F.xxhash64("node")
+    word, bit = F.pmod(place, F.lit(BITMAP_WORDS)).cast("int"), F.shiftright(place, 50).bitwiseAND(F.lit(63)).cast("int")
+    marks = nodes.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftright(xxhash64(node), 50) & 63 AS INT))")).alias("marks"))
+    own = docs.select(F.col("doc_id").cast("long").alias("node"), "text").filter("node IS NOT NULL")
+    wanted = own.withColumns({"word": word, "bit": bit}).join(F.broadcast(marks), "word")
+    wanted = wanted.filter(F.expr("shiftrightunsigned(marks, bit) & 1L = 1L"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,6 +319,32 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(kept.unionByName(alone), "merged")
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def resolve(pairs: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int, rounds: int = ROUNDS) -> DataFrame:
+    """Labels after confirming ``pairs`` (a, b, same) on the full sets.
+
+    In each round every node's most promising pair is checked, then pairs whose ends have got one label are
+    dropped; the last round checks all that are left.
+    """
+    if labels is None:
+        labels = pairs.sparkSession.createDataFrame([], "node bigint, label bigint")
+    waiting = pairs
+    for i in range(rounds):
+        chosen = waiting.select("a", "b")
+        if i < rounds - 1:
+            ends = waiting.select(F.explode(F.array("a", "b")).alias("node"), F.struct("same", "a", "b").alias("pair"))
+            chosen = stored(ends.groupBy("node").agg(F.max("pair").alias("m")).select("m.a", "m.b").distinct(), "chosen")
+        labels = merged(labels, stored(labelled(confirm(chosen, sets, percent), labels), "links"))
+        if i < rounds - 1:
+            waiting = stored(labelled(waiting.join(chosen, ["a", "b"], "left_anti"), labels).select("a", "b", "same"), "waiting")
+            if waiting.isEmpty():
+                break
+    return labels
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
     sketch = stored(sketches(docs, size), "sketches")
@@ -324,12 +363,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     pairs = star.select(F.least("node", "q").alias("a"), F.greatest("node", "q").alias("b")).distinct()
     sigs = nodes.select("node", "sig")
     close = stored(screen(pairs, sigs, percent), "star")
-    # Each node's most promising pair is checked first.
-    ends = close.select("a", "b", "same", F.col("a").alias("node")).union(close.select("a", "b", "same", F.col("b").alias("node")))
-    best = ends.groupBy("node").agg(F.max(F.struct("same", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-    sets = stored(sets_of(docs, close.select(F.explode(F.array("a", "b")).alias("node")).distinct(), size), "sets")
-    links = stored(confirm(best, sets, percent), "links")
-    labels = components(links)
+    sets = stored(sets_of(docs, ends_of(close), size), "sets")
+    labels = resolve(close, None, sets, percent)
     # Block round over the buckets whose nodes are not of one component yet.
     tagged = members.select("bucket", "node", "n", "m").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"))
@@ -339,19 +374,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     blocks = blocks.withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
     rest = block_pairs(blocks.select("bucket", "i", "j", "blk", "node", "label", "n", "sig"), percent)
-    tried = best.withColumn("tried", F.lit(True))
-    open_pairs = rest.unionByName(close).groupBy("a", "b").agg(F.max("same").alias("same")).join(tried, ["a", "b"], "left_anti")
-    open_pairs = stored(labelled(open_pairs, labels), "open")
-    # The best pair between two components first, then whatever is still between different ones.
-    sets = stored(
-        sets.unionByName(sets_of(docs, open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node", "left_anti"), size)), "sets"
-    )
-    one = open_pairs.groupBy(F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y")).agg(F.max(F.struct("same", "a", "b")).alias("m")).select("m.a", "m.b")
-    links = stored(labelled(confirm(one, sets, percent), labels), "links")
-    labels = merged(labels, links)
-    left = labelled(open_pairs.select("a", "b").join(one, ["a", "b"], "left_anti"), labels).select("a", "b")
-    links = stored(labelled(confirm(left, sets, percent), labels), "links")
-    labels = merged(labels, links)
+    # Pairs of the star round are settled already.
+    rest = rest.groupBy("a", "b").agg(F.max("same").alias("same")).join(close.select("a", "b"), ["a", "b"], "left_anti")
+    rest = stored(rest, "rest")
+    if not rest.isEmpty():
+        more = sets_of(docs, ends_of(rest).join(sets, "node", "left_anti"), size).join(sets.select("node"), "node", "left_anti")
+        labels = resolve(rest, labels, stored(sets.unionByName(more), "sets"), percent)
     # Every row takes its component by its set's class.
     of_class = copies.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("by_class"))
     of_node = labels.select(F.col("node").alias("doc_id"), F.col("label").alias("by_node"))
