@@ -1,4 +1,4 @@
-"""Write the physical plan of every registered query to PLANS.md.
+"""Write the physical plan of every panel query to PLANS.md.
 
     python tools/dump_plans.py [--sf-dir /root/testdata/sf0.01] [--out PLANS.md]
 
@@ -25,7 +25,7 @@ def main(argv=None) -> int:
 
     from pyspark.sql import SparkSession
 
-    import __spark_entry__ as E
+    from panelspark.plans import driver
 
     spark = (
         SparkSession.builder.master("local[8]")
@@ -33,6 +33,7 @@ def main(argv=None) -> int:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -43,7 +44,7 @@ def main(argv=None) -> int:
         "execution). Expression ids (`#123`) are removed.",
         "",
     ]
-    for name, fn in E.queries().items():
+    for name, fn in driver.QUERIES.items():
         plan = fn(spark, args.sf_dir)._jdf.queryExecution().executedPlan().toString()
         plan = re.sub(r"#\d+L?", "", plan)
         plan = re.sub(r", \[plan_id=\d+\]", "", plan)
