@@ -10,8 +10,9 @@ Jaccard similarity reaches the threshold; a component is what links connect.
 3. *Star round*: in each band's bucket every node is compared with one pivot (of the smallest hash), so a
    bucket of m nodes makes m - 1 pairs and the large groups of copies fall together.
 4. *Block round*: buckets whose nodes still carry different labels are dealt into blocks of bounded size,
-   and pairs of blocks compare their signatures; only pairs of different labels that survive leave the task. Together with
-   the star round this covers all pairs of a bucket that are not connected already: nothing is capped.
+   and pairs of blocks compare the signatures of nodes of different labels. Nodes with a survivor meet once more with their
+   full sets, and a task sends on one link between any two labels. Together with the star round this covers
+   all pairs of a bucket that are not connected already: nothing is capped, and no list of pairs is ever written.
 5. *Verification*: a pair's signatures are compared ``BATCH`` min-hashes at a time. After m equal ones of n,
    the similarity has (with a flat prior) a Beta(m + 1, n - m + 1) posterior; the pair is dropped when the
    posterior puts less than ``MISS`` on similarities from the threshold up. Survivors are confirmed on
@@ -44,7 +45,7 @@ BATCH = 36
 MISS = 1e-6
 BLOCK = 256  # nodes in a block of the block round
 BITMAP_WORDS = 1 << 18  # 2 MB of marks
-ROUNDS = 4  # of confirmation: the last one checks whatever is left
+ROUNDS = 3  # of confirmation: the last one checks whatever is left
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -210,57 +211,112 @@ def screen(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint, same bigint")
 
 
-def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs of different labels within each (bucket, i, j) of ``rows``.
+BLOCK_ROW = "bucket bigint, i int, j int, blk int, node bigint, label bigint, n bigint, sig binary, bands array<bigint>"
 
-    ``rows``: bucket, i, j, blk, node, label, n, sig. A bucket's pair of blocks is bounded, so a task holds
-    one of them and a batch at a time.
+
+def promising(table: pa.Table, need: list[int], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows x, rows y, equal min-hashes) of the pairs of one or more (bucket, i, j) groups that are worth a check.
+
+    Two rows of different labels whose signatures survive, in the first of the bands that they share: so a pair comes
+    up once however many buckets hold it.
+    """
+    bucket, i, j, blk, node, label, n = (table.column(k).to_numpy() for k in range(7))
+    sig = _bytes_column(table.column(7), HASHES)
+    bands = table.column(8).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    for s, e in zip([0, *cut], [*cut, len(node)], strict=True):
+        if e - s < 2 or (label[s:e] == label[s]).all():
+            continue
+        x, y = np.triu_indices(e - s, 1)
+        x, y = x + s, y + s
+        ok = (label[x] != label[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        # Two different blocks meet here for the pairs between them only.
+        ok &= (i[s] == j[s]) | (blk[x] != blk[y])
+        x, y = x[ok], y[ok]
+        for at in range(0, len(x), 1 << 15):
+            px, py = x[at : at + (1 << 15)], y[at : at + (1 << 15)]
+            alive, same = surviving(sig[px], sig[py], need)
+            px, py = px[alive], py[alive]
+            shared = bands[px] == bands[py]
+            first = bands[px, shared.argmax(axis=1)] == bucket[s]
+            if first.any():
+                yield px[first], py[first], same[first]
+
+
+def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables that hold whole (bucket, i, j) groups, from batches sorted by these first three columns."""
+    kept: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([kept, table]) if kept is not None else table
+        # The last group may go on in the next batch.
+        key = [table.column(k).to_numpy() for k in range(3)]
+        last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1]))
+        done = int(last[-1]) + 1 if len(last) else 0
+        if done:
+            yield table.slice(0, done)
+        kept = table.slice(done)
+    if kept is not None and kept.num_rows:
+        yield kept
+
+
+def block_rows(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (as BLOCK_ROW) that are an end of a promising pair of their group.
+
+    A group is a pair of blocks of one bucket, so it is bounded; a task holds a batch and a group at a time.
     """
     need = least_matches(percent / 100)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in by_group(batches):
+            wanted = np.zeros(table.num_rows, bool)
+            for x, y, _ in promising(table, need, percent):
+                wanted[x] = wanted[y] = True
+            yield from table.filter(pa.array(wanted)).combine_chunks().to_batches()
+
     dealt = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    columns = ["bucket", "i", "j", "blk", "node", "label", "n", "sig"]
+    return dealt.mapInArrow(run, BLOCK_ROW)
 
-    def pairs_of(table: pa.Table) -> pa.RecordBatch:
-        key = [table.column(k).to_numpy() for k in range(3)]
-        blk, node, label, n = (table.column(k).to_numpy() for k in range(3, 7))
-        sig = _bytes_column(table.column(7), HASHES)
-        cut = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1]) | (key[2][1:] != key[2][:-1])) + 1
-        found = []
-        for s, e in zip([0, *cut], [*cut, len(node)], strict=True):
-            if e - s < 2 or (label[s:e] == label[s]).all():
-                continue
-            x, y = np.triu_indices(e - s, 1)
-            x, y = x + s, y + s
-            ok = (label[x] != label[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
-            # Two different blocks meet here for the pairs between them only.
-            ok &= (key[1][s] == key[2][s]) | (blk[x] != blk[y])
-            x, y = x[ok], y[ok]
-            for at in range(0, len(x), 1 << 16):
-                px, py = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
-                alive, same = surviving(sig[px], sig[py], need)
-                p, q = node[px[alive]], node[py[alive]]
-                found.append((np.minimum(p, q), np.maximum(p, q), same))
-        a, b, same = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in range(3))
-        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (a, b, same)], names=["a", "b", "same"])
+
+def block_links(rows: DataFrame, percent: int) -> DataFrame:
+    """(la, lb): labels that a link joins, confirmed on the full sets, from ``block_rows`` with ``hashes``.
+
+    Within a task, pairs whose labels an earlier link has joined are not checked again, so a group sends on
+    fewer links than it has labels.
+    """
+    need = least_matches(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([kept, table]) if kept is not None else table
-            # The last group may go on in the next batch.
-            key = [table.column(k).to_numpy() for k in range(3)]
-            last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1]))
-            done = int(last[-1]) + 1 if len(last) else 0
-            if done:
-                yield pairs_of(table.slice(0, done))
-            kept = table.slice(done)
-        if kept is not None and kept.num_rows:
-            yield pairs_of(kept)
-
-    return dealt.select(*columns).mapInArrow(run, "a bigint, b bigint, same bigint")
+        for table in by_group(batches):
+            hashes = [np.frombuffer(h, np.uint64) for h in table.column(9).to_pylist()]
+            label = table.column(5).to_numpy()
+            parent: dict[int, int] = {}
+
+            def root(v: int, parent: dict[int, int] = parent) -> int:
+                while parent.get(v, v) != v:
+                    v = parent[v]
+                return v
+
+            found = []
+            for x, y, same in promising(table, need, percent):
+                for k in np.argsort(-same, kind="stable").tolist():
+                    p, q = int(label[x[k]]), int(label[y[k]])
+                    rp, rq = root(p), root(q)
+                    if rp != rq and is_link(hashes[x[k]], hashes[y[k]], percent):
+                        parent[rp] = rq
+                        found.append((p, q))
+            la, lb = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(la, pa.int64()), pa.array(lb, pa.int64())], names=["la", "lb"])
+
+    dealt = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return dealt.mapInArrow(run, "la bigint, lb bigint")
+
+
+def is_link(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * common >= percent * (len(p) + len(q) - common)
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -292,11 +348,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * common >= percent * (len(p) + len(q) - common))
+            sets = zip(batch.column(2), batch.column(3), strict=True)
+            keep = [is_link(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in sets]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(run, "a bigint, b bigint")
@@ -368,18 +421,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     # Block round over the buckets whose nodes are not of one component yet.
     tagged = members.select("bucket", "node", "n", "m").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"))
-    mixed = mixed.filter("lo <> hi AND c > 2").select("bucket")
+    mixed = mixed.filter("lo <> hi AND c > 2").select("bucket")  # of two nodes, the star round has settled the pair
     n_blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-    blocks = tagged.join(mixed, "bucket").join(sigs, "node").withColumns({"nb": n_blocks, "blk": F.pmod(F.hash("node"), n_blocks)})
+    blocks = tagged.join(mixed, "bucket").join(nodes.select("node", "sig", "bands"), "node").withColumns({"nb": n_blocks, "blk": F.pmod(F.hash("node"), n_blocks)})
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     blocks = blocks.withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
-    rest = block_pairs(blocks.select("bucket", "i", "j", "blk", "node", "label", "n", "sig"), percent)
-    # Pairs of the star round are settled already.
-    rest = rest.groupBy("a", "b").agg(F.max("same").alias("same")).join(close.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stored(rest, "rest")
-    if not rest.isEmpty():
-        more = sets_of(docs, ends_of(rest).join(sets, "node", "left_anti"), size).join(sets.select("node"), "node", "left_anti")
-        labels = resolve(rest, labels, stored(sets.unionByName(more), "sets"), percent)
+    columns = [c.split()[0] for c in BLOCK_ROW.split(", ")]
+    open_rows = stored(block_rows(blocks.select(*columns), percent), "open")
+    if not open_rows.isEmpty():
+        sets = stored(sets_of(docs, open_rows.select("node").distinct(), size), "sets")
+        links = block_links(open_rows.join(sets, "node").select(*columns, "hashes"), percent)
+        labels = merged(labels, stored(links.distinct(), "links"))
     # Every row takes its component by its set's class.
     of_class = copies.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("by_class"))
     of_node = labels.select(F.col("node").alias("doc_id"), F.col("label").alias("by_node"))

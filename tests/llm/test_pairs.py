@@ -58,18 +58,26 @@ def test_blocks_find_what_the_star_leaves(spark, monkeypatch):
     assert got == brute.components(texts, 4)
 
 
-def test_block_pairs_cover_every_pair_once(spark):
-    """All pairs of different labels in a bucket survive if signatures are equal, however the bucket is cut."""
+def test_block_rows_and_links_join_every_label(spark):
+    """Equal signatures, sets of four families: the labels of a family are joined, whatever the cut into blocks."""
     n, nb = 40, 4
-    sig = bytes(minhash.HASHES)
+    sig, bands = bytes(minhash.HASHES), [7] + list(range(100, 100 + minhash.BANDS - 1))
+    sets = {node: np.arange(1000 * (node % 4), 1000 * (node % 4) + 50, dtype=np.uint64).tobytes() for node in range(n)}
     rows = []
-    for node in range(n):
-        for other in range(nb):
-            i, j = sorted((node % nb, other))
-            rows.append((7, i, j, node % nb, node, node // 10, 5, sig))
-    df = spark.createDataFrame(rows, "bucket long, i int, j int, blk int, node long, label long, n long, sig binary")
-    got = Counter((r.a, r.b) for r in minhash.block_pairs(df, 80).collect())
-    assert got == Counter((a, b) for a in range(n) for b in range(a + 1, n) if a // 10 != b // 10)
+    for bucket in (7, 100):  # the second bucket holds the same pairs, which come up in the first one only
+        for node in range(n):
+            for other in range(nb):
+                blk = node % 3
+                rows.append((bucket, min(blk, other), max(blk, other), blk, node, node, 50, sig, bands))
+    df = spark.createDataFrame(rows, minhash.BLOCK_ROW)
+    kept = minhash.block_rows(df, 80)
+    assert {r.node for r in kept.collect()} == set(range(n)) and {r.bucket for r in kept.collect()} == {7}
+    named = spark.createDataFrame(list(sets.items()), "node bigint, hashes binary")
+    columns = [c.split()[0] for c in minhash.BLOCK_ROW.split(", ")]
+    links = minhash.block_links(kept.join(named, "node").select(*columns, "hashes"), 80).collect()
+    assert all(r.la % 4 == r.lb % 4 for r in links) and len(links) < n * nb
+    found = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert {r.node: r.label for r in found} == {i: i % 4 for i in range(n)}
 
 
 def test_op5_against_brute_force(spark):
