@@ -39,13 +39,13 @@ from panelspark.llm.common import stored
 WINDOW = 2048
 OPEN_WINDOWS = 64
 MERGE_PARTITIONS = 32  # partitions whose leftovers meet in one task: at most OPEN_WINDOWS windows each
-MEMORY_PIECES = 1_000_000  # remembered pieces per worker
+MEMORY_PIECES = 400_000  # remembered pieces per worker
 END_ID = 1
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 _LAID = PIECES + ", leftover boolean"
 _ARROW = {"bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
-TEXTS_AT_ONCE = 1_000
+TEXTS_AT_ONCE = 500
 
 
 def default_tokenizer() -> str:
@@ -214,10 +214,10 @@ def _layout(window: int, most: int, tokenizer_path: str | None):
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
-            ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), TEXTS_AT_ONCE):
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(at, TEXTS_AT_ONCE)
                 rows: list = []
-                for doc, ids in zip(ids_of[at : at + TEXTS_AT_ONCE], tokenizer.batch(texts[at : at + TEXTS_AT_ONCE]), strict=True):
+                for doc, ids in zip(some.column(0).to_pylist(), tokenizer.batch(some.column(1).to_pylist()), strict=True):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                     full = len(ids) // window * window
                     for start in range(0, full, window):
