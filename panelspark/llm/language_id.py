@@ -6,8 +6,9 @@ mean that the text looks like the sample. With a sample of n symbols a phrase co
 ``phrases * log2 n`` is compared between languages and the smallest wins.
 
 A text is lower-cased and cut into blocks of ``BLOCK`` symbols; a phrase ends with its block. All blocks of a
-batch are parsed side by side with one table look-up per symbol: the table holds, for state and symbol, the
-next state, or the state after starting a new phrase together with a mark. Whole texts are parsed.
+batch are parsed side by side with one table look-up per symbol. Every letter of every sample is a symbol, so
+the table is sparse: the rows of all states lie interleaved in one array, and an entry names the state it belongs to.
+Where a state has no entry for a symbol, a new phrase begins. Whole texts are parsed.
 
 Learning: the labelled rows of every language are dealt into ``SAMPLE_ROWS`` classes by a hash of the id, of
 each class the row of smallest hash is kept (one aggregation that combines map-side, so a hot language
@@ -34,6 +35,7 @@ SAMPLE_CHARS = 12_000
 SAMPLE_ROWS = 64
 BLOCK = 512
 BATCH_SYMBOLS = 1 << 21  # symbols parsed side by side
+SEARCH = 4_096  # places of a sparse table looked at together
 UNKNOWN = "und"
 
 
@@ -67,22 +69,55 @@ def suffix_automaton(text: np.ndarray) -> list[dict[int, int]]:
     return nxt
 
 
-def parse_table(text: np.ndarray, symbols: int) -> np.ndarray:
-    """For ``state * symbols + symbol``: the next state times two, plus one if a new phrase begins there.
+@dataclass
+class ParseTable:
+    """``entry[base[state] + symbol]`` is ``state << 32 | next`` if the state goes on with the symbol.
 
-    A symbol that the sample does not hold is a phrase of its own; the one after it begins another.
+    If not, a new phrase begins with the symbol and leads to ``start[symbol]``. A symbol that the sample does not hold is
+    a phrase of its own; the one after it begins another.
     """
+
+    base: np.ndarray
+    entry: np.ndarray
+    start: np.ndarray
+
+
+def parse_table(text: np.ndarray, symbols: int) -> ParseTable:
     nxt = suffix_automaton(text)
-    start = np.full(symbols, 1, np.int32)
+    start = np.zeros(symbols, np.int64)
     for c, s in nxt[0].items():
-        start[c] = s * 2 + 1
-    table = np.tile(start, len(nxt))
-    for state, out in enumerate(nxt):
-        for c, s in out.items():
-            table[state * symbols + c] = s * 2
-    # From the start state every symbol begins a phrase.
-    table[:symbols] = start
-    return table
+        start[c] = s
+    # From the start state every symbol begins a phrase, so it has no entries. Rows of many symbols are placed first,
+    # each where all its places are free; a row of one symbol takes any free place.
+    base = np.zeros(len(nxt), np.int64)
+    entry = np.full(2 * symbols + 4 * len(nxt), -1, np.int64)
+    top = symbols  # a row's base may lie up to ``symbols`` before its first symbol
+    first_free = 0
+    for state in sorted(range(1, len(nxt)), key=lambda i: -len(nxt[i])):
+        if not nxt[state]:
+            break
+        row = np.array(sorted(nxt[state]), np.int64)
+        offset = row - row[0]
+        while entry[first_free] >= 0:
+            first_free += 1
+        at = -1
+        for low in range(first_free, top, SEARCH):
+            places = low + np.flatnonzero(entry[low : min(low + SEARCH, top)] < 0)
+            for o in offset[1:].tolist():
+                places = places[entry[places + o] < 0]
+            if len(places):
+                at = int(places[0])
+                break
+        if at < 0:
+            at = top
+        top = max(top, at + int(offset[-1]) + 1)
+        while len(entry) < top + symbols:
+            entry = np.concatenate([entry, np.full(len(entry), -1, np.int64)])
+        base[state] = at - row[0]
+        entry[at + offset] = (state << 32) + np.array([nxt[state][c] for c in row.tolist()], np.int64)
+    # Bases may be negative by less than ``symbols``; look-ups reach less than ``symbols`` beyond the last base.
+    entry = np.concatenate([np.full(symbols, -1, np.int64), entry[: top + symbols]])
+    return ParseTable(base + symbols, entry, start)
 
 
 @dataclass
@@ -90,7 +125,7 @@ class LanguageModel:
     languages: list[str]
     symbol_of: np.ndarray  # code point -> symbol; 0: anything but a letter, 1: a letter of no sample
     n_symbols: int
-    tables: list[np.ndarray]
+    tables: list[ParseTable]
     bits: list[float]  # bits a phrase
 
     def phrases(self, coded: list[np.ndarray]) -> np.ndarray:
@@ -103,7 +138,7 @@ class LanguageModel:
         for at in range(0, len(order), max(1, BATCH_SYMBOLS // BLOCK)):
             group = order[at : at + max(1, BATCH_SYMBOLS // BLOCK)]
             sizes = np.array([len(blocks[i]) for i in group])
-            symbols = np.zeros((sizes[0], len(group)), np.uint8)
+            symbols = np.zeros((sizes[0], len(group)), np.int32)
             for col, i in enumerate(group):
                 symbols[: sizes[col], col] = blocks[i]
             running = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
@@ -111,13 +146,14 @@ class LanguageModel:
                 np.add.at(out[:, k], owner[group], self._ragged(symbols, running, table))
         return out
 
-    def _ragged(self, symbols: np.ndarray, running: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def _ragged(self, symbols: np.ndarray, running: np.ndarray, table: ParseTable) -> np.ndarray:
         phrases = np.zeros(symbols.shape[1], np.int64)
-        state = np.zeros(symbols.shape[1], np.int32)
+        state = np.zeros(symbols.shape[1], np.int64)
         for row, n in zip(symbols, running.tolist(), strict=True):
-            step = table[state[:n] * self.n_symbols + row[:n]]
-            phrases[:n] += step & 1
-            state[:n] = step >> 1
+            found = table.entry[table.base[state[:n]] + row[:n]]
+            new = found >> 32 != state[:n]
+            phrases[:n] += new
+            state[:n] = np.where(new, table.start[row[:n]], found & 0xFFFFFFFF)
         return phrases
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -162,8 +198,8 @@ def fit(samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> Lang
         joined = " ".join(p for p in parts if any(map(str.isalpha, p)))
         if joined:
             chosen[lang] = joined
-    used = sorted({c for t in chosen.values() for c in t if c.isalpha()})[:253]
-    symbol_of = letters().copy()
+    used = sorted({c for t in chosen.values() for c in t if c.isalpha()})
+    symbol_of = letters().astype(np.int32)
     for i, c in enumerate(used):
         symbol_of[ord(c)] = i + 2
     languages = sorted(chosen)

@@ -66,6 +66,26 @@ def test_long_texts_and_batches_do_not_matter():
     assert s1.tolist() == pytest.approx([s[0] for _, s in alone]) and s1[2] == s1[3] == 0
 
 
+def test_every_letter_of_large_alphabets_counts():
+    """Texts of one script without blanks: only the letters tell the languages apart."""
+    rng = random.Random(11)
+    alphabets = {"el": range(0x3B1, 0x3C2), "fr": range(0x61, 0x7B), "ja": range(0x3041, 0x3094), "ko": range(0xAC00, 0xB000), "ru": range(0x430, 0x450)}
+    alphabets |= {"th": range(0xE01, 0xE2F), "zh": range(0x4E00, 0x5400), "zu": range(0x5400, 0x5A00), "hi": range(0x905, 0x93A), "ar": range(0x620, 0x64B)}
+    words = {k: ["".join(chr(rng.choice(a)) for _ in range(rng.randint(1, 4))) for _ in range(400)] for k, a in alphabets.items()}
+
+    def text(lang, n):
+        return "".join(rng.choice(words[lang]) for _ in range(n))
+
+    model = language_id.fit({k: [text(k, 1_000) for _ in range(6)] for k in words})
+    assert model.n_symbols > 2_000 and max(len(t.entry) for t in model.tables) < 20 * language_id.SAMPLE_CHARS
+    assert model.predict([text(k, 40) for k in words])[0] == list(words)
+    sample, other = text("zh", 500), text("zu", 30)
+    one = language_id.fit({"zh": [sample]})
+    for t in (text("zh", 60), other, sample[100:300]):
+        plain = "".join(c if c in sample else "\u3042" for c in t)
+        assert one.phrases([one.symbol_of[language_id.code_points(t)]])[0, 0] == greedy_phrases(plain, sample)
+
+
 def test_op3_held_out_accuracy(spark):
     rows = queries.op3_language_id(spark, SF).collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
