@@ -10,10 +10,10 @@ batch are parsed side by side with one table look-up per symbol. Every letter of
 the table is sparse: the rows of all states lie interleaved in one array, and an entry names the state it belongs to.
 Where a state has no entry for a symbol, a new phrase begins. Whole texts are parsed.
 
-Learning: the labelled rows of every language are dealt into ``SAMPLE_ROWS`` classes by a hash of the id, of
-each class the row of smallest hash is kept (one aggregation that combines map-side, so a hot language
-is no group of its own), and at most ``SAMPLE_CHARS`` symbols of these rows are used, the same share of each. The
-model's size depends on these bounds and the number of languages only.
+Learning: the labelled rows of every language that hold a letter are dealt into ``SAMPLE_ROWS`` classes by a hash of
+the id, of each class the row of smallest hash is kept (one aggregation that combines map-side, so a hot language
+is no group of its own), and at most ``SAMPLE_CHARS`` symbols of these rows are used, the same share of each, from
+up to ``PLACES`` hash-chosen places of a text. The model's size depends on these bounds and the number of languages only.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; with no labelled language
 every text is; ties go to the language that sorts first; labelled rows without letters or id teach nothing; repeated
@@ -22,6 +22,7 @@ rows are predicted alike; an empty table gives an empty result; columns other th
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +34,8 @@ from pyspark.sql import types as T
 
 SAMPLE_CHARS = 12_000
 SAMPLE_ROWS = 64
+PLACES = 8
+LEAST_PLACE = 64  # symbols taken at one place of a text, unless its share is less
 BLOCK = 512
 BATCH_SYMBOLS = 1 << 21  # symbols parsed side by side
 SEARCH = 4_096  # places of a sparse table looked at together
@@ -184,6 +187,24 @@ def letters() -> np.ndarray:
     return _LETTERS[0]
 
 
+def spread(text: str, take: int) -> str:
+    """At most ``take`` symbols of the text: all of it, or one hash-chosen stretch in each of equal parts of it.
+
+    Of a text that is cut, runs of blanks count as one blank.
+    """
+    if len(text) > take:
+        text = " ".join(text.split())
+    if len(text) <= take:
+        return text
+    parts = max(1, min(PLACES, take // LEAST_PLACE))
+    width, span = (take - parts + 1) // parts, len(text) // parts
+    if width <= 0:
+        return ""
+    seed = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    starts = [k * span + (seed * (2 * k + 1) >> 5) % (span - width + 1) for k in range(parts)]
+    return " ".join(text[i : i + width] for i in starts)
+
+
 def fit(samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """A model from texts per language; of each text the same share is used, up to ``sample_chars`` in all."""
     chosen: dict[str, str] = {}
@@ -193,7 +214,7 @@ def fit(samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> Lang
         parts, room = [], sample_chars
         for t in lowered:
             take = min(room, -(-len(t) * sample_chars // max(total, sample_chars)))
-            parts.append(t[:take])
+            parts.append(spread(t, take))
             room -= take
         joined = " ".join(p for p in parts if any(map(str.isalpha, p)))
         if joined:
@@ -209,13 +230,19 @@ def fit(samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> Lang
 
 
 def labelled_sample(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> dict[str, list[str]]:
-    """At most ``rows`` texts of each language from the rows where ``learn`` holds."""
+    """At most ``rows`` texts of each language, of each up to ``SAMPLE_CHARS`` symbols, from the rows with a letter where ``learn`` holds."""
     h = F.xxhash64("doc_id")
-    usable = docs.filter(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    usable = docs.filter(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.regexp_like("text", F.lit(r"\p{L}")))
     least = usable.groupBy("lang", F.pmod(h, F.lit(rows)).alias("class")).agg(F.min(h).alias("h"))
     # At most rows * languages numbers come to the driver, then as many texts.
     chosen = [r["h"] for r in least.select("h").collect()]
-    picked = usable.filter(h.isin(chosen)).select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [spread(t, SAMPLE_CHARS) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["lang", "text"])
+
+    picked = usable.filter(h.isin(chosen)).select("lang", "text").mapInArrow(run, "lang string, text string")
     found: dict[str, list[str]] = {}
     for r in picked.dropDuplicates(["lang", "text"]).collect():
         if r["text"]:

@@ -104,6 +104,22 @@ def test_language_on_odd_rows(odd_docs, odd_rows, no_docs):
     assert language_id.identify(no_docs, F.lit(True)).collect() == []
 
 
+def test_rows_without_letters_take_no_place_in_the_sample(spark):
+    """One usable text in a hundred, its words far behind numbers: it is found, and so is the end of it."""
+    words = {"a": "der hund lief heim ", "b": "the cat sat here "}
+    rows = [(i, "ab"[i % 2], "1 2 3" if i % 3 else None) for i in range(1_000)]
+    rows += [(5_000 + i, lang, "7 " * 20_000 + words[lang] * 1_000) for i, lang in enumerate("ab")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    found = language_id.labelled_sample(docs, F.lit(True))
+    assert {k: len(v) for k, v in found.items()} == {"a": 1, "b": 1}
+    assert all(words[k].strip() in t and len(t) <= language_id.SAMPLE_CHARS for k, (t,) in found.items())
+    assert language_id.fit(found).predict(list(words.values()))[0] == list(words)
+    long = "".join(chr(0x4E00 + i) for i in range(20_000))
+    cut = language_id.spread(long, 1_000)
+    assert len(cut) <= 1_000 and {(ord(c) - 0x4E00) // 2_500 for c in cut if c != " "} == set(range(8))
+    assert language_id.spread(long, 10) in long and language_id.spread("short", 10) == "short"
+
+
 # ---------------------------------------------------------------- line quality
 
 
