@@ -8,12 +8,13 @@ all others as named users; the mask marks the text the assistant writes. A rende
 and the mask is the spans (code points, end exclusive) of ``{text}<|end|>`` in the assistant's messages.
 
 A dialogue is rendered in parts of ``PART`` turns (turn numbers, not ranks), so a conversation that holds
-a third of all rows is spread over tasks. A part of more than ``PIECE`` messages is cut further, by turn
-and, if one turn alone has more, by a hash of the text. Each part says where it starts in the whole
-rendering, from the lengths of the parts before (sums that combine map-side).
+a third of all rows is spread over tasks. A part has all messages of its turns, however many they are: the text of one
+part is one value of the result. Who wants smaller parts gives ``piece``: a part of more messages is then cut every
+``piece`` messages of the same order, repeated rows too. Each part says where it starts in the whole rendering, from the
+lengths of the parts before (sums that combine map-side).
 
 Defined cases: a null role is the speaker ``unknown``, a null text is empty, a null turn comes after all
-others; messages of equal turn go by speaker, then text (after the hash slice, where a turn was cut);
+others; messages of equal turn go by speaker, then text, in parts of any size;
 repeated rows are rendered as often as they occur;
 a null conversation id is a conversation of its own; an empty table gives an empty result; other columns
 are ignored. Markers inside texts are not special: the mask tells them apart.
@@ -24,8 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.llm.common import let, prefix_sums
+
 PART = 64
-PIECE = 4_096  # messages that are rendered together at most
 UNKNOWN = "unknown"
 OPEN_ASSISTANT = "<|assistant|>\n"
 END = "<|end|>"
@@ -35,11 +37,12 @@ def open_user(speaker: Column) -> Column:
     return F.concat(F.lit("<|user name="), speaker, F.lit("|>\n"))
 
 
-PLACE = ["block", "cut_turn", "slice"]  # a part of a conversation, in this order
+PLACE = ["block", "slice"]  # a part of a conversation, in this order
+LINE = ["turn", "speaker", "text"]  # the order of messages
 
 
-def in_parts(messages: DataFrame, part: int, piece: int) -> DataFrame:
-    """(conv_id, block, cut_turn, slice, turn, speaker, text): the messages with the part they belong to."""
+def in_parts(messages: DataFrame, part: int, piece: int | None) -> DataFrame:
+    """(conv_id, block, slice, turn, speaker, text): the messages with the part they belong to."""
     said = messages.select(
         "conv_id",
         F.floor(F.col("turn") / F.lit(part)).cast("long").alias("block"),
@@ -47,21 +50,22 @@ def in_parts(messages: DataFrame, part: int, piece: int) -> DataFrame:
         F.coalesce("role", F.lit(UNKNOWN)).alias("speaker"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    by_turn = said.groupBy("conv_id", "block", "turn").agg(F.count(F.lit(1)).alias("n"))
-    large = by_turn.groupBy("conv_id", "block").agg(F.sum("n").alias("all")).filter(F.col("all") > piece).select("conv_id", "block")
-    cut = _same(by_turn, large, ["conv_id", "block"], "inner")
-    known = _same(said, cut, ["conv_id", "block", "turn"], "left")
-    slices = F.ceil(F.col("n") / F.lit(piece)).cast("long")
-    return known.select(
-        "conv_id",
-        "block",
-        F.when(F.col("n").isNotNull(), F.col("turn")).alias("cut_turn"),
-        F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("text"), slices)).otherwise(F.lit(0)).alias("slice"),
-        "turn", "speaker", "text",
-    )
-
-
-def rotate(messages: DataFrame, part: int = PART, piece: int = PIECE) -> DataFrame:
+    if piece is None:
+        return said.withColumn("slice", F.lit(0).cast("long"))
+    large = said.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("all")).filter(F.col("all") > piece)
+    known = _same(said, large, ["conv_id", "block"], "left")
+    # Equal lines of a large part are one row with their number; they take the ranks from ``before`` on.
+    lines = known.filter("all IS NOT NULL").groupBy("conv_id", "block", *LINE).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_last(), "speaker", "text")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = lines.withColumn("rank", before).withColumn("rank", F.explode(F.expr("sequence(rank, rank + n - 1)")))
+    cut = ranked.withColumn("slice", F.floor(F.col("rank") / F.lit(piece)).cast("long"))
+    columns = ["conv_id", *PLACE, *LINE]
+    small = known.filter("all IS NULL").withColumn("slice", F.lit(0).cast("long"))
+    return small.select(*columns).unionByName(cut.select(*columns))
+
+
+def rotate(messages: DataFrame, part: int = PART, piece: int | None = None) -> DataFrame:
     """(conv_id, participant, part, start, text, mask, n_messages, n_trained) for every participant and part.
 
     ``part`` counts a participant's parts from 0; ``start`` is the part's offset in the whole rendering; ``mask``
@@ -99,18 +103,14 @@ def rendered(lines: Column, participant: Column) -> list[Column]:
         return F.when(m["speaker"] == participant, F.lit(OPEN_ASSISTANT)).otherwise(open_user(m["speaker"]))
 
     texts = F.transform(lines, lambda m: F.concat(opening(m), m["text"], F.lit(END + "\n")))
-    kind = "array<struct<start:int,end:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-
-    def step(state: Column, m: Column) -> Column:
-        begin = state["at"] + F.length(opening(m))
-        stop = begin + F.length(m["text"]) + len(END)
-        span = F.struct(begin.alias("start"), stop.alias("end"))
-        return F.struct(
-            (stop + 1).alias("at"), F.when(m["speaker"] == participant, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans")
-        )
-
-    mask = F.aggregate(lines, start, step, lambda z: z["spans"])
+    def span(m: Column, at: Column) -> Column:
+        begin = at + F.length(opening(m))
+        return F.struct(begin.alias("start"), (begin + F.length(m["text"]) + len(END)).alias("end"), (m["speaker"] == participant).alias("own"))
+
+    # By prefix sums: a list of spans that grows by appending costs the square of a part's messages.
+    lengths = F.transform(lines, lambda m: F.length(opening(m)) + F.length(m["text"]) + len(END) + 1)
+    spans = let(prefix_sums(lengths), lambda at: F.transform(lines, lambda m, i: span(m, F.get(at, i))))
+    mask = F.transform(F.filter(spans, lambda s: s["own"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     own = F.filter(lines, lambda m: m["speaker"] == participant)
     return [
         F.array_join(texts, "").alias("text"),

@@ -90,6 +90,30 @@ def test_a_large_conversation_is_cut_by_turn_and_by_text(spark):
     assert order == sorted(order)
 
 
+def test_large_parts_equal_the_sql(spark, tmp_path):
+    """More than 4,096 messages in a part and in one turn, equal ones among them: the rows are those of the SQL."""
+    import duckdb
+
+    messages = [(1, i % 3, "ab"[i % 2], f"m{i % 900}") for i in range(5_000)]
+    messages += [(1, 70, "a", None if i % 2 else f"n{i}") for i in range(4_500)] + [(2, None, None, "x")] * 4_200
+    df = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op4_chat_rotation(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    result = con.execute(queries.ORACLE_SQL["op4_chat_rotation"])
+    columns = [d[0] for d in result.description]
+    assert Counter(map(tuple, got.select(*columns).collect())) == Counter(result.fetchall())
+
+
+def test_pieces_cut_the_one_order(spark):
+    """With a piece every part is bounded, repeated rows too, and the parts together are the same dialogue."""
+    messages = [(1, i % 3, "ab"[i % 2], f"m{i % 7}") for i in range(200)] + [(1, None, "a", None)] * 65
+    df = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    rows = chat.rotate(df, piece=20).collect()
+    assert max(r.n_messages for r in rows) == 20 and whole(rows) == plain_rotation(messages)
+
+
 # ---------------------------------------------------------------- packing
 
 
