@@ -1,11 +1,12 @@
 """License scans: ordered signature rules with keyword prefilter and suppression of overlaps.
 
 A rule is a regular expression with a label, a keyword and a priority. A text is searched by a rule only
-if it holds the rule's keyword, and by any rule only if one cheap pattern of common stems matches it. Detections that
+if it holds all words of the rule's keyword, and by any rule only if it holds one of a few common stems. Detections that
 lie inside another detection of the same or higher priority are dropped.
 
 Rules per license: its name (written by hand below), its machine-readable tag, and its address; the last
-two are built from the table. Phrase rules of the base match whole words whatever stands between them.
+two are built from the table. Phrase rules of the base match whole words whatever stands between them; names and stems
+too take any run of non-word characters where a blank is written, so line ends and comment marks within a notice do not matter.
 
 Everything is built-in functions on one row at a time: the rules are a constant array of structs that a
 filter and a transform walk over, so the plan does not grow with their number.
@@ -46,12 +47,22 @@ def phrase_pattern(phrases) -> str:
     return f"(?i)(?<!{word})(?:{inner})(?!{word})"
 
 
+def gapped(name: str) -> str:
+    """The pattern with any run of non-word characters for a blank, a blank or hyphen, and a comma and a blank.
+
+    The runs are possessive: nothing that may follow one begins inside it.
+    """
+    out = name.replace(",? ", " ").replace(", ", " ").replace(".{0,3}", f"(?:.{{0,3}}|{_NOT_WORD}+)")
+    out = out.replace("[ -]?", f"{_NOT_WORD[:-1]}*+").replace(" ?", f"{_NOT_WORD[:-1]}*+")
+    return out.replace("[ -]", " ").replace(" ", f"{_NOT_WORD}+")
+
+
 # (label, keyword of the name, name pattern, SPDX id or None, part of its address or None)
 LICENSES = (
     ("agpl-3", "affero", r"affero general public licen[cs]e(?:,? version 3| v?3)?", "AGPL-3.0", "gnu.org/licenses/agpl"),
     ("lgpl-2", "lesser", r"lesser general public licen[cs]e,? (?:version|v\.?) ?2", "LGPL-2.1", "gnu.org/licenses/lgpl-2"),
     ("lgpl-3", "lesser", r"lesser general public licen[cs]e,? (?:version|v\.?) ?3", "LGPL-3.0", "gnu.org/licenses/lgpl-3"),
-    ("lgpl", "lesser", r"(?:lesser|library) general public licen[cs]e", None, "gnu.org/licenses/lgpl"),
+    ("lgpl", "general public", r"(?:lesser|library) general public licen[cs]e", None, "gnu.org/licenses/lgpl"),
     ("gpl-3", "general public", r"(?:gnu )?general public licen[cs]e,? (?:version|v\.?) ?3", "GPL-3.0", "gnu.org/licenses/gpl-3"),
     ("gpl-2", "general public", r"(?:gnu )?general public licen[cs]e,? (?:version|v\.?) ?2", "GPL-2.0", "gnu.org/licenses/gpl-2"),
     ("gpl", "general public", r"(?:gnu )?general public licen[cs]e", None, "gnu.org/licenses/gpl"),
@@ -98,9 +109,9 @@ LICENSES = (
     ("cc-by-nd", "nd", r"\bcc[ -]by[ -]nd\b(?: \d\.\d)?", "CC-BY-ND-4.0", "creativecommons.org/licenses/by-nd"),
     ("cc-by-sa", "sa", r"\bcc[ -]by[ -]sa\b(?: \d\.\d)?", "CC-BY-SA-4.0", "creativecommons.org/licenses/by-sa"),
     ("cc-by", "cc", r"\bcc[ -]by\b(?: \d\.\d)?", "CC-BY-4.0", "creativecommons.org/licenses/by"),
-    ("cc-by-nc", "noncommercial", r"creative commons attribution[ -]non[ -]?commercial", None, None),
-    ("cc-by-sa", "sharealike", r"creative commons attribution[ -]share[ -]?alike", None, None),
-    ("cc-by-nd", "noderiv", r"creative commons attribution[ -]no[ -]?deriv(?:ative)?s?", None, None),
+    ("cc-by-nc", "commercial", r"creative commons attribution[ -]non[ -]?commercial", None, None),
+    ("cc-by-sa", "alike", r"creative commons attribution[ -]share[ -]?alike", None, None),
+    ("cc-by-nd", "deriv", r"creative commons attribution[ -]no[ -]?deriv(?:ative)?s?", None, None),
     ("cc-by", "creative commons", r"creative commons attribution(?: \d\.\d)?", None, None),
     ("odbl", "open database", r"open (?:data commons )?(?:open )?database licen[cs]e", "ODbL-1.0", "opendatacommons.org/licenses/odbl"),
     ("odc-by", "open data commons", r"open data commons attribution", "ODC-By-1.0", "opendatacommons.org/licenses/by"),
@@ -126,7 +137,7 @@ LICENSES = (
     ("llama", "llama", r"llama (?:\d(?:\.\d)? )?community licen[cs]e", None, "ai.meta.com/llama/license"),
     ("proprietary", "all rights reserved", r"all rights reserved", None, None),
     ("confidential", "confidential", r"proprietary and confidential|confidential and proprietary", None, None),
-    ("licensed", "licensed under", r"licen[cs]ed under the terms of", None, None),
+    ("licensed", "under the terms", r"licen[cs]ed under the terms of", None, None),
 )
 NAME, ADDRESS, TAG, BASE = 1, 2, 3, 4  # priorities
 CONFIDENCE = {0: 0.0, NAME: 0.7, ADDRESS: 0.85, TAG: 0.95, BASE: 1.0}
@@ -149,14 +160,14 @@ def license_rules() -> tuple[Rule, ...]:
         if spdx
     ]
     addresses = [Rule(label, at, rf"(?i)(?:https?://)?(?:www\.)?{re.escape(at)}[\w./-]*", ADDRESS) for label, _, _, _, at in LICENSES if at]
-    names = [Rule(label, keyword, f"(?i){name}", NAME) for label, keyword, name, _, _ in LICENSES]
+    names = [Rule(label, keyword, f"(?i){gapped(name)}", NAME) for label, keyword, name, _, _ in LICENSES]
     return tuple(base + tags + addresses + names)
 
 
 RULES = license_rules()
-# A lower-cased text that holds none of these holds no match of a rule above.
+# A lower-cased text that holds none of these, with any gap for a blank, holds no match of a rule above.
 STEMS = (
-    "licen", "spdx", "commons", "cc by", "cc-by", "cc0", "permission is hereby", "permission to use", "redistribution and use",
+    "licen", "spdx", "commons", "cc by", "cc0", "permission is hereby", "permission to use", "redistribution and use",
     "public domain", "all rights reserved", "confidential", "mozilla.org/mpl", "eclipse.org/legal", "eupl.eu", "mariadb.com/bsl",
     "wtfpl", "cdla.dev", "sil.org/ofl", "bloom-rail", "mit no attribution", "bsd", "mulan p",
 )
@@ -171,13 +182,13 @@ def detections(text: Column, lowered: Column, rules: tuple[Rule, ...] = RULES, s
     table = F.array(
         *[
             F.struct(
-                F.lit(i).alias("ord"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"),
+                F.lit(i).alias("ord"), F.lit(r.label).alias("label"), F.array(*map(F.lit, r.keyword.split())).alias("keyword"),
                 F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"),
             )
             for i, r in enumerate(rules)
         ]
     )
-    usable = F.filter(table, lambda r: F.contains(lowered, r["keyword"]))
+    usable = F.filter(table, lambda r: F.forall(r["keyword"], lambda k: F.contains(lowered, k)))
 
     def search(r: Column) -> Column:
         return F.transform(
@@ -214,10 +225,17 @@ def detections(text: Column, lowered: Column, rules: tuple[Rule, ...] = RULES, s
             d["ord"].alias("ord"), d["label"].alias("label"),
         ),
     )
-    held = [F.contains(lowered, F.lit(s)) for s in stems]
+    held = [holds(lowered, s) for s in stems]
     return F.when(reduce(lambda a, b: a | b, held) | base_gate(text), shaped).otherwise(F.array()).cast(DETECTION)
 
 
+def holds(lowered: Column, stem: str) -> Column:
+    """Whether the text holds the stem; the words of one come first, as they are cheaper to look for than the gaps."""
+    parts = stem.split()
+    every = reduce(lambda a, b: a & b, [F.contains(lowered, F.lit(p)) for p in parts])
+    return every & F.regexp_like(lowered, F.lit(_NOT_WORD.join(parts))) if len(parts) > 1 else every
+
+
 def base_gate(text: Column) -> Column:
     return F.regexp_like(text, F.lit(BASE_STEM))
 

@@ -146,6 +146,40 @@ def test_overlaps_are_suppressed(spark, text, labels):
     assert licenses.scan_licenses(df).first().labels_array == labels
 
 
+WRAPPED = [
+    ("terms of the GNU Lesser General Public\nLicense as published", "lgpl"),
+    ("GNU Library General Public License", "lgpl"),
+    ("GNU Lesser\n# General Public License,\n# Version 2.1", "lgpl-2"),
+    ("the GNU General\n * Public License, version\n * 3", "gpl-3"),
+    ("use, copy, modify... Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or\n * without fee is", "isc"),
+    ("Permission is\n// hereby granted, free of\n// charge, to any person obtaining\n// a copy", "mit"),
+    ("Redistribution and\n-- use in source and binary forms", "bsd"),
+    ("is free and unencumbered software released into the public\n; domain", "unlicense"),
+    ("All rights\n * reserved.", "proprietary"),
+    ("dedicated to the public\n domain", "public-domain"),
+    ("MIT\nNo Attribution", "mit-0"),
+    ("Mulan\n PSL v2", "mulan-2"),
+    ("text under CC\n# BY 4.0", "cc-by"),
+    ("Creative Commons\nAttribution-Non-Commercial", "cc-by-nc"),
+    ("Creative Commons Attribution Share Alike", "cc-by-sa"),
+    ("Creative Commons Attribution-No-Derivatives", "cc-by-nd"),
+    ("Licenced under the\nterms of the owner", "licensed"),
+    ("Eclipse Public License - v 2.0", "epl-2"),
+    ("Community Data License Agreement \u2013 Permissive", "cdla-permissive"),
+    ("a BSD\n3-clause\nlicense", "bsd-3"),
+]
+
+
+def test_wrapped_notices_are_found(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(WRAPPED)], "doc_id long, text string")
+    rows = licenses.scan_licenses(df).collect()
+    assert [label for r in rows for t, label in [WRAPPED[r.doc_id]] if label not in r.labels_array] == []
+    # A span covers the whole notice, and a long run of marks costs no more than its length.
+    assert any((d.start, d.end) == (17, 46) and d.label == "lgpl" for d in next(r for r in rows if r.doc_id == 0).detections)
+    marks = spark.createDataFrame([(1, "eclipse public license" + "=" * 300_000 + " artistic license" + "-" * 300_000)], "doc_id long, text string")
+    assert licenses.scan_licenses(marks).first().labels_array == ["artistic"]
+
+
 def test_every_rule_is_reached_through_its_keyword_and_a_stem():
     """Every address, tag and fixed phrase passes both gates; hundreds of rules."""
     assert len(licenses.RULES) > 190
