@@ -3,8 +3,9 @@
 Fixed kinds (``assign``, ``access``, ``hex``) are regular expressions with a least length. The method adds
 kinds by entropy: for each character class a candidate is a long run of the class; a window of ``WINDOW``
 characters slides over it, and the Shannon entropy of the window is kept up by changing two counts per
-step. A candidate whose highest window entropy reaches the class's threshold is a secret unless an
-allow-list pattern matches it or it lies inside a fixed finding.
+step. The allow-list cuts harmless pieces (between ``/``, ``_`` and ``-``) out of a candidate; it is a secret if a
+stretch that is left has what the class asks for and a window whose entropy reaches the class's threshold, unless it
+lies inside a fixed finding. The finding is the whole candidate.
 
 Entropy of a window of W characters with counts c is ``log2 W - (sum c log2 c) / W``; the sum is held in
 millionths as an integer, so the result does not depend on the order of the steps.
@@ -39,7 +40,7 @@ FIXED_KINDS = (
 
 @dataclass(frozen=True)
 class CharClass:
-    """``candidate`` finds runs of the class; ``must`` are patterns a candidate needs; bits is the threshold."""
+    """``candidate`` finds runs of the class; ``must`` are patterns a stretch of it needs; bits is the threshold."""
 
     kind: str
     candidate: str
@@ -51,14 +52,19 @@ WINDOW = 20
 CLASSES = (
     CharClass("entropy_hex", r"(?<![0-9A-Za-z])[0-9A-Fa-f]{20,}(?![0-9A-Za-z])", (r"[0-9]", r"[A-Fa-f]"), 3.0),
     CharClass("entropy_base64", r"[A-Za-z0-9+/_-]{20,}={0,2}", (r"[0-9]", r"[A-Z]", r"[a-z]"), 3.9),
+    CharClass("entropy_lower", r"(?<![0-9A-Za-z])[0-9a-z]{20,}(?![0-9A-Za-z])", (r"(?:[0-9][a-z]*){3}", r"[0-9][a-z]+[0-9]", r"[g-z]"), 3.5),
 )
-# Well-known harmless strings: documentation samples, runs of the alphabet, digests of nothing, UUIDs, paths.
+# Well-known harmless pieces: documentation samples, runs of the alphabet, digests of nothing, UUIDs. A piece starts where
+# the candidate or a piece starts, so a long candidate is searched once.
+_IN_PIECE = r"[^/_-]"
 ALLOWED = (
-    r"(?i)example|sample|placeholder|changeme|your[_-]",
-    r"(?i)0123456789|abcdefghij|1234567890|deadbeef|(.)\1{7}",
-    r"(?i)^(da39a3ee5e6b4b0d3255bfef95601890afd80709|d41d8cd98f00b204e9800998ecf8427e|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855)$",
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"^/?([a-z]+/){2,}",
+    rf"(?i)(?<!{_IN_PIECE})(?:"
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY|your"
+    r"|da39a3ee5e6b4b0d3255bfef95601890afd80709|d41d8cd98f00b204e9800998ecf8427e"
+    r"|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+    r"|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+    rf"|{_IN_PIECE}*?(?:example|sample|placeholder|changeme|0123456789|abcdefghij|1234567890|deadbeef|({_IN_PIECE})\1{{7}}){_IN_PIECE}*+"
+    rf")(?!{_IN_PIECE})"
 )
 
 SPAN = "array<struct<start:int,ord:int,end:int,kind:string>>"
@@ -133,18 +139,22 @@ def _spans(found: Column, order: int, kind: str) -> Column:
     )
 
 
-def entropy_spans(text: Column, base: Column, classes=CLASSES, allowed=ALLOWED, window: int = WINDOW) -> Column:
+def entropy_spans(text: Column, base: Column, classes=CLASSES, allowed: str = ALLOWED, window: int = WINDOW) -> Column:
     def spans(order: int, cls: CharClass) -> Column:
+        def secret(stretch: Column) -> Column:
+            ok = F.length(stretch) >= window
+            for p in cls.must:
+                ok = ok & F.regexp_like(stretch, F.lit(p))
+            # Conditions are evaluated left to right, so the entropy is taken of few strings only.
+            return F.when(ok, window_entropy(stretch, window) >= cls.bits).otherwise(False)
+
         def wanted(m: Column) -> Column:
             hit = m["hit"]
             ok = F.lit(True)
             for p in cls.must:
                 ok = ok & F.regexp_like(hit, F.lit(p))
-            for p in allowed:
-                ok = ok & ~F.regexp_like(hit, F.lit(p))
             inside = F.exists(base, lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"]))
-            # Conditions are evaluated left to right, so the entropy is taken of few strings only.
-            return F.when(ok & ~inside, window_entropy(hit, window) >= cls.bits).otherwise(False)
+            return F.when(ok & ~inside, F.exists(F.split(hit, allowed, -1), secret)).otherwise(False)
 
         return _spans(F.filter(matches(text, cls.candidate), wanted), order, cls.kind)
 

@@ -104,6 +104,21 @@ def test_allow_list_and_redaction(spark, odd_docs):
     assert secrets.redact(odd_docs).columns == odd_docs.columns and secrets.redact(odd_docs).count() == odd_docs.count()
 
 
+def test_keys_in_paths_are_found(spark):
+    """A harmless piece beside a key does not hide it; harmless pieces alone are no findings."""
+    key, lower = "Zx9Qw8Er7Ty6Ui5Op4As3Df2Gh1", "q7w2k9x4m1z8p5t3v6b0n"
+    found = [f"https://hooks.host.com/services/T0AB12CD3/B0EF45GH6/{key}", f"https://host.io/api/keys/{key}", f"https://sample-app/v1/{key}"]
+    found += [f"your-key-{key}", f"EXAMPLE_{key}", f"see {lower} there", f"host.io/api/keys/{lower}", f"{'=' * 9}{'-' * 9}{key}"]
+    clean = ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "home/user/documents/work/project/files", "internationalization2of3things"]
+    clean += ["api/V2/123e4567-e89b-12d3-a456-426614174000", "EXAMPLEabc123XYZ789EXAMPLEkey", "Sample1/EXAMPLE2/placeholder3"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(found + clean)], "doc_id long, text string")
+    rows = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert [i for i, t in enumerate(found) if key in rows[i] or lower in rows[i]] == []
+    assert [rows[len(found) + i] for i in range(len(clean))] == clean
+    long = spark.createDataFrame([(1, "aB3" * 60_000 + "!" + "x" * 200_000)], "doc_id long, text string")
+    assert secrets.scan(long).count() == 1
+
+
 def test_positions_of_many_matches(spark):
     text = "é1 " * 1000
     df = spark.createDataFrame([(text,)], "t string").select(matches(F.col("t"), "[0-9]").alias("m"))
