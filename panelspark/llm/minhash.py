@@ -22,7 +22,7 @@ Jaccard similarity reaches the threshold; a component is what links connect.
 Defined cases: a null text or one without words has an empty set, is linked with nothing and is its own
 component; a text of fewer words than a shingle is one shingle; rows that share an id are one document; a row without an id
 has no component and is kept; repeated rows are returned as often as they occur; an empty table gives an
-empty result; :func:`deduplicate` keeps all columns whatever their names.
+empty result. :func:`deduplicate` takes every row as a document, whatever its id, and keeps all columns whatever their names.
 """
 
 from __future__ import annotations
@@ -441,8 +441,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, the one with the smallest id, with its own columns; each id once per text."""
-    found = near_duplicates(docs.select("doc_id", "text"), size, percent)
-    gone = unused(docs, "gone")
-    drop = found.filter("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, F.col("doc_id") == F.col(gone), "left_anti")
+    """One row of each component, with its own columns.
+
+    Every row is a document of its own: rows without an id, repeated rows and rows of one id with different texts too. The row
+    with the smallest id stays (one without an id only if no other has one), of equal ids the one whose columns
+    have the least digest. A row without words is its own component.
+    """
+    row, digest = unused(docs, "row"), unused(docs, "digest")
+    whole = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    # Numbers are given once and written, so that every later pass sees the same ones.
+    rows = stored(docs.withColumns({digest: whole, row: F.monotonically_increasing_id()}), "rows")
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), size, percent)
+    found = found.select(F.col("doc_id").alias("row"), "component_id")
+    groups = found.filter("row <> component_id").select("component_id").distinct()
+    members = found.join(groups, "component_id", "left_semi")
+    named = rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col(digest).alias("digest"))
+    best = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "digest", "row")).alias("best")
+    members = stored(members.join(named, "row"), "members")
+    chosen = members.groupBy("component_id").agg(best).select(F.col("best.row").alias("row"))
+    drop = members.join(chosen, "row", "left_anti").select(F.col("row").alias(row))
+    return rows.join(drop, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])

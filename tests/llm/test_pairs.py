@@ -98,6 +98,19 @@ def test_near_duplicates_on_odd_rows(odd_docs, odd_rows, no_docs):
     assert minhash.near_duplicates(no_docs, 4).collect() == [] and minhash.deduplicate(no_docs).collect() == []
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Repeated rows, rows without an id and rows of one id with different texts are dropped or kept row by row."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(4, a, "x"), (4, a, "x"), (4, a, "y"), (None, a, "x"), (9, a + " end", "x")]  # one component
+    rows += [(9, b, "x"), (7, c, "x"), (None, c.upper(), "x"), (None, d, "x"), (None, d, "x"), (5, None, "x"), (6, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(3)
+    kept = Counter((r.doc_id, r.text) for r in minhash.deduplicate(docs).collect())
+    assert kept == Counter([(4, a), (9, b), (7, c), (None, d), (5, None), (6, "")])
+    assert minhash.deduplicate(docs).columns == docs.columns
+    many = spark.range(500).select(F.lit(1).cast("long").alias("doc_id"), F.lit(a).alias("text"))
+    assert minhash.deduplicate(many).count() == 1
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     for similar in (0.3, 0.6, 0.8, 0.95):
