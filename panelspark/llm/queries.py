@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import chat, language_id, licenses, line_crf, minhash, mixing, packing, quality_rules, secrets, topk
-from panelspark.llm.common import id_bucket, table
+from panelspark.llm import chat, fill_in_middle, language_id, licenses, line_crf, minhash, mixing, packing, quality_rules, runs
+from panelspark.llm import secrets, sentence_pieces, topk
+from panelspark.llm.common import id_bucket, indices, let, table, words
 
 QUALITY_AT = 0.3  # score from which a document counts as good
 
@@ -82,6 +83,50 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` as the contract of op11 reads them: where crc32(doc_id) % 10 is 0, the words from ``a`` on repeat the next ``p``."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / F.lit(10)).cast("long")
+
+    def repeat(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("long")
+        return let(
+            F.struct(a.alias("a"), p.alias("p")),
+            lambda t: F.array_join(
+                F.transform(indices(n), lambda i: F.get(w, F.when(i < t["a"], i).otherwise(t["a"] + (i - t["a"]) % t["p"]).cast("int"))), " "
+            ),
+        )
+
+    tail = let(words(F.col("text")), lambda w: F.when(F.size(w) > 0, repeat(w)).otherwise(F.lit("")))
+    return docs.withColumn("text", F.when(h % 10 == 0, tail).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_repeated_tails(documents(spark, sf_dir)))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = [F.col(f"strongest.{n}").alias(n) for n in ("start", "length", "period")]
+    milli = F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli")
+    digests = [F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, milli, *digests)
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = sentence_pieces.decode(sentence_pieces.encode(documents(spark, sf_dir)))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(documents(spark, sf_dir))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")]
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
@@ -93,6 +138,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_quality": op8_line_quality,
     "op9_pack": op9_pack,
     "op10_mix_sources": op10_mix_sources,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 # SQL of the operators that it can express: the whole definition, not the operator's way to the result.
@@ -189,5 +237,32 @@ SELECT doc_id, size, source_size, target,
        size * (CAST(floor(rate) AS BIGINT) + CASE WHEN CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(s.source, '') || ':'
            || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
 FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
+""",
+    "op13_fill_in_middle": f"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+           list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(sha256('{fill_in_middle.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 8) AS BIGINT)) AS h
+    FROM documents
+),
+formed AS (
+    SELECT *, CAST(len(units) AS BIGINT) AS n,
+           CASE WHEN text = '' OR h[3] % 100 >= {fill_in_middle.RATE} OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+               THEN 'plain' WHEN h[4] % 100 < {fill_in_middle.SPM_RATE} THEN 'spm' ELSE 'psm' END AS form
+    FROM cut
+),
+parts AS (
+    SELECT doc_id, text, n, form,
+           array_to_string(units[1:least(h[1] % (n + 1), h[2] % (n + 1))], '') AS prefix,
+           array_to_string(units[least(h[1] % (n + 1), h[2] % (n + 1)) + 1:greatest(h[1] % (n + 1), h[2] % (n + 1))], '') AS middle,
+           array_to_string(units[greatest(h[1] % (n + 1), h[2] % (n + 1)) + 1:n], '') AS suffix
+    FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }

@@ -34,6 +34,6 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_all_are_registered():
     found = E.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) <= set(found) and found["pipeline"] is corpus_pipeline.run
     assert set(queries.ORACLE_SQL) <= set(E.oracle_sql()) and "pipeline" not in E.oracle_sql()
