@@ -10,14 +10,19 @@ Semantics (per entity, rows ordered by ``order``; nulls in the order columns sor
 
 Plan
 ----
-One scan, one exchange by entity, one sorted window. The window only looks back, so rows after ``end`` are
-dropped in the scan.
-
-An entity with more than ``task_rows`` rows is *hot*: its rows would be one task's sort. Counting rows per
-entity reads the key columns alone and combines map-side; if no entity is hot, nothing else happens.
-Otherwise the hot entities' rows take a second path: their order column is cut at ``PIECES`` quantiles of that
-entity's own rows, the window runs per (entity, piece), and the last row of each piece is put in front of
-the next one. There are at most (all rows / task_rows) hot entities, whatever the skew.
+One plan for every entity, whatever its share of the rows:
+
+1. one range exchange by (keys, order): neighbouring rows lie in one partition or on both sides of a partition's edge, and an entity
+   with many rows takes as many partitions as its rows fill;
+2. each partition is sorted downwards, so its last row is the one numbered 0; a copy of it goes to the next partition as well
+   (as many copies as partitions);
+3. the window runs per (partition, keys) behind a hash exchange, the copy first. Where the entity goes on from the partition before, the
+   copy is its previous row; elsewhere it is a group by itself and falls out.
+
+Nothing is counted or collected while the plan is built, and the input stands in it once. Spark samples the input of
+a range exchange when the query runs: that reads files a second time (the needed columns), but not a shuffle below it. Every partition
+but the last holds the row that bounds it, so no partition in between is empty and one copy is enough. Only rows that
+are equal in keys and all order columns cannot be separated. The window only looks back, so rows after ``end`` are dropped in the scan.
 """
 
 from __future__ import annotations
@@ -29,11 +34,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark import functions as PF
+from panelspark import session
 
-TASK_ROWS = 5_000_000
-PIECES = 256  # pieces of a hot entity
-_KIND = "__row_kind"  # 0 = last row of the piece before, 1 = real row
-_PIECE, _LAST = "__piece", "__last"
+_PIECE, _ROW, _COPY = "__piece", "__row", "__copy"  # _COPY: 1 = the copy of the last row of the piece before
+_ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id numbers a partition's rows in its lower 33 bits
 
 DayBound = str | dt.date | None
 
@@ -61,13 +65,13 @@ def lagged_change(
     start: DayBound = None,
     end: DayBound = None,
     suffix: str = "_diff",
-    task_rows: int = TASK_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``<m><suffix>`` for every measure; keep rows in ``[start, end]`` (each bound optional).
 
-    ``order[0]`` is the date or timestamp column the range refers to and the pieces of a hot entity are cut
-    by; further ``order`` columns break ties (e.g. an event id). Rows with equal order values have no
-    defined order, as with any window.
+    ``order[0]`` is the date or timestamp column the range refers to; further ``order`` columns break ties (e.g. an
+    event id). Rows with equal order values have no defined order, as with any window. Keys and order columns need a
+    type that can be sorted. ``partitions``: how many the rows are dealt to (default: the session's shuffle partitions).
     """
     keys, order, measures = list(keys), list(order), list(measures)
     rows = df
@@ -75,52 +79,26 @@ def lagged_change(
         # Rows without a date come before all others, so they may be a previous row.
         dtype = df.schema[order[0]].dataType.typeName()
         rows = df.filter(F.col(order[0]).isNull() | PF.on_or_before(order[0], PF.as_date(end), dtype))
-    hot = rows.groupBy(*keys).count().filter(F.col("count") > task_rows).select(*keys)
-    if hot.isEmpty():
-        changed = _changes(rows, keys, order, measures, digits, suffix)
-    else:
-        cold = _null_safe_join(rows, hot, keys, "left_anti")
-        # Bounded: at most (all rows / task_rows) entities.
-        cold = _changes(cold, keys, order, measures, digits, suffix)
-        split = _changes_in_pieces(_null_safe_join(rows, hot, keys, "left_semi"), keys, order, measures, digits, suffix)
-        changed = cold.unionByName(split)
-    return in_date_range(changed, order[0], start, end)
-
-
-def _changes(rows: DataFrame, keys, order, measures, digits: int, suffix: str, first: Sequence[str] = ()) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*first, *[F.col(o).asc_nulls_first() for o in order])
+    pieces = in_pieces(rows, keys, order, partitions or session.initial_partitions(df.sparkSession))
+    w = Window.partitionBy(_PIECE, *keys).orderBy(F.col(_COPY).desc(), *[F.col(o).asc_nulls_first() for o in order])
     is_first = F.row_number().over(w) == 1
     diffs: dict[str, Column] = {
         f"{m}{suffix}": F.when(is_first, F.col(m)).otherwise(F.round(F.col(m) - F.lag(m).over(w), digits)) for m in measures
     }
-    return rows.withColumns(diffs)
-
-
-def _changes_in_pieces(rows: DataFrame, keys, order, measures, digits: int, suffix: str) -> DataFrame:
-    """:func:`_changes` with every entity cut into pieces of its own rows."""
-    shares = [i / PIECES for i in range(1, PIECES)]
-    bounds = rows.groupBy(*keys).agg(F.percentile_approx(order[0], shares, 10 * PIECES).alias("__bounds"))
-    cut = _null_safe_join(rows, bounds, keys, "inner", keep=["__bounds"])
-    # Rows without an order value come first: piece 0.
-    below = F.size(F.filter(F.coalesce("__bounds", F.array()), lambda b: b <= F.col(order[0])))
-    cut = cut.withColumn(_PIECE, F.when(F.col(order[0]).isNull(), 0).otherwise(below)).drop("__bounds")
-    last = cut.groupBy(*keys, _PIECE).agg(F.max_by(F.struct(*measures), F.struct(*order)).alias(_LAST))
-    # One row per piece: its predecessor is the piece before that has rows.
-    before = F.lag(_LAST).over(Window.partitionBy(*keys).orderBy(_PIECE))
-    carried = last.withColumn(_LAST, before).filter(F.col(_LAST).isNotNull())
-    carried = carried.select(*keys, _PIECE, *[F.col(f"{_LAST}.{m}").alias(m) for m in measures])
-    stacked = cut.withColumn(_KIND, F.lit(1)).unionByName(carried.withColumn(_KIND, F.lit(0)), allowMissingColumns=True)
-    changed = _changes(stacked, [*keys, _PIECE], order, measures, digits, suffix, first=[_KIND])
-    return changed.filter(F.col(_KIND) == 1).drop(_KIND, _PIECE)
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Join on ``keys`` where null matches null (a null key is one entity, as in a window)."""
-    renamed = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)], *keep)
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__rk{i}"))
-    return left.join(renamed, cond, how).drop(*[f"__rk{i}" for i in range(len(keys))])
+    changed = pieces.withColumns(diffs).filter(F.col(_COPY) == 0).drop(_COPY, _PIECE)
+    return in_date_range(changed, order[0], start, end)
+
+
+def in_pieces(rows: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int) -> DataFrame:
+    """``rows`` range-partitioned by (keys, order), with their partition's number and the last row of each in the next as well."""
+    by = [*keys, *order]
+    # With a stated number of partitions AQE neither joins nor splits them, so a row's partition is its range.
+    ranged = rows.repartitionByRange(partitions, *[F.col(c).asc_nulls_first() for c in by])
+    down = ranged.sortWithinPartitions(*[F.col(c).desc_nulls_last() for c in by])
+    numbered = down.withColumns({_PIECE: F.spark_partition_id(), _ROW: F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))})
+    is_last = F.col(_ROW) == 0
+    sent = numbered.withColumn(_COPY, F.explode(F.when(is_last, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    return sent.withColumn(_PIECE, F.col(_PIECE) + F.col(_COPY)).drop(_ROW)
 
 
 def assert_unique_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

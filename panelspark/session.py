@@ -90,6 +90,11 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return int(total)
 
 
+def initial_partitions(spark: SparkSession) -> int:
+    """Shuffle partitions that adaptive execution starts from: what was set for it, else the shuffle partitions."""
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 SIZED = "spark.panelspark.initialPartitionNum"  # what size_shuffle set last, so that each job is sized anew
 
 

@@ -52,12 +52,12 @@ def test_daily_change_hand_worked(spark):
 @pytest.mark.parametrize(
     "bounds", [("2020-03-30", "2020-04-15"), (None, None), ("2020-04-02", None), (None, "2020-04-02")]
 )
-@pytest.mark.parametrize("task_rows", [panel.TASK_ROWS, 0, 1, 3])
-def test_matches_plain_window_with_null_dates(spark, bounds, task_rows):
-    """Also with entities of more than 0, 1 or 3 rows treated as hot, that is cut into pieces of their own rows."""
+@pytest.mark.parametrize("partitions", [None, 1, 2, 3, 5, 40])
+def test_matches_plain_window_with_null_dates(spark, bounds, partitions):
+    """Whatever the number of partitions: entities cut by their edges, several entities in one, more partitions than rows."""
     df = county(spark)
     expected = rows(plain_lagged(df, ["geoid"], ["date"], MEASURES, 3, *bounds), OUT)
-    got = rows(panel.lagged_change(df, ["geoid"], ["date"], MEASURES, 3, *bounds, task_rows=task_rows), OUT)
+    got = rows(panel.lagged_change(df, ["geoid"], ["date"], MEASURES, 3, *bounds, partitions=partitions), OUT)
     assert got == expected
 
 
@@ -68,33 +68,59 @@ def test_telescoping(spark):
     assert sum(r.cases_avg_diff for r in out) == pytest.approx(max(out, key=lambda r: r.date).cases_avg)
 
 
-def test_hot_entity_within_one_day(spark):
-    """One user holds a third of one day's events: its rows are cut at its own quantiles, none in one window group."""
+def hot_events(spark):
+    """Events of one day, a third of them of one user."""
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    hot = F.col("event_id") % 3 == 0
-    ev = ev.withColumn("ts", F.expr("ts - make_dt_interval(datediff(ts, DATE'2024-01-10'))"))  # all on one day
-    ev = ev.withColumn("user_id", F.when(hot, F.lit(-1)).otherwise(F.col("user_id")))
+    ev = ev.withColumn("ts", F.expr("ts - make_dt_interval(datediff(ts, DATE'2024-01-10'))"))
+    return ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+
+
+@pytest.mark.parametrize("bounds", [("2024-01-10", "2024-01-10"), (None, None)])
+def test_hot_entity_within_one_day(spark, bounds):
+    ev = hot_events(spark)
     cols = ["user_id", "ts", "event_id", "value", "value_diff"]
-    n_hot = ev.filter("user_id = -1").count()
-    for bounds in [("2024-01-10", "2024-01-10"), (None, None)]:
-        expected = rows(plain_lagged(ev, ["user_id"], ["ts", "event_id"], ["value"], 3, *bounds), cols)
-        out = panel.lagged_change(ev, ["user_id"], ["ts", "event_id"], ["value"], 3, *bounds, task_rows=n_hot - 1)
-        assert rows(out, cols) == expected
-        assert len(expected) >= n_hot
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "__piece" in plan  # the second path was taken
-
-
-def test_no_more_is_shuffled_than_the_rows_once(spark):
-    """Without a hot entity: one exchange of the raw rows, whatever Spark may broadcast."""
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = panel.lagged_change(county(spark), ["geoid"], ["date"], MEASURES, 3, "2020-03-30", "2020-04-15")
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange ") == 1 and "Join" not in plan
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    expected = rows(plain_lagged(ev, ["user_id"], ["ts", "event_id"], ["value"], 3, *bounds), cols)
+    out = panel.lagged_change(ev, ["user_id"], ["ts", "event_id"], ["value"], 3, *bounds, partitions=24)
+    assert rows(out, cols) == expected
+
+
+def test_hot_entity_takes_partitions_by_its_rows(spark):
+    """Also where its rows share one time and only the tie column differs."""
+    for ev in (hot_events(spark), hot_events(spark).withColumn("ts", F.lit(dt.datetime(2024, 1, 10)))):
+        n, parts = ev.count(), 24
+        sizes = panel.in_pieces(ev, ["user_id"], ["ts", "event_id"], parts).filter("__copy = 0").groupBy("__piece", "user_id").count()
+        hot = [r["count"] for r in sizes.filter("user_id = -1").collect()]
+        assert len(hot) >= parts // 4 and max(hot) < 3 * n / parts
+
+
+def test_no_keys_is_one_series(spark):
+    ev = hot_events(spark)
+    cols = ["event_id", "value_diff"]
+    got = panel.lagged_change(ev, [], ["ts", "event_id"], ["value"], 3, partitions=7)
+    w = Window.orderBy("ts", "event_id")
+    plain = ev.withColumn("value_diff", F.when(F.row_number().over(w) == 1, F.col("value")).otherwise(F.round(F.col("value") - F.lag("value").over(w), 3)))
+    assert rows(got, cols) == rows(plain, cols)
+
+
+def test_repeated_rows_and_null_keys(spark):
+    """A null key is one entity; equal rows are each other's previous row, wherever the partitions are cut."""
+    data = [(k, dt.date(2024, 1, d), 1.0 * d) for k in (None, "a", "b") for d in (1, 2, 3, 4, 5)] * 3
+    df = spark.createDataFrame(data, "k string, d date, v double").repartition(4)
+    for partitions in (1, 4, 9, 60):
+        got = rows(panel.lagged_change(df, ["k"], ["d"], ["v"], 3, partitions=partitions), ["k", "d", "v", "v_diff"])
+        assert got == rows(plain_lagged(df, ["k"], ["d"], ["v"], 3, None, None), ["k", "d", "v", "v_diff"])
+
+
+def test_input_stands_once_in_the_plan_and_no_job_runs_for_it(spark):
+    """One scan, no join; nothing runs while the plan is built."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan only", "")
+    ev = spark.read.schema("event_id long, ts timestamp_ntz, user_id long, value double").parquet("/root/testdata/sf0.001/events.parquet")
+    out = panel.lagged_change(ev, ["user_id"], ["ts", "event_id"], ["value"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not tracker.getJobIdsForGroup("plan only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert plan.count("FileScan") == 1 and "Join" not in plan and plan.count("Exchange ") == 2
 
 
 def test_timestamp_range_includes_whole_end_day(spark):
@@ -128,8 +154,8 @@ def test_plan_one_window_pruned_scan_pushed_bounds(spark, tmp_root):
     assert "LessThanOrEqual(date,2020-04-15)" in plan
 
 
-@pytest.mark.parametrize("task_rows", [panel.TASK_ROWS, 1])
-def test_pieces_across_a_dst_gap(spark, task_rows):
+@pytest.mark.parametrize("partitions", [1, 3, 20])
+def test_pieces_across_a_dst_gap(spark, partitions):
     """Wall-clock timestamps around the 2024-03-10 spring-forward gap, with a DST session time zone."""
     data = [
         ("u", dt.datetime(2024, 3, 10, 1, 50), 1, 1.0),
@@ -147,7 +173,7 @@ def test_pieces_across_a_dst_gap(spark, task_rows):
         cols = ["k", "ts", "id", "v", "v_diff"]
         for bounds in [(None, None), ("2024-03-10", "2024-11-03")]:
             expected = rows(plain_lagged(df, ["k"], ["ts", "id"], ["v"], 3, *bounds), cols)
-            got = rows(panel.lagged_change(df, ["k"], ["ts", "id"], ["v"], 3, *bounds, task_rows=task_rows), cols)
+            got = rows(panel.lagged_change(df, ["k"], ["ts", "id"], ["v"], 3, *bounds, partitions=partitions), cols)
             assert got == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)

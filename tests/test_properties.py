@@ -29,11 +29,11 @@ SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[Healt
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     data=panel_rows,
-    task_rows=st.sampled_from([panel.TASK_ROWS, 0, 2, 5]),
+    partitions=st.sampled_from([None, 1, 2, 5, 30]),
     start=st.one_of(st.none(), st.integers(0, 400)),
     span=st.one_of(st.none(), st.integers(0, 200)),
 )
-def test_lagged_change_equals_plain_window(spark, data, task_rows, start, span):
+def test_lagged_change_equals_plain_window(spark, data, partitions, start, span):
     df = spark.createDataFrame(
         [(k, None if d is None else BASE + dt.timedelta(days=d), v) for k, d, v in data], "k string, d date, v double"
     )
@@ -41,7 +41,7 @@ def test_lagged_change_equals_plain_window(spark, data, task_rows, start, span):
     hi = None if (start is None or span is None) else lo + dt.timedelta(days=span)
     cols = ["k", "d", "v", "v_diff"]
     expected = rows(plain_lagged(df, ["k"], ["d"], ["v"], 2, lo, hi), cols)
-    got = rows(panel.lagged_change(df, ["k"], ["d"], ["v"], 2, lo, hi, task_rows=task_rows), cols)
+    got = rows(panel.lagged_change(df, ["k"], ["d"], ["v"], 2, lo, hi, partitions=partitions), cols)
     assert got == expected
 
 
