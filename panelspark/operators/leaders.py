@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark import functions as PF
 
@@ -57,8 +58,29 @@ def prepare(df: DataFrame, entity: str, date: str, measure: str, rate: str, posi
     return out
 
 
-def _sum(c: str, scale: int | None):
-    return F.sum(PF.scaled(c, scale)) if scale is not None else F.sum(c)
+def _sum(name: str, c: str, scale: int | None):
+    """A sum of ``c``; with a scale, the exact one as a struct, of what ``with_units`` took apart under ``name``."""
+    return PF.parts_of(name) if scale is not None else F.sum(c)
+
+
+def _is_exact(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, T.StructType)
+
+
+def _total(df: DataFrame, c: str, over=None):
+    """The sum of the sums in column ``c``, over a window if one is given."""
+    if _is_exact(df, c):
+        return PF.added(c, over)
+    return F.sum(c).over(over) if over is not None else F.sum(c)
+
+
+def _number(df: DataFrame, c: str, scale: int | None):
+    """The sum in column ``c`` as a plain number."""
+    return PF.from_parts(c, scale) if _is_exact(df, c) else F.col(c)
+
+
+def _order(df: DataFrame, c: str):
+    return PF.parts_order(c) if _is_exact(df, c) else F.col(c)
 
 
 def entity_months(
@@ -66,11 +88,12 @@ def entity_months(
 ) -> DataFrame:
     """One row per (entity, year, month): measure sum, rate sum and count of non-null rates.
 
-    Sums stay decimals when a scale is given (exact, order-free); see :func:`finish`.
+    Sums stay exact structs when a scale is given (order-free); see :func:`finish`.
     """
-    return prepared.groupBy(entity, YEAR, MONTH).agg(
-        _sum(measure, measure_scale).alias("__m"),
-        _sum(rate, rate_scale).alias("__r"),
+    taken = PF.with_units(prepared, {"m": (measure, measure_scale), "r": (rate, rate_scale)})
+    return taken.groupBy(entity, YEAR, MONTH).agg(
+        _sum("m", measure, measure_scale).alias("__m"),
+        _sum("r", rate, rate_scale).alias("__r"),
         F.count(rate).alias("__n"),
     )
 
@@ -78,15 +101,15 @@ def entity_months(
 def running_totals(months: DataFrame, entity: str) -> DataFrame:
     """Year-to-date sums per entity over the (entity, year, month) table."""
     w = Window.partitionBy(entity, YEAR).orderBy(MONTH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return months.withColumns({c: F.sum(c).over(w) for c in ("__m", "__r", "__n")})
+    return months.withColumns({c: _total(months, c, w) for c in ("__m", "__r", "__n")})
 
 
 def finish(df: DataFrame, names: LeaderNames, measure_scale, rate_scale, digits: int = 4) -> DataFrame:
     """Name the entity total and the rounded mean of the non-null rates (null when there is none)."""
-    avg = F.try_divide(PF.unscale("__r", rate_scale), F.col("__n").cast("double"))
+    avg = F.try_divide(_number(df, "__r", rate_scale), F.col("__n").cast("double"))
     return df.withColumns(
         {
-            names.entity_total: PF.unscale("__m", measure_scale),
+            names.entity_total: _number(df, "__m", measure_scale),
             names.entity_avg: F.round(avg, digits),
         }
     )
@@ -98,20 +121,23 @@ def period_months(prepared: DataFrame, measure: str, measure_scale=None, cumulat
     Aggregated straight from the rows: the partial aggregate leaves at most one row per (year, month) in
     each map task, so its shuffle is negligible next to the entity-month one.
     """
-    months = prepared.groupBy(YEAR, MONTH).agg(_sum(measure, measure_scale).alias("__p"))
+    total = _total(prepared, measure) if _is_exact(prepared, measure) else _sum("p", measure, measure_scale)
+    months = PF.with_units(prepared, {"p": (measure, measure_scale)}).groupBy(YEAR, MONTH).agg(total.alias("__p"))
     if cumulative:
         w = Window.partitionBy(YEAR).orderBy(MONTH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        months = months.withColumn("__p", F.sum("__p").over(w))
+        months = months.withColumn("__p", _total(months, "__p", w))
     return months.withColumn("__q", PF.quarter_of_month(MONTH))
 
 
 def chosen_months(periods: DataFrame, mode: str = "cumulative") -> DataFrame:
     """(year, month, quarter, period total) of the month(s) each quarter reports."""
+    total = _order(periods, "__p")
     if mode == "cumulative":
         w = Window.partitionBy(YEAR).orderBy("__q").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        return periods.withColumn("__max", F.max("__p").over(w)).filter(F.col("__p") == F.col("__max")).drop("__max")
+        marked = periods.withColumn("__now", total).withColumn("__max", F.max("__now").over(w))
+        return marked.filter(F.col("__now") == F.col("__max")).drop("__now", "__max")
     if mode == "calendar":
-        w = Window.partitionBy(YEAR, "__q").orderBy(F.col("__p").desc_nulls_last(), F.col(MONTH))
+        w = Window.partitionBy(YEAR, "__q").orderBy(total.desc_nulls_last(), F.col(MONTH))
         return periods.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
     raise ValueError(f"mode must be 'cumulative' or 'calendar', got {mode!r}")
 
@@ -160,7 +186,7 @@ def quarter_peak_from_months(
     ent = running_totals(monthly, entity) if cumulative else monthly
     ent = finish(ent, names, measure_scale, rate_scale)
     months = chosen_months(periods, mode).select(
-        YEAR, MONTH, F.col("__q").alias(names.quarter), PF.unscale("__p", measure_scale).alias(names.period_total)
+        YEAR, MONTH, F.col("__q").alias(names.quarter), _number(periods, "__p", measure_scale).alias(names.period_total)
     )
     # Bounded by construction: at most 12 rows per calendar year.
     # Null matches null: rows without a date have a null year, quarter and month, and stay.
@@ -184,7 +210,7 @@ def period_totals(
     if positive_only:
         prepared = prepared.filter(F.col(measure) > 0)
     months = period_months(prepared, measure, measure_scale, cumulative)
-    return months.select(YEAR, MONTH, PF.unscale("__p", measure_scale).alias(name))
+    return months.select(YEAR, MONTH, _number(months, "__p", measure_scale).alias(name))
 
 
 def entity_running_totals(

@@ -20,11 +20,6 @@ def with_quarter(df: DataFrame, date: str, quarter: str = "trimester") -> DataFr
     return df.withColumn(quarter, PF.quarter(date))
 
 
-def _measure_sums(measures: Mapping[str, str | Column], scales: Mapping[str, int | None] | None) -> list[Column]:
-    scales = scales or {}
-    return [PF.exact_sum(src, scales.get(name)).alias(name) for name, src in measures.items()]
-
-
 def monthly_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -38,13 +33,19 @@ def monthly_totals(
 
     ``measures`` maps an output name to a source column, e.g. ``{"total_cases": "cases"}``. Nulls are
     ignored, negative corrections count as given. ``scales`` (output name -> decimal places) sums a
-    measure exactly as scaled integers (see :func:`panelspark.functions.exact_sum`).
+    measure exactly as scaled integers (see :func:`panelspark.functions.exact_sum`); NaN and infinities count as in a plain sum.
 
     Plan: partial aggregate in every map task, one exchange on the group keys, final aggregate. A hot
     key is combined map-side before it shuffles, so skew does not reach one reducer.
     """
+    scales = scales or {}
     dated = with_year_month(df, date, year, month)
-    return dated.groupBy(*keys, year, month).agg(*_measure_sums(measures, scales))
+    dated = PF.with_units(dated, {name: (src, scales.get(name)) for name, src in measures.items()})
+    sums = [
+        (F.sum(PF.col(src)) if scales.get(name) is None else PF.from_parts(PF.parts_of(name), scales[name])).alias(name)
+        for name, src in measures.items()
+    ]
+    return dated.groupBy(*keys, year, month).agg(*sums)
 
 
 def peak_period(

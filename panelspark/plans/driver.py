@@ -65,16 +65,15 @@ def daily_supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as a daily panel: one row per (l_suppkey, ship_date) with four exact sums."""
     li = driver_table(spark, sf_dir, "lineitem")
     disc = F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
-    return (
-        li.withColumn("ship_date", F.to_date("l_shipdate"))
-        .groupBy("l_suppkey", "ship_date")
-        .agg(
-            PF.exact_sum("l_quantity", 2).alias("quantity"),
-            PF.exact_sum("l_extendedprice", 2).alias("base_price"),
-            PF.exact_sum(disc, 4).alias("disc_price"),
-            PF.exact_sum(disc * (F.lit(1) + F.col("l_tax")), 6).alias("charge"),
-        )
-    )
+    measures = {
+        "quantity": ("l_quantity", 2),
+        "base_price": ("l_extendedprice", 2),
+        "disc_price": (disc, 4),
+        "charge": (disc * (F.lit(1) + F.col("l_tax")), 6),
+    }
+    taken = PF.with_units(li.withColumn("ship_date", F.to_date("l_shipdate")), measures)
+    sums = [PF.from_parts(PF.parts_of(name), scale).alias(name) for name, (_, scale) in measures.items()]
+    return taken.groupBy("l_suppkey", "ship_date").agg(*sums)
 
 
 def lagged_change_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +109,18 @@ def monthly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def monthly_totals_non_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly totals of prices some of which are NaN or infinite: the total as a plain sum has it, and what kind it is."""
+    k, price = F.col("l_orderkey"), F.col("l_extendedprice")
+    odd = F.when(k % 500 == 0, float("nan")).when(k % 500 == 1, float("inf")).when(k % 500 == 2, float("-inf")).otherwise(price)
+    li = driver_table(spark, sf_dir, "lineitem").withColumn("price", odd)
+    totals = periods.monthly_totals(li, ["l_suppkey"], "l_shipdate", {"total": "price"}, scales={"total": 2})
+    total = F.col("total")
+    kind = F.when(F.isnan(total), "nan").when(total == float("inf"), "inf").when(total == float("-inf"), "-inf").otherwise("finite")
+    finite = F.when(kind == "finite", total).alias("total")
+    return totals.select("l_suppkey", "year", "month", finite, kind.alias("kind"))
+
+
 def peak_month_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.peak_period(monthly_totals(spark, sf_dir), ["l_suppkey", "year"], "total_quantity")
 
@@ -317,6 +328,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lagged_change_events_all": lagged_change_events_all,
     "lagged_change_panel": lagged_change_panel,
     "monthly_totals": monthly_totals,
+    "monthly_totals_non_finite": monthly_totals_non_finite,
     "peak_month_quantity": peak_month_quantity,
     "peak_month_price": peak_month_price,
     "sorted_totals": sorted_totals,
@@ -481,6 +493,20 @@ SELECT ship_date, l_suppkey, quantity, quantity_diff, base_price_diff FROM (
 WHERE ship_date >= DATE '{PANEL_RANGE[0]}' AND ship_date <= DATE '{PANEL_RANGE[1]}'
 """,
     "monthly_totals": _MONTHLY_SQL,
+    "monthly_totals_non_finite": """
+WITH kinds AS (
+    SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+           count(*) FILTER (l_orderkey % 500 = 0) AS n_nan, count(*) FILTER (l_orderkey % 500 = 1) AS n_up,
+           count(*) FILTER (l_orderkey % 500 = 2) AS n_down,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (l_orderkey % 500 > 2) AS DOUBLE) AS finite
+    FROM lineitem GROUP BY l_suppkey, year(l_shipdate), month(l_shipdate)
+),
+named AS (
+    SELECT *, CASE WHEN n_nan > 0 OR (n_up > 0 AND n_down > 0) THEN 'nan' WHEN n_up > 0 THEN 'inf' WHEN n_down > 0 THEN '-inf' ELSE 'finite' END AS kind
+    FROM kinds
+)
+SELECT l_suppkey, year, month, CASE WHEN kind = 'finite' THEN finite END AS total, kind FROM named
+""",
     "peak_month_quantity": f"""
 SELECT l_suppkey, year, month, total_quantity FROM ({_MONTHLY_SQL})
 QUALIFY row_number() OVER (PARTITION BY l_suppkey, year ORDER BY total_quantity DESC NULLS LAST, month) = 1

@@ -97,3 +97,60 @@ def test_sums_beyond_64_bits(spark, ansi):
         assert big.agg(PF.exact_sum("x", 6).alias("s")).first().s == 2.7e17  # 2.7e23 units
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_exact_sums_keep_what_is_not_finite(spark, ansi):
+    """As a plain sum has it, for every mix; groups of nulls stay null."""
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        nan, inf = float("nan"), float("inf")
+        groups = [[1.0, nan, 2.0], [inf, 1.0], [-inf, 1.0, None], [inf, -inf], [None, None], [None, 1.25, -0.25], [0.0, -0.0], [inf, inf], [nan]]
+        df = spark.createDataFrame([(g, v) for g, vs in enumerate(groups) for v in vs], "g int, x double").repartition(5)
+        both = df.groupBy("g").agg(PF.exact_sum("x", 2).alias("exact"), F.sum("x").alias("plain"))
+        assert both.filter(~F.col("exact").eqNullSafe(F.col("plain"))).collect() == [] and both.count() == len(groups)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("scale", [0, 2, 6, 13])
+def test_exact_sums_round_as_decimals_do(spark, scale):
+    """Halves, negative values, many digits: each value is the decimal it prints as, rounded half up."""
+    values = [1.005, 2.675, -1.005, 0.125, 0.5, 1.5, -2.5, 1e15 + 0.3, 123456.7890125, 4.6e15, 1e-9, -7.0, 5e14 + 0.5]
+    df = spark.createDataFrame([(v,) for v in values if abs(v) < 10.0 ** (28 - scale)], "x double")
+    cast = F.col("x").cast(f"decimal(38,{scale})")
+    # Each value by itself and all together.
+    for found in (df.groupBy("x").agg(PF.exact_sum("x", scale).alias("a"), F.sum(cast).cast("double").alias("b")), df.agg(PF.exact_sum("x", scale).alias("a"), F.sum(cast).cast("double").alias("b"))):
+        assert all(r.a == r.b for r in found.collect())
+
+
+def test_exact_sums_of_whole_numbers_and_decimals(spark):
+    df = spark.createDataFrame([(2**60 + 1, Decimal("1.005")), (2**60 + 1, Decimal("2.675")), (-(2**61), None)], "n long, d decimal(20,3)")
+    r = df.agg(PF.exact_sum("n", 0).alias("n"), PF.exact_sum("d", 2).alias("d")).first()
+    assert r.n == 2.0 and r.d == 3.69  # 1.01 + 2.68
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_exact_sums_raise_on_overflow(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="too large for an exact sum"):
+            spark.range(1).select(F.lit(1e300).alias("x")).agg(PF.exact_sum("x", 2)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_exact_sums_do_not_depend_on_the_partitioning(spark):
+    df = spark.range(20_000).select((F.rand(7) * 1e6).alias("x"))
+    found = {df.repartition(n).agg(PF.exact_sum("x", 4).alias("s")).first().s for n in (1, 3, 16)}
+    assert len(found) == 1
+
+
+def test_parts_order_as_the_sums_do(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(g, v) for g, v in enumerate([-inf, -1.0, 0.0, 2.5, 2.5, inf, nan, None])], "g int, x double")
+    sums = df.groupBy("g").agg(PF.exact_parts("x", 2).alias("p"))
+    order = [r.g for r in sums.orderBy(PF.parts_order("p").asc_nulls_last(), "g").collect()]
+    assert order == list(range(8))

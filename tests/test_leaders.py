@@ -1,3 +1,4 @@
+import datetime as dt
 import re
 
 import pytest
@@ -156,3 +157,14 @@ def test_rows_without_a_date_stay(spark, mode):
     undated = {(r.country, r.country_covid_deaths, r.monthly_covid_deaths) for r in got.filter("year IS NULL").collect()}
     assert undated == {("A", 4.0, 9.0), ("B", 5.0, 9.0)}
     assert got.filter("year IS NOT NULL").count() == 1
+
+
+@pytest.mark.parametrize("mode", ["cumulative", "calendar"])
+def test_non_finite_measures_count_as_in_plain_sums(spark, mode):
+    """The exact form gives the rows of the plain one where a month holds NaN or an infinity."""
+    nan, inf = float("nan"), float("inf")
+    months = {1: [1.0, 2.0], 2: [inf, 1.0], 3: [4.0], 5: [nan], 6: [2.0], 11: [None, 8.0]}
+    data = [(f"e{i % 2}", dt.date(2021, m, 1 + i), v) for m, vs in months.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(data, "e string, d date, v double")
+    plain, exact = (leaders.quarter_peak(df, "e", "d", "v", "v", mode=mode, measure_scale=s, rate_scale=s) for s in (None, 2))
+    assert exact.count() and sorted(map(repr, plain.collect())) == sorted(map(repr, exact.collect()))
