@@ -242,6 +242,14 @@ def json_records_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_json_records(spark, path, schema=events.schema)
 
 
+def json_document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` exported as indented JSON arrays, one to a file, read back by cutting the files at the records' ends."""
+    events = driver_table(spark, sf_dir, "events")
+    path = S.scratch_path(spark, "json_documents")
+    sinks.write_json_records(events, path, per_array=50_000, layout="document")
+    return sources.read_json_records(spark, path, schema=events.schema, layout="document")
+
+
 def _timed_peak_month(spark: SparkSession, sf_dir: str, root: str) -> dict[str, float]:
     timer = timings.StageTimer()
     with timer.stage("load"):
@@ -346,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_round_trip": table_round_trip,
     "csv_scan": csv_scan,
     "json_records_scan": json_records_scan,
+    "json_document_scan": json_document_scan,
     "timing_log": timing_log,
     "timing_report": timing_report,
     "quarter_rows_with_nulls": quarter_rows_with_nulls,
@@ -571,4 +580,5 @@ FROM lineitem
     "table_round_trip": "SELECT * FROM orders",
     "csv_scan": "SELECT * FROM orders",
     "json_records_scan": "SELECT * FROM events",
+    "json_document_scan": "SELECT * FROM events",
 }

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark import session
 from panelspark.sources import FILE_FORMATS, refuse_lossy, table_path
 
 MODES = {"overwrite", "append", "error", "errorifexists", "ignore"}
@@ -54,16 +55,23 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).options(**TIMESTAMP_FORMATS).option("header", str(header).lower()).csv(path)
 
 
-def write_json_records(df: DataFrame, path: str, mode: str = "overwrite", per_array: int = 1_000) -> None:
-    """Write ``df`` as exported JSON: every line is one array of at most ``per_array`` records.
+def write_json_records(df: DataFrame, path: str, mode: str = "overwrite", per_array: int = 1_000, layout: str = "lines") -> None:
+    """Write ``df`` as exported JSON, in arrays of at most ``per_array`` records.
 
-    All of it runs on the JVM. Arrays are filled within the input partitions, and the files can be split by
-    line when they are read back with :func:`panelspark.sources.read_json_records`.
+    ``layout="lines"``: every line is one array, and files can be split by line when they are read back;
+    ``layout="document"``: every file is one array, indented over many lines. All of it runs on the JVM; arrays are filled within the
+    input partitions. Read them back with :func:`panelspark.sources.read_json_records`.
     """
+    if layout not in ("lines", "document"):
+        raise ValueError(f"layout must be 'lines' or 'document', got {layout!r}")
+    indented = layout == "document"
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     chunk = F.floor(F.monotonically_increasing_id() / F.lit(per_array))
-    numbered = df.select(F.to_json(row, TIMESTAMP_FORMATS).alias("json"), chunk.alias("chunk"))
-    # As many files as the cluster has task slots at least, so that reading them back is shared out as well.
-    spread = numbered.repartition(df.sparkSession.sparkContext.defaultParallelism, "chunk")
-    arrays = spread.groupBy("chunk").agg(F.array_join(F.collect_list("json"), ",").alias("records"))
-    arrays.select(F.concat(F.lit("["), "records", F.lit("]")).alias("value")).write.mode(mode).text(path)
+    options = {**TIMESTAMP_FORMATS, "pretty": str(indented).lower()}
+    numbered = df.select(F.to_json(row, options).alias("json"), chunk.alias("chunk"))
+    # As many files as shuffle partitions, which jobs size by their input, so that reading them back is shared out as well.
+    spread = numbered.repartition(session.initial_partitions(df.sparkSession), "chunk")
+    arrays = spread.groupBy("chunk").agg(F.array_join(F.collect_list("json"), ",\n" if indented else ",").alias("records"))
+    opens, closes = ("[\n", "\n]") if indented else ("[", "]")
+    writer = arrays.select(F.concat(F.lit(opens), "records", F.lit(closes)).alias("value")).write.mode(mode)
+    (writer.option("maxRecordsPerFile", 1) if indented else writer).text(path)

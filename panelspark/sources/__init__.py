@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelspark import session
+from panelspark.sources import json_documents
+
 
 def read_csv(
     spark: SparkSession,
@@ -71,8 +74,9 @@ def read_json_records(
     """Exported JSON: the records of every file, whichever way they are laid out.
 
     * ``lines``: every line is an object or an array of objects; files are split among tasks;
-    * ``document``: a file is one array of objects, or one object, over any number of lines; Spark parses
-      such a file in one task and builds its whole array there, so keep these files small.
+    * ``document``: a file is one array of objects, or one object, over any number of lines; it is cut at the records' ends
+      and read by many tasks (see :mod:`panelspark.sources.json_documents`). Without a schema the records are written to the
+      shared scratch folder first, one a line, as Spark has to read them twice then.
 
     Without ``layout`` each file's is found first, by one pass over the lines. A file that is neither (several
     objects one after the other, each over several lines) raises an error, as does text that is not JSON.
@@ -82,11 +86,18 @@ def read_json_records(
         raise ValueError(f"layout must be 'lines' or 'document', got {layout!r}")
     by_layout = {layout: paths} if layout else _json_layouts(spark, paths)
     reader = spark.read.option("mode", "FAILFAST").options(**TIMESTAMP_READ_FORMATS)
-    if schema is not None:
-        reader = reader.schema(schema)
-    parts = [
-        reader.option("multiLine", str(kind == "document").lower()).json(found) for kind, found in sorted(by_layout.items()) if found
-    ]
+    parts = []
+    if documents := by_layout.get("document"):
+        texts = json_documents.record_texts(spark, documents)
+        if schema is not None:
+            options = {"mode": "FAILFAST", **TIMESTAMP_READ_FORMATS}
+            parts.append(texts.select(F.from_json("text", schema, options).alias("r")).select("r.*"))
+        else:
+            lines = session.scratch_path(spark, "json_records")
+            texts.select(json_documents.on_one_line(F.col("text")).alias("value")).write.text(lines)
+            parts.append(reader.json(lines))
+    if lines := by_layout.get("lines"):
+        parts.append((reader.schema(schema) if schema is not None else reader).json(lines))
     if not parts:
         return spark.createDataFrame([], schema or T.StructType())
     out = parts[0]
@@ -95,6 +106,9 @@ def read_json_records(
     return out
 
 
+LINE_CHARS = 16 << 20  # an array on a line of its own is parsed as one value up to this length; longer ones are cut like documents
+
+
 def _json_layouts(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     """Files by layout. Names of files come to the driver, as in any file listing; their lines do not."""
     lines = spark.read.text(paths).select(F.trim("value").alias("v"), F.col("_metadata.file_path").alias("file")).filter("v <> ''")
@@ -103,12 +117,13 @@ def _json_layouts(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]
         F.min(whole).alias("lines"),
         F.max(F.startswith("v", F.lit("["))).alias("array"),
         F.sum(F.regexp_like("v", F.lit(r"^\{")).cast("int")).alias("objects"),
+        F.max(F.length("v")).alias("longest"),
     )
     found: dict[str, list[str]] = {"lines": [], "document": []}
     for row in files.collect():
         if not row["lines"] and not row["array"] and row["objects"] > 1:
             raise ValueError(f"{row['file']}: several JSON values over several lines each")
-        found["lines" if row["lines"] else "document"].append(row["file"])
+        found["lines" if row["lines"] and row["longest"] <= LINE_CHARS else "document"].append(row["file"])
     return found
 
 
