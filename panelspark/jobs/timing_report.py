@@ -20,19 +20,20 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
     spark = C.start("timing_report")
     if args.json:
-        log = sources.read_json_records(spark, args.json)
+        # Documents: a field counts by its values, whatever it is in other documents.
+        rows = averages.average_of_documents(sources.read_json_texts(spark, args.json)).orderBy("field").collect()  # a row a field
+        found = {r["field"]: r["average"] for r in rows}
     else:
         root = args.root or C.session.scratch_root(spark) + "/panelspark-tables"
         log = sources.read_table(spark, root, args.database, timings.TIMING_TABLE, fmt=args.format)
-    result = averages.average_numeric(log)
-    if result is None:
+        result = averages.average_numeric(log)
+        found = result.first().asDict() if result is not None else {}
+        if found and log.isEmpty():
+            print("The log is empty.")
+            return 0
+    if not found:
         print("No numeric field found.")
-        return 0
-    row = result.first()
-    if log.isEmpty():
-        print("The log is empty.")
-        return 0
-    for name, value in row.asDict().items():
+    for name, value in found.items():
         print(f"{name}: {value}")
     return 0
 

@@ -1,4 +1,4 @@
-"""Average of every numeric column (one global aggregation)."""
+"""Average of every numeric column of a table, and of every numeric field of documents (one aggregation each)."""
 
 from __future__ import annotations
 
@@ -32,3 +32,23 @@ def average_numeric(
         a = F.avg(F.col(f"`{c}`"))
         exprs.append((F.round(a, digits) if digits is not None else a).alias(c))
     return df.agg(*exprs)
+
+
+NUMBER_KINDS = "BIGINT|DOUBLE|FLOAT|DECIMAL.*"  # of a JSON value
+
+
+def average_of_documents(texts: DataFrame, column: str = "text", digits: int | None = None) -> DataFrame:
+    """(field, average, n_values) for every top-level field that is a number in some document.
+
+    The values decide, not a schema: a field that is a number in some documents and text, null, an object or
+    absent in others has the average of its numbers. Fields without any number are left out; texts must be JSON, and those that are no objects have no fields. One row a
+    field, combined map-side, so as many rows as field names leave a task.
+    """
+    spark = texts.sparkSession
+    docs = texts.select(F.parse_json(F.col(column)).alias("doc"))
+    fields = docs.lateralJoin(spark.tvf.variant_explode(F.col("doc").outer())).select(F.col("key").alias("field"), "value")
+    # The elements of an array have no names.
+    numbers = fields.filter(F.col("field").isNotNull()).filter(F.regexp_like(F.schema_of_variant("value"), F.lit(f"^({NUMBER_KINDS})$")))
+    average = F.avg(F.try_variant_get("value", "$", "double"))
+    average = F.round(average, digits) if digits is not None else average
+    return numbers.groupBy("field").agg(average.alias("average"), F.count("*").alias("n_values"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from panelspark import functions as PF
 from panelspark import session as S
 from panelspark import schemas, sinks, sources, timings
-from panelspark.operators import averages, leaders, panel, periods, profile
+from panelspark.operators import averages, leaders, merge, panel, periods, profile
 from panelspark.sources import driver_table
 
 # ---------------------------------------------------------------- fixed parameters of the queries
@@ -209,6 +209,19 @@ def numeric_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return averages.average_numeric(driver_table(spark, sf_dir, "lineitem"), digits=4)
 
 
+def sketched_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile rows of ``orders`` per order year, written as a table and merged: exact rows and nulls, and whether the
+    estimated distinct count is within its error bound of the exact one."""
+    columns = ["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"]
+    orders = signed_orders(spark, sf_dir).join(driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), "o_orderkey")
+    root = S.scratch_path(spark, "profiles")
+    sinks.write_table(profile.sketch_profile(orders, columns, [PF.year("o_orderdate").alias("year")]), root, "Profiles", "orders", mode="append")
+    merged = profile.merge_profiles(sources.read_table(spark, root, "Profiles", "orders"))
+    exact = profile.distinct_counts(orders, {c: c for c in columns}).select(F.explode(F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))])).alias("column", "exact"))
+    within = F.abs(F.col("n_distinct") - F.col("exact")) <= F.lit(profile.error_bound()) * F.col("exact")
+    return merged.join(exact, "column").select("column", "n_rows", "n_nulls", within.alias("within_bound"))
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 
@@ -299,6 +312,33 @@ def timing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return averages.average_numeric(sources.read_json_records(spark, path, schemas.TIMING_EXPORT), digits=4)
 
 
+def mixed_document_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages of documents whose ``load_time`` is a number, a text or absent, by the values (``lineitem`` as such documents)."""
+    k = F.col("l_orderkey")
+    total, load = F.col("l_extendedprice").alias("Total_time"), F.col("l_quantity").alias("load_time")
+    text = F.when(k % 5 == 0, F.to_json(F.struct(total, F.lit("n/a").alias("load_time"))))
+    text = text.when(k % 7 == 0, F.to_json(F.struct(total, F.array(load).alias("other")))).otherwise(F.to_json(F.struct(total, load)))
+    path = S.scratch_path(spark, "mixed_documents")
+    driver_table(spark, sf_dir, "lineitem").select(text.alias("value")).write.text(path)
+    return averages.average_of_documents(sources.read_json_texts(spark, path), digits=4)
+
+
+def keyed_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` inserted by key in two overlapping parts, the second one twice: every customer once, those without a key too.
+
+    Customers of one segment have no key; theirs is made from the content.
+    """
+    customer = driver_table(spark, sf_dir, "customer")
+    keyed = customer.withColumn("_id", F.when(F.col("c_mktsegment") != KEY_SEGMENT, F.col("c_custkey").cast("string")))
+    root = S.scratch_path(spark, "keyed_insert")
+    parts = (F.col("c_nationkey") <= 15, F.col("c_nationkey") >= 10, F.col("c_nationkey") >= 10)
+    for i, part in enumerate(parts):
+        existing = sources.read_table(spark, root, "copies", "customer") if i else None
+        sinks.write_table(merge.new_rows(keyed.filter(part), existing, "_id"), root, "copies", "customer", mode="append")
+    made = F.length("_id") == 64
+    return sources.read_table(spark, root, "copies", "customer").select(*customer.columns, made.alias("key_made"))
+
+
 # ---------------------------------------------------------------- rows that filters and null handling have to see
 
 
@@ -357,6 +397,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_document_scan": json_document_scan,
     "timing_log": timing_log,
     "timing_report": timing_report,
+    "sketched_distinct_counts": sketched_distinct_counts,
+    "mixed_document_averages": mixed_document_averages,
+    "keyed_insert": keyed_insert,
     "quarter_rows_with_nulls": quarter_rows_with_nulls,
     "quarter_rows_with_nulls_calendar": quarter_rows_with_nulls_calendar,
     "distinct_counts_with_nulls": distinct_counts_with_nulls,
@@ -578,6 +621,20 @@ SELECT round(avg(l_orderkey), 4) AS l_orderkey, round(avg(l_partkey), 4) AS l_pa
 FROM lineitem
 """,
     "table_round_trip": "SELECT * FROM orders",
+    "sketched_distinct_counts": f"""
+SELECT "column", (SELECT count(*) FROM orders) AS n_rows, n_nulls, TRUE AS within_bound FROM (
+    SELECT 'o_custkey' AS "column", count(*) FILTER (o_custkey IS NULL) AS n_nulls FROM {_SIGNED_SQL}
+    UNION ALL SELECT 'o_orderdate', count(*) FILTER (o_orderdate IS NULL) FROM {_SIGNED_SQL}
+    UNION ALL SELECT 'o_totalprice', count(*) FILTER (o_totalprice IS NULL) FROM {_SIGNED_SQL}
+    UNION ALL SELECT 'o_orderpriority', count(*) FILTER (o_orderpriority IS NULL) FROM orders
+)
+""",
+    "mixed_document_averages": """
+SELECT 'Total_time' AS field, round(avg(l_extendedprice), 4) AS average, count(*) AS n_values FROM lineitem
+UNION ALL
+SELECT 'load_time', round(avg(l_quantity), 4), count(*) FROM lineitem WHERE l_orderkey % 5 <> 0 AND l_orderkey % 7 <> 0
+""",
+    "keyed_insert": f"SELECT *, c_mktsegment = '{KEY_SEGMENT}' AS key_made FROM customer",
     "csv_scan": "SELECT * FROM orders",
     "json_records_scan": "SELECT * FROM events",
     "json_document_scan": "SELECT * FROM events",

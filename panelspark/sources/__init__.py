@@ -127,6 +127,17 @@ def _json_layouts(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]
     return found
 
 
+def read_json_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The records of exported JSON as texts (column ``text``), whichever way they are laid out and whatever fields they have."""
+    return json_documents.record_texts(spark, [path] if isinstance(path, str) else list(path))
+
+
+def table_exists(spark: SparkSession, root: str, database: str, table: str) -> bool:
+    """Whether the folder of a file table is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(root, database, table))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_table(
     spark: SparkSession,
     root: str,

@@ -114,3 +114,30 @@ def test_parquet_copy_then_daily_change(spark, inputs):
     daily_change.main(["--input", county, "--output-root", root, "--show", "0"])
     from_csv = {tuple(r) for r in sources.read_table(spark, root, "Query1", "Average_Difference").collect()}
     assert from_parquet == from_csv and len(from_csv) == 8
+
+
+def test_insert_by_key_job_runs_twice(spark, tmp_root):
+    recs = os.path.join(tmp_root, "customers.json")
+    with open(recs, "w") as fh:
+        json.dump([{"_id": "7", "name": "Ada"}, {"name": "Bo"}, {"name": "Bo"}], fh)
+    root = os.path.join(tmp_root, "tables")
+    for _ in range(2):
+        assert insert_rows.main(["--records", recs, "--root", root, "--database", "mydb", "--table", "customers", "--key", "_id"]) == 0
+        assert sorted(r.name for r in sources.read_table(spark, root, "mydb", "customers").collect()) == ["Ada", "Bo"]
+
+
+def test_timing_report_of_mixed_documents(tmp_root, capsys):
+    times = os.path.join(tmp_root, "times.json")
+    with open(times, "w") as fh:
+        json.dump([{"Total_time": "n/a", "load_time": 1}, {"Total_time": 4.0, "load_time": 2.5}], fh, indent=2)
+    assert timing_report.main(["--json", times]) == 0
+    out = capsys.readouterr().out
+    assert "Total_time: 4.0" in out and "load_time: 1.75" in out
+
+
+def test_profile_job_with_sketches(spark, inputs, capsys):
+    county, _, root = inputs
+    args = ["--input", county, "--output-root", root, "--table", "county", "--show", "0", "--sketch-into", "Profiles.county"]
+    for n in (1, 2):  # a second load adds rows, but no values
+        assert profile_table.main(args) == 0
+        assert f"Number of geoid values: about 3 in {n * len(county_rows())} rows" in capsys.readouterr().out

@@ -1,6 +1,10 @@
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
-from panelspark.operators import averages, profile
+from panelspark import sinks, sources
+from panelspark.operators import averages, merge, profile
 from tests.fixtures import county, weekly
 
 
@@ -46,3 +50,63 @@ def test_average_numeric_empty_and_none(spark):
     df = spark.createDataFrame([], "t double, s string")
     assert averages.average_numeric(df).first().t is None
     assert averages.average_numeric(df.select("s")) is None
+
+
+def test_averages_go_by_the_values(spark, tmp_root):
+    docs = [
+        {"_id": {"$oid": "a"}, "t": 1, "n": "text", "b": True},
+        {"t": 2.5, "n": 4, "z": None},
+        {"t": "3", "n": 6.0, "o": {"t": 100}, "l": [1, 2]},
+        {},
+    ]
+    with open(f"{tmp_root}/docs.json", "w") as f:
+        json.dump(docs, f, indent=2)
+    found = averages.average_of_documents(sources.read_json_texts(spark, f"{tmp_root}/docs.json"))
+    assert {tuple(r) for r in found.collect()} == {("t", 1.75, 2), ("n", 5.0, 2)}
+    assert averages.average_of_documents(spark.createDataFrame([("{}",), ("[1]",), (None,)], "text string")).collect() == []
+    with pytest.raises(Exception, match="(?i)malformed"):
+        averages.average_of_documents(spark.createDataFrame([("{",)], "text string")).collect()
+
+
+def test_merged_profiles_need_new_data_only(spark, tmp_root):
+    """Profiles of three loads, overlapping in values, add up to the profile of all of them."""
+    columns = ["k", "s", "x", "d", "a"]
+    one = spark.range(30_000).select(
+        (F.col("id") % 20_000).alias("k"),
+        F.when(F.col("id") % 10 > 0, (F.col("id") % 7).cast("string")).alias("s"),
+        F.when(F.col("id") % 2 == 0, F.lit(0.0)).otherwise(F.lit(-0.0)).alias("x"),
+        F.date_add(F.lit("2020-01-01"), (F.col("id") % 400).cast("int")).alias("d"),
+        F.array("id").alias("a"),
+    )
+    for low, high in ((0, 12_000), (8_000, 20_000), (20_000, 30_000)):
+        part = one.filter(F.col("a")[0].between(low, high - 1))
+        sinks.write_table(profile.sketch_profile(part, columns), tmp_root, "p", "t", mode="append")
+    merged = {r["column"]: r for r in profile.merge_profiles(sources.read_table(spark, tmp_root, "p", "t")).collect()}
+    exact = profile.distinct_counts(one, {c: c for c in columns if c != "a"}).first().asDict() | {"a": 30_000}
+    assert exact["x"] == 1 and merged["s"].n_distinct == 8  # seven texts and null
+    for c in columns:
+        assert abs(merged[c].n_distinct - exact[c]) <= profile.error_bound() * exact[c]
+        assert merged[c].n_rows == 34_000  # rows of two loads count twice, their values once
+    assert merged["s"].n_nulls == one.filter("s IS NULL").count() + 400
+    none = {r["column"]: tuple(r) for r in profile.merge_profiles(profile.sketch_profile(one.filter("false"), columns)).collect()}
+    assert none["k"] == ("k", 0, 0, 0)
+
+
+@pytest.mark.parametrize("lg_k", [8, 10, 12, 14])
+def test_error_bound_holds(spark, lg_k):
+    df = spark.range(200_000).select(F.col("id"), (F.col("id") % 16).alias("part"))
+    n = profile.merge_profiles(profile.sketch_profile(df, ["id"], ["part"], lg_k)).first().n_distinct
+    assert abs(n - 200_000) <= profile.error_bound(lg_k) * 200_000
+
+
+def test_insert_by_key_is_idempotent(spark):
+    rows = spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "a2"), (None, "c"), (None, "c"), (None, "d"), (None, None)], "k string, v string")
+    first = merge.new_rows(rows, None, "k")
+    assert sorted(r.v or "" for r in first.collect()) == ["", "a", "a2", "c", "d"]  # of key 2 the smaller content, equal rows once
+    assert merge.new_rows(rows.repartition(3), first, "k").isEmpty()
+    more = rows.union(spark.createDataFrame([("3", "e"), (None, "f")], rows.schema))
+    assert sorted(r.v for r in merge.new_rows(more, first, "k").collect()) == ["e", "f"]
+    # Without the column every key is made; numbers and texts of one key are one.
+    assert merge.new_rows(rows.select("v"), None, "k").count() == 6
+    numbers = spark.createDataFrame([(1, "x"), (9, "y")], "k long, v string")
+    assert [r.v for r in merge.new_rows(numbers, first, "k").collect()] == ["y"]
