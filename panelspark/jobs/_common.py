@@ -19,6 +19,7 @@ def parser(description: str) -> argparse.ArgumentParser:
     p.add_argument("--output-root", default=None, help="root folder of written tables (default: the shared scratch folder)")
     p.add_argument("--format", default="parquet", help="table format, or a connector name on the class path")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    p.add_argument("--versioned", action="store_true", help="commit each output as a version: readers see the old rows or the new ones")
     p.add_argument("--show", type=int, default=20, help="rows to preview on the console (0: none)")
     p.add_argument("--timings-db", default=None, help="append stage timings to <db>.Execution_Times")
     p.add_argument("--partition-by", default=None, help="comma-separated columns to lay written tables out by")
@@ -46,7 +47,8 @@ def write(df: DataFrame, spark: SparkSession, args, database: str, table: str, m
         df.explain("formatted")
     parts = [c for c in (getattr(args, "partition_by", None) or "").split(",") if c and c in df.columns]
     sinks.write_table(
-        df, output_root(spark, args), database, table, mode=mode or args.mode, fmt=args.format, partition_by=parts
+        df, output_root(spark, args), database, table, mode=mode or args.mode, fmt=args.format, partition_by=parts,
+        versioned=getattr(args, "versioned", False),
     )
 
 

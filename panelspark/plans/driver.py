@@ -239,6 +239,24 @@ def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_table(spark, root, "copies", "orders")
 
 
+def versioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders from a table with versions: overwritten, left alone by a write that fails, appended to and compacted."""
+    orders = driver_table(spark, sf_dir, "orders")
+    root = S.scratch_path(spark, "versions")
+    open_orders = F.coalesce("o_orderstatus", F.lit("")) == "O"
+    sinks.write_table(orders.filter(open_orders), root, "copies", "orders", versioned=True)
+    sinks.write_table(orders.filter(~open_orders), root, "copies", "orders", versioned=True)
+    failing = orders.withColumn("o_orderstatus", F.raise_error(F.lit("this write has to fail")).cast("string"))
+    try:
+        sinks.write_table(failing, root, "copies", "orders", versioned=True)
+    except Exception as e:
+        if "this write has to fail" not in str(e):
+            raise
+    sinks.write_table(orders.filter(open_orders), root, "copies", "orders", mode="append", versioned=True)
+    sinks.compact(spark, root, "copies", "orders", most=1)
+    return sources.read_table(spark, root, "copies", "orders")
+
+
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` written as CSV with a header, read back with an explicit schema (matched by name)."""
     orders = driver_table(spark, sf_dir, "orders")
@@ -392,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rows_for_key": rows_for_key,
     "numeric_averages": numeric_averages,
     "table_round_trip": table_round_trip,
+    "versioned_round_trip": versioned_round_trip,
     "csv_scan": csv_scan,
     "json_records_scan": json_records_scan,
     "json_document_scan": json_document_scan,
@@ -635,6 +654,7 @@ UNION ALL
 SELECT 'load_time', round(avg(l_quantity), 4), count(*) FROM lineitem WHERE l_orderkey % 5 <> 0 AND l_orderkey % 7 <> 0
 """,
     "keyed_insert": f"SELECT *, c_mktsegment = '{KEY_SEGMENT}' AS key_made FROM customer",
+    "versioned_round_trip": "SELECT * FROM orders",
     "csv_scan": "SELECT * FROM orders",
     "json_records_scan": "SELECT * FROM events",
     "json_document_scan": "SELECT * FROM events",

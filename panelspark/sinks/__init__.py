@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark import session
-from panelspark.sources import FILE_FORMATS, refuse_lossy, table_path
+from panelspark.sources import FILE_FORMATS, READ_OPTIONS, refuse_lossy, table_path, versions
 
 MODES = {"overwrite", "append", "error", "errorifexists", "ignore"}
 
@@ -27,6 +27,7 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     partition_by: Sequence[str] | None = None,
+    versioned: bool = False,
     **options: str,
 ) -> None:
     """Write ``df`` as table (database, table).
@@ -35,6 +36,10 @@ def write_table(
     go to ``root/database/table``; other formats (a connector on the class path) get ``database`` and
     ``collection``/``table`` options. ``partition_by`` lays files out by column value (e.g. ``year``),
     so later reads prune whole folders.
+
+    A plain overwrite deletes first, so a job that fails leaves no table. With ``versioned`` (file formats, ``overwrite`` and
+    ``append``) the rows go to a new folder that becomes the table, or a part of it, once it is whole (see
+    :mod:`panelspark.sources.versions`); the rows of before stay on disk until ``versions.vacuum``.
     """
     mode = mode.lower()
     if mode not in MODES:
@@ -45,12 +50,39 @@ def write_table(
     writer = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if fmt in FILE_FORMATS:
-        writer.save(table_path(root, database, table))
+    path = table_path(root, database, table)
+    if versioned or (fmt in FILE_FORMATS and versions.folders(df.sparkSession, path) is not None):
+        if fmt not in FILE_FORMATS or mode not in ("overwrite", "append"):
+            raise ValueError("only file tables have versions, and these are overwritten or appended to")
+        name, folder = versions.new_folder(path)
+        writer.mode("error").save(folder)
+        versions.commit(df.sparkSession, path, name, None if mode == "overwrite" else [])
+    elif fmt in FILE_FORMATS:
+        writer.save(path)
     else:
         writer.option("database", database).option("collection", table).option("table", table).save()
 
 
+def compact(
+    spark: SparkSession, root: str, database: str, table: str, most: int, fmt: str = "parquet", partition_by: Sequence[str] | None = None
+) -> bool:
+    """Put the folders of a table with versions into one if there are more than ``most``; whether that was done.
+
+    Rows appended meanwhile stay: only the folders that were read are replaced.
+    """
+    path = table_path(root, database, table)
+    found = versions.folders(spark, path)
+    if found is None or len(found) <= most:
+        return False
+    name, folder = versions.new_folder(path)
+    rows = versions.load(spark.read.format(fmt).options(**READ_OPTIONS.get(fmt, {})), spark, path, found)
+    # AQE deals the rows to files of its advisory size.
+    writer = rows.hint("rebalance").write.format(fmt).options(**({**TIMESTAMP_FORMATS, "header": "true"} if fmt == "csv" else {}))
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(folder)
+    versions.commit(spark, path, name, found)
+    return True
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
     df.write.mode(mode).options(**TIMESTAMP_FORMATS).option("header", str(header).lower()).csv(path)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark import session
-from panelspark.sources import json_documents
+from panelspark.sources import json_documents, versions
 
 
 def read_csv(
@@ -149,21 +149,23 @@ def read_table(
 ) -> DataFrame:
     """A table addressed by (database, table).
 
-    File formats live at ``root/database/table``. Any other format (a connector on the class path, for
+    File formats live at ``root/database/table``; of a table with versions the current one is read. Any other format (a connector on the class path, for
     example a document store) receives ``database`` and ``collection``/``table`` options instead.
     """
     refuse_lossy(fmt)
-    reader = spark.read.format(fmt).options(**{**_READ_OPTIONS.get(fmt, {}), **options})
+    reader = spark.read.format(fmt).options(**{**READ_OPTIONS.get(fmt, {}), **options})
     if schema is not None:
         reader = reader.schema(schema)
     if fmt in FILE_FORMATS:
-        return reader.load(table_path(root, database, table))
+        path = table_path(root, database, table)
+        found = versions.folders(spark, path)
+        return reader.load(path) if found is None else versions.load(reader, spark, path, found)
     return reader.option("database", database).option("collection", table).option("table", table).load()
 
 
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
 # A table's csv files carry their header; without a schema their types are inferred.
-_READ_OPTIONS = {"csv": {"header": "true", "inferSchema": "true", "enforceSchema": "false"}}
+READ_OPTIONS = {"csv": {"header": "true", "inferSchema": "true", "enforceSchema": "false"}}
 
 
 def refuse_lossy(fmt: str) -> None:

@@ -13,7 +13,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from panelspark import schemas
-from panelspark.sinks import write_table
+from panelspark.sinks import compact, write_table
+from panelspark.sources import FILE_FORMATS, table_path, versions
 
 STAGES = ("load", "process", "write")
 TIMING_TABLE = "Execution_Times"  # fixed value: the log table name of the recorded workload
@@ -62,6 +63,16 @@ def record_frame(spark: SparkSession, record: dict[str, float]) -> DataFrame:
     return spark.createDataFrame([tuple(float(record.get(f, 0.0)) for f in fields)], schemas.TIMING_RECORD)
 
 
+LOG_FOLDERS = 20  # runs that have a folder of their own at most
+
+
 def log_run(spark: SparkSession, record: dict[str, float], root: str, database: str, fmt: str = "parquet") -> None:
-    """Append one run to ``<database>.Execution_Times``."""
-    write_table(record_frame(spark, record), root, database, TIMING_TABLE, mode="append", fmt=fmt)
+    """Append one run to ``<database>.Execution_Times``.
+
+    A file table keeps at most ``LOG_FOLDERS`` folders, however many runs: their rows are then put into one folder, and what
+    is no longer named is deleted.
+    """
+    versioned = fmt in FILE_FORMATS
+    write_table(record_frame(spark, record), root, database, TIMING_TABLE, mode="append", fmt=fmt, versioned=versioned)
+    if versioned and compact(spark, root, database, TIMING_TABLE, LOG_FOLDERS, fmt):
+        versions.vacuum(spark, table_path(root, database, TIMING_TABLE), keep=2)
