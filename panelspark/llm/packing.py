@@ -9,8 +9,8 @@ The windows of one pass are written to the shared scratch folder (ids as little-
 bytes), so every text is tokenized once and the layout stays the same if an executor is lost; only the
 leftovers, a bounded number per partition, are packed again.
 
-Tokenizing: the text is cut at single spaces and line breaks, where the byte-level vocabulary's splitting
-rule starts a new piece anyway, and the ids of each piece are remembered in a bounded table. Texts with
+Tokenizing: texts are cut at single spaces and line breaks, where the byte-level vocabulary's splitting
+rule starts a new piece anyway; each distinct piece of a batch is looked up in a bounded table of remembered ids. Texts with
 other blanks go to the tokenizer as they are.
 
 Defined cases: a null or empty text is the end id alone; a text of any length is cut into whole windows;
@@ -22,19 +22,19 @@ from __future__ import annotations
 
 import base64
 import os
-import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import stored
+from panelspark.llm.runs import batches_of, within
 
 WINDOW = 2048
 OPEN_WINDOWS = 64
@@ -45,7 +45,8 @@ END_ID = 1
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 _LAID = PIECES + ", leftover boolean"
 _ARROW = {"bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
-TEXTS_AT_ONCE = 500
+JOINED = 20_000  # new pieces encoded in one go
+BATCH_BYTES = 4 << 20  # of text tokenized at once, or one longer text
 
 
 def default_tokenizer() -> str:
@@ -61,101 +62,119 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-class Pieces(dict):
-    """Piece -> number; a piece not seen yet gets the next number and waits in ``new`` for its ids."""
-
-    def __init__(self, owner: Tokenizer, first: bool) -> None:
-        super().__init__()
-        self.owner, self.first = owner, first
-
-    def __missing__(self, piece: str) -> int:
-        number = self[piece] = self.owner.numbered
-        self.owner.numbered += 1
-        # What stood in the text: the first piece alone, another after its space or with its line break.
-        self.owner.new.append(piece if self.first or piece[:1] == "\n" else " " + piece)
-        return number
-
-
 class Tokenizer:
     """Ids of whole texts as uint32 arrays, equal to those of ``tokenizers`` on the given file.
 
     The byte-level splitting rule starts a new piece at every single blank: a space goes to the piece
-    after it, a line break stands alone. So where blanks are single spaces and line breaks, the ids of a
-    text are the ids of its pieces, and those of a piece seen before are remembered. New pieces of the
-    common alphabets go to the encoder built from the ranks (same ids, faster), all others, and texts with other
-    blanks, to the tokenizer.
+    after it, a line break stands before its own. So where blanks are single spaces and line breaks, the ids of a
+    text are the ids of its pieces. Arrow cuts a batch of such texts and finds the distinct pieces; those seen before are
+    remembered, and of too many the more frequent half is kept. New pieces of the common alphabets go to the encoder built from the
+    ranks (same ids, faster), all others, and texts with other blanks, to the tokenizer.
     """
 
-    OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|\\s\\s")
-    COMMON = re.compile("[\x21-\x7e\xa1-\u024f \n]+").fullmatch
+    # In texts that Arrow does not cut: other blanks, two blanks together, and blanks at either end.
+    ODD = (
+        "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+        "|[ \n][ \n]|^[ \n]|[ \n]$"
+    )
+    CUT = "\x1f"  # one of the other blanks
+    COMMON = "^[ \n][\x21-\x7e\xa1-\u024f]*$"
 
     def __init__(self, path: str, ranks: str | None = None, memory: int = MEMORY_PIECES) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer as File
 
         self.file = File.from_file(path)
-        self.fast = _ranked(ranks).encode_ordinary if ranks else None
+        self.fast, self.token_bytes = _ranked(ranks) if ranks else (None, None)
         self.memory = memory
-        self._clear()
-
-    def _clear(self) -> None:
-        self.numbered, self.new = 0, []
-        self.first, self.later = Pieces(self, True), Pieces(self, False)
-        self.flat, self.ends = np.empty(1 << 16, np.uint32), array("q", [0])
+        self.number: dict[str, int] = {}
+        self.flat, self.ends, self.times = np.empty(0, np.uint32), np.zeros(1, np.int64), np.empty(0, np.int64)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.file.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self) -> None:
-        # The special token's text is left to the tokenizer too.
-        fast, common = self.fast, self.COMMON
-        encoded = [fast(p) if fast and common(p) and "<|" not in p else self._ids([p])[0] for p in self.new]
-        flat = np.fromiter(chain.from_iterable(encoded), np.uint32)
-        n = self.ends[-1]
-        while n + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        self.flat[n : n + len(flat)] = flat
-        self.ends.extend(n + x for x in accumulate(map(len, encoded)))
-        self.new = []
-
-    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after the other, and how many each has."""
+        texts = pa.array(pieces, pa.string())
+        # The special token's text is left to the tokenizer, and a text's first piece too if it has no blank before it.
+        joinable = np.zeros(len(pieces), bool)
+        if self.fast:
+            joinable = pc.match_substring_regex(texts, self.COMMON).to_numpy(zero_copy_only=False)
+            joinable &= ~pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        sizes = np.zeros(len(pieces), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        easy = np.flatnonzero(joinable)
+        for some in np.array_split(easy, -(-len(easy) // JOINED)) if len(easy) else ():
+            # Each starts with a blank, so in a row they are cut where they begin.
+            ids = np.asarray(self.fast("".join([pieces[i] for i in some])), np.int64)
+            stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(pc.binary_length(texts.take(pa.array(some))).to_numpy())) + 1
+            sizes[some] = np.diff(stops, prepend=0)
+            found.append((some, ids))
+        hard = np.flatnonzero(~joinable)
+        if len(hard):
+            encoded = self._ids([pieces[i] for i in hard])
+            sizes[hard] = [len(ids) for ids in encoded]
+            found.append((hard, np.fromiter(chain.from_iterable(encoded), np.int64)))
+        starts, flat = np.cumsum(sizes) - sizes, np.empty(int(sizes.sum()), np.uint32)
+        for some, ids in found:
+            flat[np.repeat(starts[some], sizes[some]) + within(sizes[some])] = ids
+        return flat, sizes
+
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of these distinct pieces; the new ones get theirs and their ids."""
+        known, number = self.number, len(self.number)
+        new = [p for p in pieces if p not in known]
+        if new:
+            known.update(zip(new, range(number, number + len(new))))
+            ids, sizes = self._encode(new)
+            self.flat = np.concatenate([self.flat, ids])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            self.times = np.concatenate([self.times, np.zeros(len(new), np.int64)])
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+
+    def _forget(self) -> None:
+        """Keep the more frequent half of the memory."""
+        kept = np.sort(np.argsort(-self.times, kind="stable")[: self.memory // 2])
+        pieces = list(self.number)
+        sizes = np.diff(self.ends)[kept]
+        self.flat = self.flat[np.repeat(self.ends[kept], sizes) + within(sizes)]
+        self.ends, self.times = np.concatenate([[0], np.cumsum(sizes)]), self.times[kept]
+        self.number = {pieces[k]: i for i, k in enumerate(kept.tolist())}
+
+    def batch(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         """Ids of each text, without the end id."""
-        if self.numbered > self.memory:
-            self._clear()
-        cut = [self._numbers(text or "") for text in texts]
-        self._learn()
-        ends = np.frombuffer(self.ends, np.int64)
-        whole = iter(self._ids([t for t, numbers in zip(texts, cut, strict=True) if numbers is None]))
-        out = [np.asarray(next(whole), np.uint32) if numbers is None else self._gather(numbers, ends) for numbers in cut]
-        del ends  # else the array could not grow
-        return out
-
-    def _numbers(self, text: str) -> np.ndarray | None:
-        """Numbers of the text's pieces; None if some blank is not a single space or line break between pieces."""
-        if not text:
-            return np.empty(0, np.int64)
-        if text[-1] in " \n" or text[0] in " \n" or self.OTHER_BLANKS.search(text):
-            return None
-        parts = text.replace("\n", " \n").split(" ")
-        numbers = np.fromiter(map(self.later.__getitem__, parts[1:]), np.int64, len(parts) - 1)
-        return np.append(self.first[parts[0]], numbers)
-
-    def _gather(self, numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if not len(numbers):
-            return np.empty(0, np.uint32)
-        first = ends[numbers]
-        sizes = ends[numbers + 1] - first
-        stop = np.cumsum(sizes)
-        return self.flat[np.repeat(first - (stop - sizes), sizes) + np.arange(stop[-1])]
+        if len(self.number) > self.memory:
+            self._forget()
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        odd = pc.match_substring_regex(texts, self.ODD).to_numpy(zero_copy_only=False)
+        cut = texts.filter(pa.array(~odd))
+        for blank in " \n":
+            cut = pc.replace_substring(cut, blank, self.CUT + blank)
+        lists = pc.split_pattern(cut, self.CUT)
+        distinct = lists.flatten().dictionary_encode()
+        numbers, places = self._learn(distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), distinct.indices.to_numpy()
+        self.times[numbers] += np.bincount(places, minlength=len(numbers))
+        rows = numbers[places]
+        first, sizes = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
+        ids = self.flat[np.repeat(first, sizes) + within(sizes)]
+        stops = np.concatenate([[0], np.cumsum(sizes)])[lists.offsets.to_numpy()]
+        whole = iter(self._ids(texts.filter(pa.array(odd)).to_pylist()))
+        pieces = iter(zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True))
+        return [np.asarray(next(whole), np.uint32) if o else ids[slice(*next(pieces))] for o in odd.tolist()]
 
 
 def _ranked(path: str):
+    """Encoder of the vocabulary's ranks, and the bytes of each id."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+    for token, rank in ranks.items():
+        sizes[rank] = len(token)
+    return encoding.encode_ordinary, sizes
 
 
 @lru_cache(maxsize=1)
@@ -214,10 +233,10 @@ def _layout(window: int, most: int, tokenizer_path: str | None):
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                some = batch.slice(at, TEXTS_AT_ONCE)
+            for part in batches_of(batch.column(1), BATCH_BYTES):
+                some = batch.slice(part.start, part.stop - part.start)
                 rows: list = []
-                for doc, ids in zip(some.column(0).to_pylist(), tokenizer.batch(some.column(1).to_pylist()), strict=True):
+                for doc, ids in zip(some.column(0).to_pylist(), tokenizer.batch(some.column(1)), strict=True):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                     full = len(ids) // window * window
                     for start in range(0, full, window):

@@ -3,6 +3,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +175,19 @@ def test_packing_odd_rows(odd_docs, odd_rows, no_docs, tokenizer, window, most,
     assert packing.pack(no_docs).collect() == []
 
 
+@pytest.mark.parametrize("memory", [0, 40, 10**6])
+def test_ids_of_random_texts(tokenizer, memory):
+    """Blanks of every kind in every place, letters of several alphabets, the special token's text; also when pieces are forgotten."""
+    rng = random.Random(memory)
+    parts = ["a", "the", "Ing", " ", " ", "  ", "\n", "\r\n", "\t", "\x1f", "\x85", "\xa0", "　", "'s", "'", "12", "3.5", "_", "é", "漢", "я", "\U0001f600", "<|endoftext|>", "<|", "\x00", "!?"]
+    own = packing.Tokenizer(packing.default_tokenizer(), packing.default_ranks(), memory)
+    for _ in range(25):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(80)] + [None, ""]
+        texts += [" ".join(rng.choice(["the", "ça", "x1", "l'eau,", "\nnew", "漢字"]) for _ in range(rng.randint(1, 20))) for _ in range(40)]
+        expected = [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        assert [g.tolist() for g in own.batch(texts)] == expected
+
+
 def test_pieces_give_the_ids_of_the_whole_text(tokenizer):
     odd = ["a  b", "a\n\nb", " a", "a ", "\ta b", "a\xa0b", "it's a 's\n's x<|endoftext|>y", "", "\n", " ", "a\0b c", "x\x1cy z",
            "é ü\nß  ", "中文 字 \U0001f600 emoji​x", "don't WE'LL 've", None, "x " * 5_000 + "y"]
