@@ -92,7 +92,7 @@ class Segmenter:
             self._clear()
         words, first, counts = self._words(pc.fill_null(texts, ""))
         distinct = words.dictionary_encode()
-        numbers = np.fromiter(map(self.table.__getitem__, distinct.dictionary.to_pylist()), np.int64, len(distinct.dictionary))
+        numbers = np.fromiter(map(self.table.__getitem__, distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int64, len(distinct.dictionary))
         self._learn()
         flat, ends = np.array(self.flat, np.int32), np.array(self.ends, np.int64)
         # One row of ids per word, by position, and one for each text's end.
