@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from panelspark import session, sinks, sources, timings
 
@@ -21,7 +21,7 @@ def parser(description: str) -> argparse.ArgumentParser:
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--versioned", action="store_true", help="commit each output as a version: readers see the old rows or the new ones")
     p.add_argument("--show", type=int, default=20, help="rows to preview on the console (0: none)")
-    p.add_argument("--timings-db", default=None, help="append stage timings to <db>.Execution_Times")
+    p.add_argument("--timings-db", default=None, help="append stage timings to <db>.Execution_Times and each output's metrics to <db>.Output_Metrics")
     p.add_argument("--partition-by", default=None, help="comma-separated columns to lay written tables out by")
     p.add_argument("--explain", action="store_true", help="print each output's formatted physical plan first")
     return p
@@ -46,10 +46,14 @@ def write(df: DataFrame, spark: SparkSession, args, database: str, table: str, m
         print(f"== {database}.{table} ==")
         df.explain("formatted")
     parts = [c for c in (getattr(args, "partition_by", None) or "").split(",") if c and c in df.columns]
+    observed = Observation() if getattr(args, "timings_db", None) else None
     sinks.write_table(
         df, output_root(spark, args), database, table, mode=mode or args.mode, fmt=args.format, partition_by=parts,
-        versioned=getattr(args, "versioned", False),
+        versioned=getattr(args, "versioned", False), observation=observed,
     )
+    if observed is not None:
+        # Gathered by the write itself: no second job counts the rows.
+        timings.log_output(spark, observed.get, output_root(spark, args), args.timings_db, (database, table), args.format)
 
 
 class Timed:

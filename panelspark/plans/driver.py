@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark import functions as PF
@@ -257,6 +257,17 @@ def versioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_table(spark, root, "copies", "orders")
 
 
+def observed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, nulls and the last order day of an output, as the write itself gathered them (orders with some nulls)."""
+    root, seen = S.scratch_path(spark, "observed"), Observation()
+    rows = signed_orders(spark, sf_dir).withColumn("o_orderdate", F.to_date("o_orderdate"))
+    sinks.write_table(rows, root, "copies", "orders", observation=seen)
+    timings.log_output(spark, seen.get, root, "copies", ("copies", "orders"))
+    log = sources.read_table(spark, root, "copies", timings.METRICS_TABLE)
+    nulls = [F.element_at("nulls", c).alias(f"null_{c}") for c in ("o_orderkey", "o_orderdate", "o_totalprice")]
+    return log.select("output", "n_rows", *nulls, F.element_at("latest", "o_orderdate").alias("latest_day"))
+
+
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` written as CSV with a header, read back with an explicit schema (matched by name)."""
     orders = driver_table(spark, sf_dir, "orders")
@@ -411,6 +422,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "numeric_averages": numeric_averages,
     "table_round_trip": table_round_trip,
     "versioned_round_trip": versioned_round_trip,
+    "observed_write": observed_write,
     "csv_scan": csv_scan,
     "json_records_scan": json_records_scan,
     "json_document_scan": json_document_scan,
@@ -655,6 +667,12 @@ SELECT 'load_time', round(avg(l_quantity), 4), count(*) FROM lineitem WHERE l_or
 """,
     "keyed_insert": f"SELECT *, c_mktsegment = '{KEY_SEGMENT}' AS key_made FROM customer",
     "versioned_round_trip": "SELECT * FROM orders",
+    "observed_write": f"""
+SELECT 'copies.orders' AS output, count(*) AS n_rows, count(*) FILTER (o_orderkey IS NULL) AS null_o_orderkey,
+       count(*) FILTER (o_orderdate IS NULL) AS null_o_orderdate, count(*) FILTER (o_totalprice IS NULL) AS null_o_totalprice,
+       CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS latest_day
+FROM {_SIGNED_SQL}
+""",
     "csv_scan": "SELECT * FROM orders",
     "json_records_scan": "SELECT * FROM events",
     "json_document_scan": "SELECT * FROM events",

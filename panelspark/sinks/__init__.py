@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark import session
 from panelspark.sources import FILE_FORMATS, READ_OPTIONS, refuse_lossy, table_path, versions
@@ -28,6 +29,7 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] | None = None,
     versioned: bool = False,
+    observation: Observation | None = None,
     **options: str,
 ) -> None:
     """Write ``df`` as table (database, table).
@@ -40,11 +42,15 @@ def write_table(
     A plain overwrite deletes first, so a job that fails leaves no table. With ``versioned`` (file formats, ``overwrite`` and
     ``append``) the rows go to a new folder that becomes the table, or a part of it, once it is whole (see
     :mod:`panelspark.sources.versions`); the rows of before stay on disk until ``versions.vacuum``.
+
+    ``observation`` receives the :func:`output_metrics` of the rows as they are written.
     """
     mode = mode.lower()
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}")
     refuse_lossy(fmt)
+    if observation is not None:
+        df = df.observe(observation, *output_metrics(df))
     if fmt == "csv":
         options = {**TIMESTAMP_FORMATS, "header": "true", **options}
     writer = df.write.format(fmt).mode(mode).options(**options)
@@ -63,6 +69,15 @@ def write_table(
         writer.option("database", database).option("collection", table).option("table", table).save()
 
 
+def output_metrics(df: DataFrame) -> list[Column]:
+    """Aggregates of an output: ``n_rows``, ``nulls`` of each column, and ``latest``, the last day or time of each such column."""
+    nulls = [x for c in df.columns for x in (F.lit(c), F.count_if(F.col(f"`{c}`").isNull()))]
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    latest = [x for c in times for x in (F.lit(c), F.max(F.col(f"`{c}`")).cast("string"))]
+    none = F.create_map().cast("map<string,string>")
+    return [F.count(F.lit(1)).alias("n_rows"), F.create_map(*nulls).alias("nulls"), (F.create_map(*latest) if latest else none).alias("latest")]
+
+
 def compact(
     spark: SparkSession, root: str, database: str, table: str, most: int, fmt: str = "parquet", partition_by: Sequence[str] | None = None
 ) -> bool:

@@ -63,6 +63,8 @@ def record_frame(spark: SparkSession, record: dict[str, float]) -> DataFrame:
     return spark.createDataFrame([tuple(float(record.get(f, 0.0)) for f in fields)], schemas.TIMING_RECORD)
 
 
+METRICS_TABLE = "Output_Metrics"
+METRICS = "output string, n_rows long, nulls map<string,long>, latest map<string,string>"
 LOG_FOLDERS = 20  # runs that have a folder of their own at most
 
 
@@ -72,7 +74,17 @@ def log_run(spark: SparkSession, record: dict[str, float], root: str, database:
     A file table keeps at most ``LOG_FOLDERS`` folders, however many runs: their rows are then put into one folder, and what
     is no longer named is deleted.
     """
-    versioned = fmt in FILE_FORMATS
-    write_table(record_frame(spark, record), root, database, TIMING_TABLE, mode="append", fmt=fmt, versioned=versioned)
-    if versioned and compact(spark, root, database, TIMING_TABLE, LOG_FOLDERS, fmt):
-        versions.vacuum(spark, table_path(root, database, TIMING_TABLE), keep=2)
+    _append(record_frame(spark, record), root, database, TIMING_TABLE, fmt)
+
+
+def log_output(spark: SparkSession, metrics: dict, root: str, database: str, output: tuple[str, str], fmt: str = "parquet") -> None:
+    """Append the metrics that a write gathered (see :func:`panelspark.sinks.output_metrics`) to ``<database>.Output_Metrics``."""
+    row = (".".join(output), int(metrics["n_rows"]), dict(metrics["nulls"]), dict(metrics["latest"]))
+    _append(spark.createDataFrame([row], METRICS), root, database, METRICS_TABLE, fmt)
+
+
+def _append(rows: DataFrame, root: str, database: str, table: str, fmt: str) -> None:
+    spark, versioned = rows.sparkSession, fmt in FILE_FORMATS
+    write_table(rows, root, database, table, mode="append", fmt=fmt, versioned=versioned)
+    if versioned and compact(spark, root, database, table, LOG_FOLDERS, fmt):
+        versions.vacuum(spark, table_path(root, database, table), keep=2)

@@ -141,3 +141,17 @@ def test_profile_job_with_sketches(spark, inputs, capsys):
     for n in (1, 2):  # a second load adds rows, but no values
         assert profile_table.main(args) == 0
         assert f"Number of geoid values: about 3 in {n * len(county_rows())} rows" in capsys.readouterr().out
+
+
+def test_outputs_are_measured_by_their_write(spark, inputs):
+    county, _, root = inputs
+    args = ["--input", county, "--output-root", root, "--show", "0", "--timings-db", "Query2", "--versioned"]
+    for _ in range(2):
+        assert peak_month.main(args) == 0
+    log = sources.read_table(spark, root, "Query2", "Output_Metrics").collect()
+    assert sorted(r.output for r in log) == ["Query2.max_cases_per_year"] * 2 + ["Query2.max_deaths_per_year"] * 2
+    for r in log:
+        table = sources.read_table(spark, root, *r.output.split("."))
+        assert r.n_rows == table.count() > 0 and set(r.nulls) == set(table.columns)
+        assert all(n == table.filter(f"{c} IS NULL").count() for c, n in r.nulls.items())
+    assert sources.read_table(spark, root, "Query2", "Execution_Times").count() == 2
