@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,9 +110,75 @@ def unused(df: DataFrame, name: str) -> str:
     return next(n for i in range(len(taken) + 1) if (n := f"{name}_{i}") not in taken)
 
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def stored(df: DataFrame, *name: str, **options: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back: cuts the lineage, survives lost executors."""
+    """``df`` written once to the shared scratch folder and read back: cuts the lineage, survives lost executors.
+
+    Inside :func:`temporary` the table belongs to that block and is removed with it.
+    """
     spark = df.sparkSession
     path = session.scratch_path(spark, *name)
+    owner = _owned.get()
+    if owner is not None:
+        owner.append(path)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """The block of a :func:`temporary`."""
+
+    def __init__(self, outer: list[str] | None) -> None:
+        self._outer = outer
+
+    def kept(self, df: DataFrame, *name: str, **options: str) -> DataFrame:
+        """``stored``, but the table outlives the block: it belongs to the block around it, if there is one."""
+        inner = _owned.set(self._outer)
+        try:
+            return stored(df, *name, **options)
+        finally:
+            _owned.reset(inner)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Scratch]:
+    """The tables that ``stored`` writes inside the block are removed at its end, also when it fails.
+
+    What the block returns must not read them: give it out as ``kept`` table.
+    """
+    paths: list[str] = []
+    outer = _owned.set(paths)
+    try:
+        yield Scratch(outer.old_value if isinstance(outer.old_value, list) else None)
+    finally:
+        _owned.reset(outer)
+        removed(spark, paths)
+
+
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more (without a JVM at hand, as on Spark Connect, they stay)."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    # Shuffle files of finished steps go when the driver collects their plans, which it may not do for long by itself.
+    jvm.System.gc()
+
+
+def file_rows(df: DataFrame) -> list[Column] | None:
+    """Path of the file and number in it of every row, if ``df`` is a Parquet table as it was read; else None.
+
+    They are the same at each reading, so rows can be told apart without a copy of the table.
+    """
+    try:
+        plain = df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+        meta = df.metadataColumn("_metadata") if plain else None
+        at = [meta["file_path"], meta["row_index"]] if plain else None
+        return at if at and df.select(*at).columns else None
+    except (AnalysisException, AttributeError):  # no such columns in this format; no JVM at hand on Spark Connect
+        return None

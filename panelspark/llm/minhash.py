@@ -29,14 +29,15 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelspark.llm.common import stored, unused
+from panelspark.llm.common import file_rows, stored, temporary, unused
 from panelspark.llm.components import components
 
 BANDS, ROWS = 42, 6
@@ -163,13 +164,15 @@ def _bytes_column(column: pa.Array, width: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, sig, bands); the last three are null for an empty set."""
-    names = ["doc_id", "n_shingles", "set_key", "sig", "bands"]
+    """The columns of ``docs`` but its last one, the text, with (n_shingles, set_key, sig, bands); the last three are null for an empty set."""
+    kept = docs.schema.fields[:-1]
+    names = [f.name for f in kept] + ["n_shingles", "set_key", "sig", "bands"]
+    found = "n_shingles bigint, set_key binary, sig binary, bands array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, keys, sigs, bands = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(len(kept)).to_pylist():
                 hashes = shingle_set(text, size)
                 n.append(len(hashes))
                 if len(hashes):
@@ -180,14 +183,10 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 else:
                     for out in (keys, sigs, bands):
                         out.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=names,
-            )
+            made = [pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *made], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_key binary, sig binary, bands array<bigint>"
-    )
+    return docs.mapInArrow(run, T.StructType([*kept, *T.StructType.fromDDL(found).fields]))
 
 
 def similar_size(a: str, b: str, percent: int) -> Column:
@@ -320,29 +319,32 @@ def is_link(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, hashes) of the documents named in ``nodes``, and of a few others.
+    """The columns of ``nodes``, of which all but ``node`` name a document, with ``hashes``: the full sets of these nodes.
 
-    The texts are read again and not shuffled: a bitmap of ``BITMAP_WORDS`` 64-bit words, the union of the nodes'
-    hashed positions, is joined to the documents' own positions. Its size is fixed, so it is broadcast; where many
-    nodes crowd it, more documents pass that are not asked for.
+    ``docs`` has the columns that name a document and ``text`` as its last one. The texts are read again and not shuffled: a
+    bitmap of ``BITMAP_WORDS`` 64-bit words, the union of the nodes' hashed positions, is joined to the documents' own
+    positions. Its size is fixed, so it is broadcast; where many nodes crowd it, more sets are made than are asked for. Only the sets are joined.
     """
-    place = F.xxhash64("node")
+    key = docs.columns[:-1]
+    place = F.xxhash64(*key)
     word, bit = F.pmod(place, F.lit(BITMAP_WORDS)).cast("int"), F.shiftright(place, 50).bitwiseAND(F.lit(63)).cast("int")
-    marks = nodes.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftright(xxhash64(node), 50) & 63 AS INT))")).alias("marks"))
-    own = docs.select(F.col("doc_id").cast("long").alias("node"), "text").filter("node IS NOT NULL")
-    wanted = own.withColumns({"word": word, "bit": bit}).join(F.broadcast(marks), "word")
+    of_bit = f"bit_or(shiftleft(1L, cast(shiftright(xxhash64({', '.join(key)}), 50) & 63 AS INT)))"
+    marks = nodes.groupBy(word.alias("word")).agg(F.expr(of_bit).alias("marks"))
+    wanted = docs.dropna(subset=key).withColumns({"word": word, "bit": bit}).join(F.broadcast(marks), "word")
     wanted = wanted.filter(F.expr("shiftrightunsigned(marks, bit) & 1L = 1L"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, size).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
+            sets = [shingle_set(t, size).tobytes() for t in batch.column(len(key)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sets, pa.binary())], names=[*key, "hashes"])
 
-    return wanted.select("node", "text").mapInArrow(run, "node bigint, hashes binary")
+    schema = T.StructType([*docs.schema.fields[:-1], T.StructField("hashes", T.BinaryType())])
+    return nodes.join(wanted.select(*docs.columns).mapInArrow(run, schema), key).select("node", "hashes")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links by their full sets."""
+    sets = sets.join(ends_of(pairs), "node", "left_semi")  # later rounds ask for few of them
     both = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("hashes_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hashes_b")), "b")
 
@@ -398,46 +400,56 @@ def resolve(pairs: DataFrame, labels: DataFrame | None, sets: DataFrame, percent
     return labels
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
-    sketch = stored(sketches(docs, size), "sketches")
+def connected(sketch: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for the rows of ``sketch``; ``sets`` gives (node, hashes) for a table of nodes."""
+    spark = sketch.sparkSession
     named = sketch.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
     classes = named.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows"))
     copies = stored(classes.filter("rows > 1").select("set_key", "node"), "copies")
     first = named.join(copies, "set_key", "left").filter("node IS NULL OR node = doc_id")
-    nodes = stored(first.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sig", "bands"), "nodes")
-    # Buckets of two nodes or more, with the priority of their pivot.
-    rows = nodes.select(F.explode("bands").alias("bucket"), "node", "n", F.xxhash64("node").alias("p"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("p").alias("pivot")).filter("m > 1")
+    # Buckets of two nodes or more; their pivot is the smallest node.
+    rows = first.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("pivot")).filter("m > 1")
     members = stored(rows.join(shared, "bucket"), "members")
-    # Star round.
-    pivots = members.filter("p = pivot").select("bucket", F.col("node").alias("q"), F.col("n").alias("nq"))
-    star = members.filter("p <> pivot").join(pivots, "bucket").filter(similar_size("n", "nq", percent))
-    pairs = star.select(F.least("node", "q").alias("a"), F.greatest("node", "q").alias("b")).distinct()
-    sigs = nodes.select("node", "sig")
-    close = stored(screen(pairs, sigs, percent), "star")
-    sets = stored(sets_of(docs, ends_of(close), size), "sets")
-    labels = resolve(close, None, sets, percent)
+    sigs = named.select(F.col("doc_id").alias("node"), "sig", "bands")
+    with temporary(spark) as star_round:
+        pivots = members.filter("node = pivot").select("bucket", F.col("node").alias("q"), F.col("n").alias("nq"))
+        star = members.filter("node <> pivot").join(pivots, "bucket").filter(similar_size("n", "nq", percent))
+        pairs = star.select(F.least("node", "q").alias("a"), F.greatest("node", "q").alias("b")).distinct()
+        close = stored(screen(pairs, sigs, percent), "star")
+        full = stored(sets(ends_of(close)), "sets")
+        labels = star_round.kept(resolve(close, None, full, percent), "labels")
     # Block round over the buckets whose nodes are not of one component yet.
-    tagged = members.select("bucket", "node", "n", "m").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"))
-    mixed = mixed.filter("lo <> hi AND c > 2").select("bucket")  # of two nodes, the star round has settled the pair
-    n_blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-    blocks = tagged.join(mixed, "bucket").join(nodes.select("node", "sig", "bands"), "node").withColumns({"nb": n_blocks, "blk": F.pmod(F.hash("node"), n_blocks)})
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    blocks = blocks.withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
-    columns = [c.split()[0] for c in BLOCK_ROW.split(", ")]
-    open_rows = stored(block_rows(blocks.select(*columns), percent), "open")
-    if not open_rows.isEmpty():
-        sets = stored(sets_of(docs, open_rows.select("node").distinct(), size), "sets")
-        links = block_links(open_rows.join(sets, "node").select(*columns, "hashes"), percent)
-        labels = merged(labels, stored(links.distinct(), "links"))
+    with temporary(spark) as block_round:
+        tagged = members.select("bucket", "node", "n", "m").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        mixed = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"))
+        mixed = mixed.filter("lo <> hi AND c > 2").select("bucket")  # of two nodes, the star round has settled the pair
+        n_blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+        blocks = tagged.join(mixed, "bucket").join(sigs, "node").withColumns({"nb": n_blocks, "blk": F.pmod(F.hash("node"), n_blocks)})
+        blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+        blocks = blocks.withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
+        columns = [c.split()[0] for c in BLOCK_ROW.split(", ")]
+        open_rows = stored(block_rows(blocks.select(*columns), percent), "open")
+        if not open_rows.isEmpty():
+            full = stored(sets(open_rows.select("node").distinct()), "sets")
+            links = block_links(open_rows.join(full, "node").select(*columns, "hashes"), percent)
+            labels = block_round.kept(merged(labels, stored(links.distinct(), "links")), "labels")
     # Every row takes its component by its set's class.
     of_class = copies.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("by_class"))
     of_node = labels.select(F.col("node").alias("doc_id"), F.col("label").alias("by_node"))
     out = sketch.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left").join(of_node, "doc_id", "left")
-    component = F.coalesce("by_class", "by_node", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", F.coalesce("by_class", "by_node", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
+    with temporary(docs.sparkSession) as scratch:
+        named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        sketch = stored(sketches(named, size), "sketches")
+        texts = named.withColumnRenamed("doc_id", "node")
+        found = connected(sketch, lambda nodes: sets_of(texts, nodes, size), percent)
+        kept = F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))
+        return scratch.kept(found.withColumn("kept", kept), "near_duplicates")
 
 
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -446,18 +458,32 @@ def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Every row is a document of its own: rows without an id, repeated rows and rows of one id with different texts too. The row
     with the smallest id stays (one without an id only if no other has one), of equal ids the one whose columns
     have the least digest. A row without words is its own component.
+
+    Rows are told apart by their places in the files of ``docs``; a table that is not read from Parquet files is written first.
+    Texts are not copied otherwise, and what the search writes is removed but for the list of the rows that go.
     """
-    row, digest = unused(docs, "row"), unused(docs, "digest")
-    whole = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
-    # Numbers are given once and written, so that every later pass sees the same ones.
-    rows = stored(docs.withColumns({digest: whole, row: F.monotonically_increasing_id()}), "rows")
-    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), size, percent)
-    found = found.select(F.col("doc_id").alias("row"), "component_id")
-    groups = found.filter("row <> component_id").select("component_id").distinct()
-    members = found.join(groups, "component_id", "left_semi")
-    named = rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col(digest).alias("digest"))
-    best = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "digest", "row")).alias("best")
-    members = stored(members.join(named, "row"), "members")
-    chosen = members.groupBy("component_id").agg(best).select(F.col("best.row").alias("row"))
-    drop = members.join(chosen, "row", "left_anti").select(F.col("row").alias(row))
-    return rows.join(drop, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    at = file_rows(docs)
+    if at is None:
+        docs = stored(docs, "rows")
+        at = file_rows(docs)
+    with temporary(docs.sparkSession) as scratch:
+        whole = F.unhex(F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+        place = [at[0].alias("path"), at[1].alias("at")]
+        rows = docs.select(*place, F.col("doc_id").cast("long").alias("id"), whole.alias("digest"), "text")
+        # Numbers are given once and written, so that every later pass sees the same ones.
+        sketch = stored(sketches(rows, size).withColumn("doc_id", F.monotonically_increasing_id()), "sketches")
+        numbers = sketch.select(F.col("doc_id").alias("node"), "path", "at")
+        texts = docs.select(*place, "text")
+        found = connected(sketch, lambda nodes: sets_of(texts, numbers.join(nodes, "node", "left_semi"), size), percent)
+        found = stored(found.select(F.col("doc_id").alias("row"), "component_id"), "found")
+        groups = found.filter("row <> component_id").select("component_id").distinct()
+        members = found.join(groups, "component_id", "left_semi")
+        named = sketch.select(F.col("doc_id").alias("row"), "id", "digest", "path", "at")
+        best = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "digest", "row")).alias("best")
+        members = stored(members.join(named, "row"), "members")
+        chosen = members.groupBy("component_id").agg(best).select(F.col("best.row").alias("row"))
+        drop = scratch.kept(members.join(chosen, "row", "left_anti").select("path", "at"), "dropped")
+    path, number = unused(docs, "path"), unused(docs, "at")
+    gone = drop.select(F.col("path").alias(path), F.col("at").alias(number))
+    left = docs.withColumns({path: at[0], number: at[1]}).join(gone, [path, number], "left_anti")
+    return left.select(*[f"`{c}`" for c in docs.columns])
