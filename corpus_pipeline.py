@@ -1,7 +1,7 @@
 """The corpus pipeline: quality classifier, near-duplicates, secrets, mixing, packing.
 
 ``run`` applies the stages to the documents table; each stage's result is written as Parquet to the shared
-scratch folder and read again as the next one's input. All stages but the last return the columns of the
+scratch folder and read again as the next one's input. A result is removed once the next one is written, a stage's other tables with its end. All stages but the last return the columns of the
 documents. Null texts and ids, repeated rows, empty tables and extra columns are treated as the operators' modules say.
 """
 
@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark import session
 from panelspark.llm import line_crf, minhash, mixing, packing, secrets
-from panelspark.llm.common import stored, table, unused
+from panelspark.llm.common import removed, table, temporary, unused
 
 KEEP_FROM = 0.3  # document quality from which a document stays
 SHINGLE, SIMILAR = 5, 80  # words of a shingle, per cent
@@ -59,7 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), "pipeline", name.replace(" ", "-"))
+        with temporary(spark):
+            path = session.scratch_path(spark, "pipeline", name.replace(" ", "-"))
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            removed(spark, [before])
+        before = path
     return docs
