@@ -41,20 +41,30 @@ def indices(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-# Prefix sums run over blocks of this many values, so a text with very many matches costs about
-# n * BLOCK additions instead of n * n.
+# Prefixes run over blocks of this many values, so a text with very many matches costs about
+# n * BLOCK steps instead of n * n.
 BLOCK = 128
 
 
 def prefix_sums(values: Column) -> Column:
-    """Exclusive prefix sums of an int array (by index: ``slice`` would copy the whole array each time)."""
+    """Exclusive prefix sums of an int array."""
+    return prefixes(values, 0, lambda a, b: a + b)
+
+
+def furthest(values: Column) -> Column:
+    """For every place of an int array the largest value before it, -1 for none (values are not below -1)."""
+    return prefixes(values, -1, lambda a, b: F.greatest(a, b))
+
+
+def prefixes(values: Column, nothing: int, join: Callable[[Column, Column], Column]) -> Column:
+    """Exclusive prefixes of an int array under ``join`` (by index: ``slice`` would copy the whole array each time)."""
 
     def part(v: Column, start: Column, n: Column) -> Column:
-        return F.aggregate(indices(n), F.lit(0), lambda acc, k: acc + F.coalesce(F.get(v, start + k), F.lit(0)))
+        return F.aggregate(indices(n), F.lit(nothing), lambda acc, k: join(acc, F.coalesce(F.get(v, start + k), F.lit(nothing))))
 
     def within(v: Column, blocks: Column, i: Column) -> Column:
         b = F.floor(i / F.lit(BLOCK)).cast("int")
-        return F.get(blocks, b) + part(v, b * BLOCK, i % BLOCK)
+        return join(F.get(blocks, b), part(v, b * BLOCK, i % BLOCK))
 
     def offsets(sums: Column) -> Column:
         return F.transform(sums, lambda _, b: part(sums, F.lit(0), b))
@@ -70,6 +80,27 @@ def prefix_sums(values: Column) -> Column:
     return let(values, over)
 
 
+# Code points of a piece of a long text: finding a place in a string takes a walk from its start.
+PIECE = 1024
+
+
+def pieces(text: Column) -> Column:
+    """The text in strings of ``PIECE`` code points, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def stretch(parts: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` (from 0) to ``end`` (exclusive) of the text whose :func:`pieces` are ``parts``."""
+    first, last = F.floor(start / F.lit(PIECE)).cast("int"), F.floor(end / F.lit(PIECE)).cast("int")
+    inner = F.transform(indices(last - first - 1), lambda k: F.get(parts, first + 1 + k))
+    across = F.concat(
+        F.substring(F.get(parts, first), start % PIECE + 1, F.lit(PIECE)),
+        F.array_join(inner, ""),
+        F.coalesce(F.substring(F.get(parts, last), F.lit(1), end % PIECE), F.lit("")),
+    )
+    return F.when(end <= start, "").when(first == last, F.substring(F.get(parts, first), start % PIECE + 1, end - start)).otherwise(across)
+
+
 def matches(text: Column, pattern: Column | str, group: int = 0) -> Column:
     """Leftmost non-overlapping matches as ``array<struct<start int, end int, hit string>>``.
 

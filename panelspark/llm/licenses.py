@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import let, matches, unused
+from panelspark.llm.common import furthest, let, matches, unused
 
 # ---------------------------------------------------------------- fixed values
 # Characters of a word after A-Z are lower-cased, and phrases of the base with their labels.
@@ -202,22 +202,23 @@ def detections(text: Column, lowered: Column, rules: tuple[Rule, ...] = RULES, s
     found = F.sort_array(F.flatten(F.transform(usable, search)))
     levels = sorted({r.priority for r in rules})
 
-    def sweep(state: Column, d: Column) -> Column:
+    def ends(f: Column, level: int) -> Column:
+        return F.transform(f, lambda d: F.when(-d["minus_priority"] >= level, -d["minus_end"]).otherwise(-1))
+
+    def uncontained(f: Column, reach: Column) -> Column:
         # In this order whatever contains d has come before it: it is inside one of them if the furthest
         # end so far, among those of its priority or higher, reaches its end.
-        reach = F.lit(-1)
-        for level in levels:
-            reach = F.greatest(reach, F.when(-d["minus_priority"] <= level, state[f"end{level}"]).otherwise(-1))
-        inside = reach >= -d["minus_end"]
-        ends = [
-            F.when(-d["minus_priority"] == level, F.greatest(state[f"end{level}"], -d["minus_end"])).otherwise(state[f"end{level}"]).alias(f"end{level}")
-            for level in levels
-        ]
-        return F.struct(F.when(inside, state["kept"]).otherwise(F.array_append(state["kept"], d)).alias("kept"), *ends)
+        def free(d: Column, i: Column) -> Column:
+            before = F.coalesce(*[F.when(-d["minus_priority"] == level, F.get(reach[f"end{level}"], i)) for level in levels])
+            return before < -d["minus_end"]
+
+        return F.filter(f, free)
 
     kind = "array<struct<start:int,minus_end:int,minus_priority:int,ord:int,label:string>>"
-    start = F.struct(F.array().cast(kind).alias("kept"), *[F.lit(-1).alias(f"end{level}") for level in levels])
-    kept = let(found.cast(kind), lambda f: F.aggregate(f, start, sweep, lambda z: z["kept"]))
+    kept = let(
+        found.cast(kind),
+        lambda f: let(F.struct(*[furthest(ends(f, level)).alias(f"end{level}") for level in levels]), lambda reach: uncontained(f, reach)),
+    )
     shaped = F.transform(
         kept,
         lambda d: F.struct(

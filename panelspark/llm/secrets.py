@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import indices, let, matches, unused
+from panelspark.llm.common import furthest, indices, let, matches, pieces, stretch, unused
 
 # ---------------------------------------------------------------- fixed values
 # (kind, pattern, group whose length counts, least length). The last two patterns are runs of one class, so
@@ -139,6 +139,19 @@ def _spans(found: Column, order: int, kind: str) -> Column:
     )
 
 
+def outside(found: Column, base: Column) -> Column:
+    """The matches that lie inside none of the base spans: one sweep over both, by start, base spans first."""
+    marks = F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("own"), b["end"].alias("end"), F.lit("").alias("hit")))
+    own = F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(1).alias("own"), m["end"].alias("end"), m["hit"].alias("hit")))
+
+    def sweep(items: Column) -> Column:
+        reach = furthest(F.transform(items, lambda x: F.when(x["own"] == 0, x["end"]).otherwise(-1)))
+        left = let(reach, lambda r: F.filter(items, lambda x, i: (x["own"] == 1) & (F.get(r, i) < x["end"])))
+        return F.transform(left, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["hit"].alias("hit")))
+
+    return F.when((F.size(found) == 0) | (F.size(base) == 0), found).otherwise(let(F.sort_array(F.concat(marks, own)), sweep))
+
+
 def entropy_spans(text: Column, base: Column, classes=CLASSES, allowed: str = ALLOWED, window: int = WINDOW) -> Column:
     def spans(order: int, cls: CharClass) -> Column:
         def secret(stretch: Column) -> Column:
@@ -148,15 +161,14 @@ def entropy_spans(text: Column, base: Column, classes=CLASSES, allowed: str = AL
             # Conditions are evaluated left to right, so the entropy is taken of few strings only.
             return F.when(ok, window_entropy(stretch, window) >= cls.bits).otherwise(False)
 
-        def wanted(m: Column) -> Column:
-            hit = m["hit"]
+        def usable(m: Column) -> Column:
             ok = F.lit(True)
             for p in cls.must:
-                ok = ok & F.regexp_like(hit, F.lit(p))
-            inside = F.exists(base, lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"]))
-            return F.when(ok & ~inside, F.exists(F.split(hit, allowed, -1), secret)).otherwise(False)
+                ok = ok & F.regexp_like(m["hit"], F.lit(p))
+            return ok
 
-        return _spans(F.filter(matches(text, cls.candidate), wanted), order, cls.kind)
+        found = let(F.filter(matches(text, cls.candidate), usable), lambda f: outside(f, base))
+        return _spans(F.filter(found, lambda m: F.exists(F.split(m["hit"], allowed, -1), secret)), order, cls.kind)
 
     return F.concat(*[spans(order, cls) for order, cls in enumerate(classes, start=len(FIXED_KINDS))]).cast(SPAN)
 
@@ -185,19 +197,17 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
     found = scan(docs, text, base, spans)
     t = F.col(text)
 
-    def step(state: Column, s: Column) -> Column:
-        # Copy what lies between the findings; a finding that starts before the last one ended only extends it.
-        new = s["start"] >= state["at"]
-        between = F.substring(t, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(new, F.array_append(state["out"], F.concat(between, F.lit(mark)))).otherwise(state["out"]).alias("out"),
-        )
+    ends = F.transform(F.col(spans), lambda s: s["end"])
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    clean = F.aggregate(
-        F.col(spans), start, step, lambda z: F.concat(F.array_join(z["out"], ""), F.substring(t, z["at"] + 1, F.length(t) - z["at"]))
-    )
+    def cleaned(parts: Column, before: Column) -> Column:
+        # What lies between the findings; one that starts before an earlier one ended only extends that.
+        def head(s: Column, i: Column) -> Column:
+            at = F.greatest(F.get(before, i), F.lit(0))
+            return F.when(s["start"] >= at, F.concat(stretch(parts, at, s["start"]), F.lit(mark))).otherwise("")
+
+        return F.concat(F.array_join(F.transform(F.col(spans), head), ""), stretch(parts, F.array_max(ends), F.length(t)))
+
+    clean = let(pieces(t), lambda parts: let(furthest(ends), lambda before: cleaned(parts, before)))
     changed = F.when(F.size(spans) > 0, clean).otherwise(t)
     out = {c: F.col(f"`{c}`") for c in docs.columns}
     out[text] = changed
