@@ -6,14 +6,16 @@ together. Forward-backward gives each line's marginal probability of being good;
 lengths these make up the document's quality.
 
 Learning sees a bounded sample of labelled documents (``SAMPLE_DOCS`` per label; the rows of smallest id hash in
-as many classes, one aggregation that combines map-side). A document's label stands for all its lines, so the
-documents of the sample are chains of known labels, and evidence and chain weights maximise their
+as many classes, one aggregation that combines map-side), each as a whole text. A document's label stands for all
+its lines, so the documents of the sample are chains of known labels, and the evidence weights maximise their
 conditional likelihood (gradient ascent with Adam, in a fixed number of rounds, both labels weighing the
-same). As these chains never change label, the weight for staying is held at ``STAY``. The evidence weights
-then get a common scale that fits document scores to held-in labels.
+same). Such chains never change label and say nothing about how often lines do. So in a second step the lines'
+labels are hidden and the document's label is what is seen: of the ``CHAINS`` of weights for staying, with a scale and a shift
+of the evidence, the ones that make the documents' labels likeliest under the documents' qualities are taken.
 
-Features are counted with numpy on the bytes of a batch of texts, and forward-backward runs over all
-documents of a batch side by side; whole texts are scored.
+Features are counted with numpy on the bytes of a batch of texts, or of a block of lines of a long text, and
+forward-backward runs over pieces of ``PIECE`` lines side by side, each started with the exact message of the
+piece before; whole texts are scored.
 
 Defined cases: a null text is scored as an empty one; an empty text is one empty line; without labels
 of both kinds every score is the share of label 1 (0.5 without labels); labels that are null or contradict each other for an id are
@@ -33,10 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE_DOCS = 1_000
-SAMPLE_CHARS, SAMPLE_LINES = 20_000, 200  # of a sampled text
 ROUNDS = 200
-BATCH_BYTES = 1 << 20  # bytes counted at a time; a longer text is counted alone
-STAY = 1.5  # log weight for two neighbouring lines of the same label
+BATCH_BYTES = 1 << 20  # bytes counted at a time; a longer text is counted in blocks of lines
+BATCH_LINES = 1 << 14  # lines counted at a time
+PIECE = 512  # lines of a chain that forward-backward takes one after the other
+STAY = 1.5  # log weight for two neighbouring lines of the same label while the evidence is learned
+CHAINS = (0.0, 0.5, 1.0, 1.5, 2.0, 3.0)  # what it may become
 PENALTY = 1e-4
 
 _BYTE = np.arange(256)
@@ -130,28 +134,54 @@ def _first_word(word_line: np.ndarray, n_lines: int) -> np.ndarray:
 
 
 def marginals(evidence: np.ndarray, n_lines: np.ndarray, stay: float) -> np.ndarray:
-    """Marginal log odds of good for every line; ``evidence`` is each line's own log odds.
+    """Marginal log odds of good for every line; ``evidence`` is each line's own log odds."""
+    out = messages(evidence, n_lines, stay)
+    out += messages(evidence[::-1], n_lines[::-1], stay)[::-1]
+    out += evidence
+    return out
 
-    A message is the log odds that a neighbour's side contributes. One step of a chain with equal
-    weight ``stay`` for equal labels turns log odds m into ``log((e^(m+s) + 1) / (e^m + e^s))``. All
-    documents take the step at the same time, longest first.
-    """
-    order = np.argsort(-n_lines, kind="stable")
-    first = np.concatenate([[0], np.cumsum(n_lines)[:-1]])[order]
-    lengths = n_lines[order]
-    running = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
 
-    def through(m: np.ndarray) -> np.ndarray:
-        return np.logaddexp(m + stay, 0) - np.logaddexp(m, stay)
+def messages(evidence: np.ndarray, n_lines: np.ndarray, stay: float) -> np.ndarray:
+    """What the lines before a line contribute to its log odds.
 
-    ahead, back = np.zeros(len(evidence)), np.zeros(len(evidence))
+    One step of a chain with weight ``stay`` for equal labels turns log odds m into
+    ``log((e^(m+s) + 1) / (e^m + e^s))``. Chains are cut into pieces of ``PIECE`` lines, and all pieces take a step at the
+    same time, longest first. What a whole piece does to its first message is a 2 x 2 matrix on the odds; with these
+    the first messages go from piece to piece.
+    """
+    n_pieces = -(-n_lines // PIECE)
+    chain = np.repeat(np.arange(len(n_lines)), n_pieces)
+    number = np.arange(len(chain)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+    first = (np.cumsum(n_lines) - n_lines)[chain] + number * PIECE
+    lengths = np.minimum(PIECE, n_lines[chain] - number * PIECE)
+    arriving = np.zeros(len(chain))
+    passing = np.flatnonzero(number + 1 < n_pieces[chain])  # pieces that another one follows: whole ones
+    if len(passing):
+        same = np.exp(stay)
+        a, b, c, d = np.ones(len(passing)), np.zeros(len(passing)), np.zeros(len(passing)), np.ones(len(passing))
+        for step in range(PIECE):
+            e = evidence[first[passing] + step]
+            up, down = np.exp(np.minimum(e, 0)), np.exp(-np.maximum(e, 0))
+            a, b, c, d = up * a * same + down * c, up * b * same + down * d, up * a + down * c * same, up * b + down * d * same
+            total = a + b + c + d
+            a, b, c, d = a / total, b / total, c / total, d / total
+        at = np.argsort(number[passing], kind="stable")
+        bounds = np.searchsorted(number[passing][at], np.arange(number.max() + 1))
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            k = at[lo:hi]
+            odds = np.exp(arriving[passing[k]])
+            arriving[passing[k] + 1] = np.log(a[k] * odds + b[k]) - np.log(c[k] * odds + d[k])
+
+    order = np.argsort(-lengths, kind="stable")
+    first, lengths = first[order], lengths[order]
+    running = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
+    out = np.empty(len(evidence))
+    out[first] = arriving[order]
     for step in range(1, lengths[0]):
-        n = running[step]
-        here = first[:n] + step
-        ahead[here] = through(ahead[here - 1] + evidence[here - 1])
-        here = first[:n] + lengths[:n] - 1 - step
-        back[here] = through(back[here + 1] + evidence[here + 1])
-    return ahead + back + evidence
+        here = first[: running[step]] + step
+        m = out[here - 1] + evidence[here - 1]
+        out[here] = np.logaddexp(m + stay, 0) - np.logaddexp(m, stay)
+    return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -164,31 +194,74 @@ class LineModel:
     scale: float
     shift: float
     share: float  # of label 1, when there is nothing else
+    stay: float = STAY
 
-    def score(self, texts: list[str | None], stay: float = STAY) -> np.ndarray:
-        if not texts:
-            return np.zeros(0)
+    def score(self, texts: list[str | None]) -> np.ndarray:
         if self.weights is None:
             return np.full(len(texts), self.share)
-        scores, group, held = [], [], 0
-        for t in texts:
-            group.append((t or "").encode("utf-8", "surrogatepass"))
-            held += len(group[-1])
-            if held >= BATCH_BYTES:
-                scores.append(self._score(group, stay))
-                group, held = [], 0
-        return np.concatenate([*scores, self._score(group, stay)]) if group else np.concatenate(scores)
+        scores = [self._score(group) for group in batches(texts)]
+        return np.concatenate(scores) if scores else np.zeros(0)
+
+    def _score(self, texts: list[bytes]) -> np.ndarray:
+        parts = [(f @ self.weights * self.scale + self.shift, size) for f, size in features_of(texts)]
+        evidence, size = (np.concatenate(p) if len(p) > 1 else p[0] for p in zip(*parts, strict=True))
+        del parts
+        return document_scores(evidence, size, count_lines(texts), self.stay)
+
 
-    def _score(self, texts: list[bytes], stay: float) -> np.ndarray:
-        features, size, n_lines = line_features(texts)
-        return document_scores(features @ self.weights * self.scale + self.shift, size, n_lines, stay)
+def count_lines(texts: list[bytes]) -> np.ndarray:
+    return np.array([t.count(b"\n") + 1 for t in texts])
+
+
+def batches(texts: list[str | None]) -> Iterator[list[bytes]]:
+    """The texts in groups of ``BATCH_BYTES`` and ``BATCH_LINES``; a text beyond either is a group of its own."""
+    group, held, lines = [], 0, 0
+    for t in texts:
+        data = (t or "").encode("utf-8", "surrogatepass")
+        n = data.count(b"\n") + 1
+        if group and (held + len(data) > BATCH_BYTES or lines + n > BATCH_LINES):
+            yield group
+            group, held, lines = [], 0, 0
+        group.append(data)
+        held, lines = held + len(data), lines + n
+    if group:
+        yield group
+
+
+def features_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, lengths) of the lines of a group of :func:`batches`, a single text in blocks of lines.
+
+    A block is counted with the two lines before and the one after it, which its features depend on.
+    """
+    if len(texts) > 1:
+        features, size, _ = line_features(texts)
+        yield features, size
+        return
+    (text,) = texts
+    data, at = np.frombuffer(text, np.uint8), 0
+    while at <= len(text):
+        breaks = np.flatnonzero(data[at : at + BATCH_BYTES] == 10)[:BATCH_LINES]
+        if len(breaks) == BATCH_LINES or (len(breaks) and at + BATCH_BYTES < len(text)):
+            end = at + int(breaks[-1])
+        else:
+            end = text.find(b"\n", at + BATCH_BYTES)  # the block's only line, or the rest of the text
+            end = len(text) if end < 0 else end
+        lead, before = at, 0
+        while lead and before < 2:
+            lead, before = text.rfind(b"\n", 0, lead - 1) + 1, before + 1
+        tail = end if end == len(text) else text.find(b"\n", end + 1)
+        features, size, n = line_features([text[lead : len(text) if tail < 0 else tail]])
+        own = slice(before, int(n[0]) - (end < len(text)))
+        yield features[own], size[own]
+        at = end + 1
 
 
 def document_scores(evidence: np.ndarray, size: np.ndarray, n_lines: np.ndarray, stay: float) -> np.ndarray:
     good = _sigmoid(marginals(evidence, n_lines, stay))
     starts = np.concatenate([[0], np.cumsum(n_lines)[:-1]])
     weight = size + 1
-    return np.add.reduceat(good * weight, starts) / np.add.reduceat(weight, starts)
+    good *= weight
+    return np.add.reduceat(good, starts) / np.add.reduceat(weight, starts)
 
 
 def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS, stay: float = STAY) -> LineModel:
@@ -196,7 +269,10 @@ def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS, stay: float =
     y = np.asarray(labels, np.float64)
     if not len(y) or y.min() == y.max():
         return LineModel(None, 1.0, 0.0, float(y.mean()) if len(y) else 0.5)
-    features, size, n_lines = line_features([t.encode("utf-8", "surrogatepass") for t in texts])
+    parts = [part for group in batches(texts) for part in features_of(group)]
+    features, size = np.vstack([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    del parts
+    n_lines = np.array([t.count("\n") + 1 for t in texts])
     starts = np.concatenate([[0], np.cumsum(n_lines)[:-1]])
     sign = np.repeat(2 * y - 1, n_lines)
     # Every document weighs the same, its lines by length, and both labels weigh the same.
@@ -210,16 +286,17 @@ def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS, stay: float =
         g = features.T @ (weight * (observed - expected)) - PENALTY * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w += 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    # Scale of the evidence: the one of a few under which the document scores fit the labels best.
+    # The lines' labels hidden: chain weight, scale and shift under which the document scores fit the labels best.
     evidence = features @ w
     doc_weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
 
-    def loss(scale: float, shift: float) -> float:
-        s = np.clip(document_scores(evidence * scale + shift, size, n_lines, stay), 1e-6, 1 - 1e-6)
+    def loss(scale: float, shift: float, chain: float) -> float:
+        s = np.clip(document_scores(evidence * scale + shift, size, n_lines, chain), 1e-6, 1 - 1e-6)
         return -float((doc_weight * np.where(y == 1, np.log(s), np.log(1 - s))).sum())
 
-    _, scale, shift = min((loss(a, b), a, b) for a in (0.25, 0.5, 1.0, 2.0, 4.0) for b in (0.0, 0.25, 0.5, 1.0))
-    return LineModel(w, scale, shift, float(y.mean()))
+    tried = ((loss(a, b, c), a, b, c) for a in (0.25, 0.5, 1.0, 2.0, 4.0) for b in (0.0, 0.25, 0.5, 1.0) for c in CHAINS)
+    _, scale, shift, chain = min(tried)
+    return LineModel(w, scale, shift, float(y.mean()), chain)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int = SAMPLE_DOCS) -> tuple[list[str], list[int]]:
@@ -236,8 +313,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int
     least = usable.groupBy("quality", F.pmod(h, F.lit(most)).alias("class")).agg(F.min(F.struct(h, F.col("doc_id"))).alias("m"))
     # At most 2 * most ids come to the driver, then as many texts.
     chosen = {r["doc_id"]: r["quality"] for r in least.select("quality", "m.doc_id").collect()}
-    picked = docs.filter(F.col("doc_id").isin(list(chosen))).select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"))
-    rows = sorted({(r["doc_id"], "\n".join(r["text"].split("\n")[:SAMPLE_LINES])) for r in picked.collect()})
+    picked = docs.filter(F.col("doc_id").isin(list(chosen))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = sorted({(r["doc_id"], r["text"]) for r in picked.collect()})
     return [t for _, t in rows], [chosen[i] for i, _ in rows]
 
 

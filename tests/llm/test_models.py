@@ -160,6 +160,45 @@ def test_line_features_by_hand():
     assert features[0, k : 3 * k].tolist() == [0] * (2 * k) and features[3, k : 2 * k].tolist() == features[2, :k].tolist()
 
 
+def test_messages_between_pieces_are_exact(monkeypatch):
+    rng = np.random.default_rng(5)
+    n_lines = np.array([40, 1, 7, 90, 21])
+    evidence = rng.normal(size=n_lines.sum()) * 9
+    evidence[::11] *= 100
+    for stay in (0.0, 0.7, 3.0):
+        whole = line_crf.marginals(evidence, n_lines, stay)
+        for piece in (1, 2, 7, 20):
+            with monkeypatch.context() as m:
+                m.setattr(line_crf, "PIECE", piece)
+                assert line_crf.marginals(evidence, n_lines, stay) == pytest.approx(whole, abs=1e-9)
+
+
+def test_blocks_of_lines_have_the_features_of_the_whole(monkeypatch):
+    rng = random.Random(4)
+    parts = ["", "", "a b b", "The cat sat.", "The cat sat.", "$ | !", "long " * 30]
+    for case in range(30):
+        text = "\n".join(rng.choice(parts) for _ in range(rng.randint(1, 60))).encode()
+        want, size, _ = line_crf.line_features([text])
+        with monkeypatch.context() as m:
+            m.setattr(line_crf, "BATCH_BYTES", rng.choice([1, 8, 40, 300]))
+            m.setattr(line_crf, "BATCH_LINES", rng.choice([1, 2, 9]))
+            got = list(line_crf.features_of([text]))
+        assert np.array_equal(np.vstack([f for f, _ in got]), want) and np.concatenate([s for _, s in got]).tolist() == size.tolist(), case
+
+
+def test_whole_texts_teach(spark):
+    """What makes a text bad may stand far behind its start."""
+    head = "The cat sat on the mat. It was happy.\n" * 300
+    tail = "$$$ | buy | now !!!\n" * 900
+    docs = spark.createDataFrame([(i, head + (tail if i % 2 else head)) for i in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(8)], "doc_id long, quality int")
+    texts, _ = line_crf.labelled_sample(docs, labels, F.lit(True))
+    assert sorted(texts) == sorted(r.text for r in docs.collect())
+    model = line_crf.train(docs, labels, F.lit(True))
+    good, bad = model.score(["The dog sat on the mat. It was old.\n" * 5, tail])
+    assert good > 0.9 and bad < 0.1 and model.stay in line_crf.CHAINS
+
+
 def test_scores_do_not_depend_on_the_batch():
     good = ["The cat sat on the mat.\nIt was happy, and so was I."] * 20
     bad = ["*** buy | now | !!!\n$$$ | free | !!!"] * 20
