@@ -185,7 +185,11 @@ def messages(evidence: np.ndarray, n_lines: np.ndarray, stay: float) -> np.ndarr
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(x / 2))
+    out = x / 2
+    np.tanh(out, out=out)
+    out += 1
+    out *= 0.5
+    return out
 
 
 @dataclass
@@ -203,7 +207,7 @@ class LineModel:
         return np.concatenate(scores) if scores else np.zeros(0)
 
     def _score(self, texts: list[bytes]) -> np.ndarray:
-        parts = [(f @ self.weights * self.scale + self.shift, size) for f, size in features_of(texts)]
+        parts = [(f @ self.weights * self.scale + self.shift, size.astype(np.int32)) for f, size in features_of(texts)]
         evidence, size = (np.concatenate(p) if len(p) > 1 else p[0] for p in zip(*parts, strict=True))
         del parts
         return document_scores(evidence, size, count_lines(texts), self.stay)
@@ -259,9 +263,9 @@ def features_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def document_scores(evidence: np.ndarray, size: np.ndarray, n_lines: np.ndarray, stay: float) -> np.ndarray:
     good = _sigmoid(marginals(evidence, n_lines, stay))
     starts = np.concatenate([[0], np.cumsum(n_lines)[:-1]])
-    weight = size + 1
-    good *= weight
-    return np.add.reduceat(good, starts) / np.add.reduceat(weight, starts)
+    sums = np.add.reduceat(good, starts)
+    good *= size
+    return (sums + np.add.reduceat(good, starts)) / (np.add.reduceat(size, starts, dtype=np.float64) + n_lines)
 
 
 def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS, stay: float = STAY) -> LineModel:
