@@ -15,7 +15,8 @@ def parser(description: str) -> argparse.ArgumentParser:
     p.add_argument("--input", required=True, help="input path (CSV with header unless --input-format says otherwise)")
     p.add_argument("--input-format", default="csv", choices=["csv", "parquet", "json"])
     p.add_argument("--infer-schema", action="store_true", help="infer CSV types (extra pass) instead of the fixed schema")
-    p.add_argument("--bad-values", default="raise", choices=["raise", "null"], help="CSV text that does not convert")
+    p.add_argument("--bad-values", default="raise", choices=["raise", "null", "divert"],
+                   help="CSV text that does not convert: an error, null, or its rows go to table Rejects.<input>")
     p.add_argument("--output-root", default=None, help="root folder of written tables (default: the shared scratch folder)")
     p.add_argument("--format", default="parquet", help="table format, or a connector name on the class path")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
@@ -31,6 +32,11 @@ def load(spark: SparkSession, args, schema, all_columns: bool = False) -> DataFr
     if args.input_format == "csv":
         if args.infer_schema:
             return sources.read_csv(spark, args.input, infer_schema=True)
+        if args.bad_values == "divert":
+            good, bad = sources.divert_csv(spark, args.input, schema, session.scratch_path(spark, "diverted"), all_columns)
+            name = args.input.rstrip("/").rsplit("/", 1)[-1]
+            sinks.write_table(bad, output_root(spark, args), "Rejects", name, mode=args.mode, fmt=args.format)
+            return good
         return sources.read_csv(spark, args.input, schema=schema, bad_values=args.bad_values, all_columns=all_columns)
     if args.input_format == "json":
         return sources.read_json_records(spark, args.input, schema=schema)

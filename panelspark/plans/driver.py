@@ -270,6 +270,21 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_csv(spark, path, schema=orders.schema)
 
 
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as CSV with some texts in number columns: the keys of the rows that convert, and every value that does not."""
+    orders = driver_table(spark, sf_dir, "orders")
+    key, path = F.col("o_orderkey"), S.scratch_path(spark, "csv")
+    customer = F.when(key % 10 == 0, F.concat(F.lit("C-"), "o_custkey")).otherwise(F.col("o_custkey").cast("string"))
+    price = F.when(F.col("o_orderstatus") == "P", "unknown").otherwise(F.col("o_totalprice").cast("string"))
+    sinks.write_csv(orders.withColumns({"o_custkey": customer, "o_totalprice": price}), path)
+    good, bad = sources.divert_csv(spark, path, orders.schema, S.scratch_path(spark, "diverted"))
+    read_from = F.get_json_object("line", "$.o_orderkey").cast(orders.schema["o_orderkey"].dataType)
+    nothing = F.lit(None).cast("string")
+    kept = good.select("o_orderkey", "o_custkey", "o_totalprice", nothing.alias("bad_column"), nothing.alias("bad_text"))
+    rest = bad.select(read_from.alias("o_orderkey"), F.col("column").alias("bad_column"), F.col("text").alias("bad_text"))
+    return kept.unionByName(rest, allowMissingColumns=True)
+
+
 def json_records_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` exported as JSON arrays of records (one file per partition), read back."""
     events = driver_table(spark, sf_dir, "events")
@@ -418,6 +433,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "versioned_round_trip": versioned_round_trip,
     "observed_write": observed_write,
     "csv_scan": csv_scan,
+    "csv_rejects": csv_rejects,
     "json_records_scan": json_records_scan,
     "json_document_scan": json_document_scan,
     "timing_log": timing_log,
@@ -668,6 +684,14 @@ SELECT 'copies.orders' AS output, count(*) AS n_rows, count(*) FILTER (o_orderke
 FROM {_SIGNED_SQL}
 """,
     "csv_scan": "SELECT * FROM orders",
+    "csv_rejects": """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS bad_column, CAST(NULL AS VARCHAR) AS bad_text
+FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderstatus IS DISTINCT FROM 'P'
+UNION ALL
+SELECT o_orderkey, NULL, NULL, 'o_custkey', 'C-' || o_custkey FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL
+SELECT o_orderkey, NULL, NULL, 'o_totalprice', 'unknown' FROM orders WHERE o_orderstatus = 'P'
+""",
     "json_records_scan": "SELECT * FROM events",
     "json_document_scan": "SELECT * FROM events",
 }

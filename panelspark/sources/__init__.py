@@ -51,6 +51,44 @@ def read_csv(
     )
 
 
+REJECTS = "file string, line string, column string, text string"
+
+
+def divert_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, target: str, all_columns: bool = False, **options: str
+) -> tuple[DataFrame, DataFrame]:
+    """CSV with a header line: the rows that convert, and the values that do not.
+
+    The files are parsed once and written to the new folder ``target``, apart by whether every value of a row converts; both
+    results are readers of it. The first has the columns of :func:`read_csv`. The second has a row for each value that does
+    not convert, so one or more for each row that the first lacks: the file, the whole row as it stands there (``line``, a JSON object
+    of texts by header name, without the empty ones), the column and its text.
+    """
+    raw = spark.read.options(header="true", **options).option("enforceSchema", "false").csv(path)
+    known = {f.name: f for f in schema.fields}
+    if all_columns:
+        values = [_converted(known[c], "null") if c in known else F.col(f"`{c}`") for c in raw.columns]
+    else:
+        values = [_converted(f, "null") if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+
+    def failed(field: T.StructField) -> Column:
+        text = F.col(f"`{field.name}`")
+        found = F.struct(F.lit(field.name).alias("column"), text.alias("text"))
+        return F.when(text.isNotNull() & _converted(field, "null").isNull(), found)
+
+    rejects = F.array_compact(F.array(*[failed(known[c]) for c in raw.columns if c in known]))
+    rejects = rejects.cast("array<struct<column:string,text:string>>")
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]))
+    marked = raw.select(F.struct(*values).alias("row"), rejects.alias("rejects"), F.col("_metadata.file_path").alias("file"), line.alias("line"))
+    # What a kept row was read from is not needed again.
+    some = F.size("rejects") > 0
+    marked = marked.select("row", "rejects", *[F.when(some, F.col(c)).alias(c) for c in ("file", "line")], some.cast("int").alias("rejected"))
+    marked.write.partitionBy("rejected").parquet(target)
+    parts = spark.read.schema(marked.schema).parquet(target)
+    bad = parts.filter("rejected = 1").select("file", "line", F.explode("rejects").alias("r")).select("file", "line", "r.column", "r.text")
+    return parts.filter("rejected = 0").select("row.*"), bad
+
+
 def _converted(field: T.StructField, bad_values: str) -> Column:
     text = F.col(f"`{field.name}`")
     value = text.try_cast(field.dataType)

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark import schemas, sinks, sources, timings
 from panelspark.operators import averages, profile
@@ -215,3 +216,27 @@ def test_text_tables_are_refused(spark, tmp_root):
         sinks.write_table(spark.range(1), tmp_root, "d", "t", fmt="text")
     with pytest.raises(ValueError):
         sources.read_table(spark, tmp_root, "d", "t", fmt="text")
+
+
+def test_csv_values_that_do_not_convert_are_diverted(spark, tmp_root):
+    path = os.path.join(tmp_root, "bad.csv")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("day", T.DateType()), T.StructField("absent", T.StringType())])
+    rows = ["1,2020-01-01,x", "2,soon,y", "three,never,", ",,z", "5.0,2020-01-05,", "6.5,2020-01-06,w"]
+    with open(path, "w") as fh:
+        fh.write("\n".join(["k,day,other", *rows]) + "\n")
+    good, bad = sources.divert_csv(spark, path, schema, os.path.join(tmp_root, "diverted"))
+    assert good.columns == schema.fieldNames()
+    assert {(r.k, str(r.day)) for r in good.collect()} == {(1, "2020-01-01"), (None, "None"), (5, "2020-01-05")}
+    got = {(json.loads(r.line)["k"], r.column, r.text) for r in bad.collect()}
+    assert got == {("2", "day", "soon"), ("three", "k", "three"), ("three", "day", "never"), ("6.5", "k", "6.5")}
+    assert good.count() + bad.select("file", "line").distinct().count() == len(rows)
+    assert {os.path.basename(r.file) for r in bad.collect()} == {"bad.csv"}
+    assert ", ".join(f"{n} {t}" for n, t in bad.dtypes) == sources.REJECTS
+    whole, _ = sources.divert_csv(spark, path, schema, os.path.join(tmp_root, "whole"), all_columns=True)
+    assert whole.columns == ["k", "day", "other"] and whole.filter("other = 'z'").count() == 1
+    # a file without bad values, and one without rows
+    for name, lines in (("fine.csv", rows[:1]), ("empty.csv", [])):
+        with open(os.path.join(tmp_root, name), "w") as fh:
+            fh.write("\n".join(["k,day,other", *lines]) + "\n")
+        good, bad = sources.divert_csv(spark, os.path.join(tmp_root, name), schema, os.path.join(tmp_root, name + ".out"))
+        assert good.count() == len(lines) and bad.count() == 0

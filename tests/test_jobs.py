@@ -47,6 +47,20 @@ def test_daily_change_job(spark, inputs):
     assert sources.read_table(spark, root, "Query1", "Average_Difference").count() == 16
 
 
+def test_bad_values_go_to_a_table_of_their_own(spark, inputs):
+    county, _, root = inputs
+    with open(county, "a") as fh:
+        names = schemas.COUNTY_DAILY.fieldNames()
+        fh.write(",".join({"geoid": "USA-9", "state": "Utah", "date": "not-a-date", "cases": "abc"}.get(c, "1") for c in names) + "\n")
+    common = ["--input", county, "--output-root", root, "--show", "0"]
+    with pytest.raises(Exception, match="cannot convert"):
+        peak_month.main(common)
+    assert peak_month.main([*common, "--bad-values", "divert"]) == 0
+    bad = sources.read_table(spark, root, "Rejects", "us-counties.csv")
+    assert {(r.column, r.text) for r in bad.collect()} == {("date", "not-a-date"), ("cases", "abc")}
+    assert {r.state for r in sources.read_table(spark, root, "Query2", "max_cases_per_year").collect()} >= {"Maine", "Ohio"}
+
+
 def test_peak_month_job(spark, inputs):
     county, _, root = inputs
     assert peak_month.main(["--input", county, "--output-root", root, "--show", "0"]) == 0
