@@ -91,6 +91,47 @@ def test_one_file_is_read_by_many_tasks_without_an_array_value(spark, tmp_root,
     assert found.exceptAll(events).isEmpty() and events.exceptAll(found).isEmpty()
 
 
+def shuffled_rows(plan):
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return shuffled_rows(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return shuffled_rows(plan.plan())
+    children = plan.children()
+    here = plan.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+    return here + sum(shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+@pytest.mark.parametrize("per_batch", [2, 7, 10_000])
+def test_records_within_a_split_are_not_shuffled(spark, tmp_root, small_splits, per_batch):
+    """Pieces of a record may come in several batches and splits; only what crosses the end of a split is shuffled."""
+    rng = random.Random(per_batch)
+    records = [record(rng) for _ in range(1500)] + [{"a": i, "s": "", "l": [{"y": j} for j in range(i)]} for i in (40, 400)] + [{"a": 1}]
+    for i in range(3):
+        with open(f"{tmp_root}/{i}.json", "w", encoding="utf-8") as f:
+            json.dump(records[i::3], f, ensure_ascii=i == 1, indent=i or None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "3")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(per_batch))
+    try:
+        found = sources.read_json_texts(spark, tmp_root)
+        texts = [r.text for r in found.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(json.dumps(json.loads(t)) for t in texts) == sorted(map(json.dumps, records))
+    assert all(t.startswith("{") and t.endswith("}") for t in texts)
+    splits = spark.read.text(tmp_root).rdd.getNumPartitions()
+    assert splits > 15 and shuffled_rows(found._jdf.queryExecution().executedPlan()) < len(records)
+
+
+@pytest.mark.parametrize("text", ["[1, {\"a\": 1}]", '["}", {"a": 1}]', '[{"a": 1}, "x{"]', '[{"a": 1}}]', '{"a": 1}}{{"a": 2}', '[{"a": 1}, 7, {"a": 1}]', '"x"', '[{"a": "}]'])
+def test_other_values_between_records_raise(spark, tmp_root, text):
+    with open(f"{tmp_root}/bad.json", "w") as f:
+        f.write(text)
+    with pytest.raises(Exception, match="bad.json: not an array of objects"):
+        sources.read_json_texts(spark, f"{tmp_root}/bad.json").collect()
+
+
 def test_layout_is_checked(spark, tmp_root):
     with pytest.raises(ValueError):
         sinks.write_json_records(spark.range(1), tmp_root, layout="table")
