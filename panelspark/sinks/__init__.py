@@ -116,8 +116,9 @@ def write_json_records(df: DataFrame, path: str, mode: str = "overwrite", per_ar
     chunk = F.floor(F.monotonically_increasing_id() / F.lit(per_array))
     options = {**TIMESTAMP_FORMATS, "pretty": str(indented).lower()}
     numbered = df.select(F.to_json(row, options).alias("json"), chunk.alias("chunk"))
-    # As many files as shuffle partitions, which jobs size by their input, so that reading them back is shared out as well.
-    spread = numbered.repartition(session.initial_partitions(df.sparkSession), "chunk")
+    # Lines: as many files as shuffle partitions, which jobs size by their input, so that reading them back is shared out as well. Documents have
+    # a file each; a fixed number of partitions would leave an empty one if the first has none.
+    spread = numbered.repartition("chunk") if indented else numbered.repartition(session.initial_partitions(df.sparkSession), "chunk")
     arrays = spread.groupBy("chunk").agg(F.array_join(F.collect_list("json"), ",\n" if indented else ",").alias("records"))
     opens, closes = ("[\n", "\n]") if indented else ("[", "]")
     writer = arrays.select(F.concat(F.lit(opens), "records", F.lit(closes)).alias("value")).write.mode(mode)
