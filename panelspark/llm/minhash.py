@@ -194,9 +194,24 @@ def similar_size(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def marked(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """``rows`` with ``marked``: true for all whose ``key`` is in ``wanted``, and for a few others. Nothing of ``rows`` is shuffled.
+
+    A bitmap of ``BITMAP_WORDS`` 64-bit words, the union of the wanted keys' hashed positions, is joined to the rows' own
+    positions. Its size is fixed, so it is broadcast; where many keys crowd it, more rows are marked than are asked for.
+    """
+    place = F.xxhash64(*key)
+    word, bit = F.pmod(place, F.lit(BITMAP_WORDS)).cast("int"), F.shiftright(place, 50).bitwiseAND(F.lit(63)).cast("int")
+    of_bit = f"bit_or(shiftleft(1L, cast(shiftright(xxhash64({', '.join(key)}), 50) & 63 AS INT)))"
+    marks = wanted.groupBy(word.alias("word")).agg(F.expr(of_bit).alias("marks"))
+    placed = rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(marks), "word", "left")
+    return placed.select(*rows.columns, F.expr("coalesce(shiftrightunsigned(marks, bit) & 1L = 1L, false)").alias("marked"))
+
+
 def screen(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose signatures survive the sequential comparison, with ``same``."""
     need = least_matches(percent / 100)
+    sigs = marked(sigs, ends_of(pairs), "node").filter("marked")
     both = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
     both = both.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b").select("a", "b", "sig_a", "sig_b")
 
@@ -321,17 +336,11 @@ def is_link(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
 def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """The columns of ``nodes``, of which all but ``node`` name a document, with ``hashes``: the full sets of these nodes.
 
-    ``docs`` has the columns that name a document and ``text`` as its last one. The texts are read again and not shuffled: a
-    bitmap of ``BITMAP_WORDS`` 64-bit words, the union of the nodes' hashed positions, is joined to the documents' own
-    positions. Its size is fixed, so it is broadcast; where many nodes crowd it, more sets are made than are asked for. Only the sets are joined.
+    ``docs`` has the columns that name a document and ``text`` as its last one. The texts are read again and not shuffled: only
+    the sets of the documents that :func:`marked` lets through are joined.
     """
     key = docs.columns[:-1]
-    place = F.xxhash64(*key)
-    word, bit = F.pmod(place, F.lit(BITMAP_WORDS)).cast("int"), F.shiftright(place, 50).bitwiseAND(F.lit(63)).cast("int")
-    of_bit = f"bit_or(shiftleft(1L, cast(shiftright(xxhash64({', '.join(key)}), 50) & 63 AS INT)))"
-    marks = nodes.groupBy(word.alias("word")).agg(F.expr(of_bit).alias("marks"))
-    wanted = docs.dropna(subset=key).withColumns({"word": word, "bit": bit}).join(F.broadcast(marks), "word")
-    wanted = wanted.filter(F.expr("shiftrightunsigned(marks, bit) & 1L = 1L"))
+    wanted = marked(docs.dropna(subset=key), nodes, *key).filter("marked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,16 +415,22 @@ def connected(sketch: DataFrame, sets: Callable[[DataFrame], DataFrame], percent
     named = sketch.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
     classes = named.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows"))
     copies = stored(classes.filter("rows > 1").select("set_key", "node"), "copies")
-    first = named.join(copies, "set_key", "left").filter("node IS NULL OR node = doc_id")
-    # Buckets of two nodes or more; their pivot is the smallest node.
+    # Bands are wide: only those of rows that may be copies are shuffled to tell a class's first row.
+    likely = marked(named.select("set_key", "doc_id", "n_shingles", "bands"), copies, "set_key")
+    first = likely.filter("marked").join(copies, "set_key", "left").filter("node IS NULL OR node = doc_id")
+    first = likely.filter("NOT marked").select("doc_id", "n_shingles", "bands").unionByName(first.select("doc_id", "n_shingles", "bands"))
+    # Buckets of two nodes or more; their pivot is the smallest node. Most buckets have one: these are shuffled as counts only.
     rows = first.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("pivot")).filter("m > 1")
-    members = stored(rows.join(shared, "bucket"), "members")
+    with temporary(spark) as counting:
+        shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("pivot")).filter("m > 1")
+        shared = stored(shared, "shared")
+        likely = marked(rows, shared, "bucket").filter("marked").drop("marked")
+        members = counting.kept(likely.join(shared, "bucket"), "members")
     sigs = named.select(F.col("doc_id").alias("node"), "sig", "bands")
     with temporary(spark) as star_round:
         pivots = members.filter("node = pivot").select("bucket", F.col("node").alias("q"), F.col("n").alias("nq"))
         star = members.filter("node <> pivot").join(pivots, "bucket").filter(similar_size("n", "nq", percent))
-        pairs = star.select(F.least("node", "q").alias("a"), F.greatest("node", "q").alias("b")).distinct()
+        pairs = stored(star.select(F.least("node", "q").alias("a"), F.greatest("node", "q").alias("b")).distinct(), "pairs")
         close = stored(screen(pairs, sigs, percent), "star")
         full = stored(sets(ends_of(close)), "sets")
         labels = star_round.kept(resolve(close, None, full, percent), "labels")
@@ -424,8 +439,9 @@ def connected(sketch: DataFrame, sets: Callable[[DataFrame], DataFrame], percent
         tagged = members.select("bucket", "node", "n", "m").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"))
         mixed = mixed.filter("lo <> hi AND c > 2").select("bucket")  # of two nodes, the star round has settled the pair
+        tagged = stored(tagged.join(mixed, "bucket"), "mixed")
         n_blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-        blocks = tagged.join(mixed, "bucket").join(sigs, "node").withColumns({"nb": n_blocks, "blk": F.pmod(F.hash("node"), n_blocks)})
+        blocks = tagged.join(marked(sigs, tagged, "node").filter("marked"), "node").withColumns({"nb": n_blocks, "blk": F.pmod(F.hash("node"), n_blocks)})
         blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         blocks = blocks.withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
         columns = [c.split()[0] for c in BLOCK_ROW.split(", ")]

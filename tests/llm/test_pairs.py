@@ -2,11 +2,13 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelspark.llm import components as components_module
 from panelspark.llm import minhash, queries, topk
 from panelspark.llm.components import components
 from tests.llm import brute
@@ -58,6 +60,55 @@ def test_blocks_find_what_the_star_leaves(spark, monkeypatch):
     assert got == brute.components(texts, 4)
 
 
+def test_marked_rows_hold_all_that_are_wanted(spark, monkeypatch):
+    rows = spark.range(5_000).withColumnRenamed("id", "node").withColumn("x", F.lit("x"))
+    wanted = spark.createDataFrame([(i,) for i in range(0, 5_000, 50)] + [(None,), (0,)], "node bigint")
+    for words, most in ((minhash.BITMAP_WORDS, 110), (1, 5_000)):  # one word is crowded: more rows, none lost
+        monkeypatch.setattr(minhash, "BITMAP_WORDS", words)
+        got = minhash.marked(rows, wanted, "node")
+        assert got.columns == ["node", "x", "marked"] and got.count() == 5_000
+        found = {r.node for r in got.filter("marked").collect()}
+        assert set(range(0, 5_000, 50)) <= found and len(found) <= most
+    assert minhash.marked(rows, wanted.limit(0), "node").filter("NOT marked").count() == 5_000
+
+
+def test_a_crowded_bitmap_changes_no_component(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BITMAP_WORDS", 1)
+    texts = copies(5)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 4).collect()} == brute.components(texts, 4)
+
+
+def test_texts_without_a_neighbour_shuffle_their_buckets_once(spark, monkeypatch):
+    """Signatures and bands of rows that no join uses are not shuffled, even where nothing is small enough to broadcast."""
+    files, stored = {}, minhash.stored
+    places = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled():
+        return {f: f.stat().st_size for d in places for f in Path(d).rglob("shuffle_*.data")}
+
+    def watched(*args, **options):
+        result = stored(*args, **options)
+        files.update(shuffled())
+        return result
+
+    monkeypatch.setattr(minhash, "stored", watched)
+    monkeypatch.setattr(components_module, "stored", watched)
+    rng = random.Random(6)
+    texts = [(i, " ".join(str(rng.random()) for _ in range(8))) for i in range(3_000)]
+    texts += [(3_000 + i, texts[i][1].replace("0", "O")) for i in range(5)] + [(4_000 + i, texts[i][1]) for i in range(5)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    before = set(shuffled())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = minhash.near_duplicates(docs, 4).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == len(texts) and sum(not r.kept for r in rows) == 5
+    volume = sum(n for f, n in files.items() if f not in before)
+    assert volume / len(texts) < 1_200  # 620 bytes a text; 2,750 when every row's bands go through each join
+
+
 def test_block_rows_and_links_join_every_label(spark):
     """Equal signatures, sets of four families: the labels of a family are joined, whatever the cut into blocks."""
     n, nb = 40, 4
