@@ -10,8 +10,9 @@ bytes), so every text is tokenized once and the layout stays the same if an exec
 leftovers, a bounded number per partition, are packed again.
 
 Tokenizing: texts are cut at single spaces and line breaks, where the byte-level vocabulary's splitting
-rule starts a new piece anyway; each distinct piece of a batch is looked up in a bounded table of remembered ids. Texts with
-other blanks go to the tokenizer as they are.
+rule starts a new piece anyway; each distinct piece of a batch is looked up in a bounded table of remembered ids, an Arrow
+array of pieces beside numpy arrays, so that a worker holds no object for each of them. Texts with other blanks go to the
+tokenizer as they are.
 
 Defined cases: a null or empty text is the end id alone; a text of any length is cut into whole windows;
 repeated rows are packed as often as they occur; an empty table gives an empty result; columns other than the
@@ -39,14 +40,17 @@ from panelspark.llm.runs import batches_of, within
 WINDOW = 2048
 OPEN_WINDOWS = 64
 MERGE_PARTITIONS = 32  # partitions whose leftovers meet in one task: at most OPEN_WINDOWS windows each
-MEMORY_PIECES = 400_000  # remembered pieces per worker
+MEMORY_PIECES = 200_000  # remembered pieces per worker
+MEMORY_BYTES = 4 << 20  # and bytes of them
+LONG_PIECE = 64  # bytes; longer pieces seldom come again and are the first to be forgotten
 END_ID = 1
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 _LAID = PIECES + ", leftover boolean"
 _ARROW = {"bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
-JOINED = 20_000  # new pieces encoded in one go
-BATCH_BYTES = 4 << 20  # of text tokenized at once, or one longer text
+JOINED = 5_000  # new pieces encoded in one go
+BATCH_BYTES = 2 << 20  # of text tokenized at once, or one longer text
+PART_BYTES = 1 << 18  # of text whose ids are laid out at once, or one longer text
 
 
 def default_tokenizer() -> str:
@@ -68,7 +72,7 @@ class Tokenizer:
     The byte-level splitting rule starts a new piece at every single blank: a space goes to the piece
     after it, a line break stands before its own. So where blanks are single spaces and line breaks, the ids of a
     text are the ids of its pieces. Arrow cuts a batch of such texts and finds the distinct pieces; those seen before are
-    remembered, and of too many the more frequent half is kept. New pieces of the common alphabets go to the encoder built from the
+    remembered, and of too many (in number or bytes) the more frequent half is kept, but for long ones. New pieces of the common alphabets go to the encoder built from the
     ranks (same ids, faster), all others, and texts with other blanks, to the tokenizer.
     """
 
@@ -87,80 +91,106 @@ class Tokenizer:
         self.file = File.from_file(path)
         self.fast, self.token_bytes = _ranked(ranks) if ranks else (None, None)
         self.memory = memory
-        self.number: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.flat, self.ends, self.times = np.empty(0, np.uint32), np.zeros(1, np.int64), np.empty(0, np.int64)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.file.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after the other, and how many each has."""
-        texts = pa.array(pieces, pa.string())
         # The special token's text is left to the tokenizer, and a text's first piece too if it has no blank before it.
         joinable = np.zeros(len(pieces), bool)
         if self.fast:
-            joinable = pc.match_substring_regex(texts, self.COMMON).to_numpy(zero_copy_only=False)
-            joinable &= ~pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+            joinable = pc.match_substring_regex(pieces, self.COMMON).to_numpy(zero_copy_only=False)
+            joinable &= ~pc.match_substring(pieces, "<|").to_numpy(zero_copy_only=False)
         sizes = np.zeros(len(pieces), np.int64)
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        easy = np.flatnonzero(joinable)
-        for some in np.array_split(easy, -(-len(easy) // JOINED)) if len(easy) else ():
+        easy, hard = np.flatnonzero(joinable), np.flatnonzero(~joinable)
+        for at in range(0, len(easy), JOINED):
             # Each starts with a blank, so in a row they are cut where they begin.
-            ids = np.asarray(self.fast("".join([pieces[i] for i in some])), np.int64)
-            stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(pc.binary_length(texts.take(pa.array(some))).to_numpy())) + 1
+            some = easy[at : at + JOINED]
+            texts = pieces.take(pa.array(some))
+            ids = np.asarray(self.fast("".join(texts.to_pylist())), np.uint32)
+            stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(pc.binary_length(texts).to_numpy())) + 1
             sizes[some] = np.diff(stops, prepend=0)
             found.append((some, ids))
-        hard = np.flatnonzero(~joinable)
-        if len(hard):
-            encoded = self._ids([pieces[i] for i in hard])
-            sizes[hard] = [len(ids) for ids in encoded]
-            found.append((hard, np.fromiter(chain.from_iterable(encoded), np.int64)))
+        for at in range(0, len(hard), JOINED):
+            some = hard[at : at + JOINED]
+            encoded = self._ids(pieces.take(pa.array(some)).to_pylist())
+            sizes[some] = [len(ids) for ids in encoded]
+            found.append((some, np.fromiter(chain.from_iterable(encoded), np.uint32)))
         starts, flat = np.cumsum(sizes) - sizes, np.empty(int(sizes.sum()), np.uint32)
         for some, ids in found:
             flat[np.repeat(starts[some], sizes[some]) + within(sizes[some])] = ids
         return flat, sizes
 
-    def _learn(self, pieces: list[str]) -> np.ndarray:
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
         """The numbers of these distinct pieces; the new ones get theirs and their ids."""
-        known, number = self.number, len(self.number)
-        new = [p for p in pieces if p not in known]
-        if new:
-            known.update(zip(new, range(number, number + len(new))))
+        numbers = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy().astype(np.int64)
+        fresh = numbers < 0
+        if fresh.any():
+            new = pieces.filter(pa.array(fresh))
+            numbers[fresh] = np.arange(len(self.known), len(self.known) + len(new))
             ids, sizes = self._encode(new)
+            self.known = pa.concat_arrays([self.known, new])
             self.flat = np.concatenate([self.flat, ids])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
             self.times = np.concatenate([self.times, np.zeros(len(new), np.int64)])
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        return numbers
 
     def _forget(self) -> None:
-        """Keep the more frequent half of the memory."""
-        kept = np.sort(np.argsort(-self.times, kind="stable")[: self.memory // 2])
-        pieces = list(self.number)
+        """Keep the more frequent half of the memory, without long pieces and within half of the bytes."""
+        length = pc.binary_length(self.known).to_numpy()
+        kept = np.argsort(-np.where(length > LONG_PIECE, -1, self.times), kind="stable")[: self.memory // 2]
+        kept = kept[length[kept] <= LONG_PIECE]
+        kept = np.sort(kept[np.cumsum(length[kept]) <= MEMORY_BYTES // 2])
         sizes = np.diff(self.ends)[kept]
         self.flat = self.flat[np.repeat(self.ends[kept], sizes) + within(sizes)]
         self.ends, self.times = np.concatenate([[0], np.cumsum(sizes)]), self.times[kept]
-        self.number = {pieces[k]: i for i, k in enumerate(kept.tolist())}
-
-    def batch(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
-        """Ids of each text, without the end id."""
-        if len(self.number) > self.memory:
+        self.known = self.known.take(pa.array(kept, pa.int64()))
+
+    def _remembered(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces of these numbers one after the other, and where each piece's begin (with the end)."""
+        first, stops = self.ends[rows], np.zeros(len(rows) + 1, np.int64)
+        np.cumsum(self.ends[rows + 1] - first, out=stops[1:])
+        at = np.repeat(first - stops[:-1], np.diff(stops))
+        at += np.arange(len(at))
+        return self.flat[at], stops
+
+    def batch(self, texts: pa.Array | list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text in turn, without the end id."""
+        if len(self.known) > self.memory or pc.sum(pc.binary_length(self.known), min_count=0).as_py() > MEMORY_BYTES:
             self._forget()
         texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         odd = pc.match_substring_regex(texts, self.ODD).to_numpy(zero_copy_only=False)
         cut = texts.filter(pa.array(~odd))
+        parts = list(batches_of(cut, PART_BYTES))
         for blank in " \n":
             cut = pc.replace_substring(cut, blank, self.CUT + blank)
         lists = pc.split_pattern(cut, self.CUT)
-        distinct = lists.flatten().dictionary_encode()
-        numbers, places = self._learn(distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), distinct.indices.to_numpy()
+        offsets, distinct = lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
+        del cut, lists
+        numbers, places = self._learn(distinct.dictionary), distinct.indices.to_numpy()
         self.times[numbers] += np.bincount(places, minlength=len(numbers))
-        rows = numbers[places]
-        first, sizes = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
-        ids = self.flat[np.repeat(first, sizes) + within(sizes)]
-        stops = np.concatenate([[0], np.cumsum(sizes)])[lists.offsets.to_numpy()]
-        whole = iter(self._ids(texts.filter(pa.array(odd)).to_pylist()))
-        pieces = iter(zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True))
-        return [np.asarray(next(whole), np.uint32) if o else ids[slice(*next(pieces))] for o in odd.tolist()]
+
+        def even() -> Iterator[np.ndarray]:
+            for part in parts:
+                at = offsets[part.start : part.stop + 1]
+                ids, stops = self._remembered(numbers[places[at[0] : at[-1]]])
+                bounds = stops[at - at[0]].tolist()
+                for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
+                    yield ids[start:stop]
+
+        def others() -> Iterator[np.ndarray]:
+            whole = texts.filter(pa.array(odd))
+            for part in batches_of(whole, PART_BYTES):
+                for ids in self._ids(whole[part].to_pylist()):
+                    yield np.asarray(ids, np.uint32)
+
+        cut_up, as_they_are = even(), others()
+        for o in odd.tolist():
+            yield next(as_they_are if o else cut_up)
 
 
 def _ranked(path: str):
@@ -245,8 +275,10 @@ def _layout(window: int, most: int, tokenizer_path: str | None):
                         rest = len(ids) - full
                         if held := spaces.add(rest, (doc, full, rest, ids[full:].tobytes(), len(ids))):
                             rows += emit(held)
+                del some
                 if rows:
                     yield batch_of(rows)
+            del batch  # before the next one is read
         if spaces.held:
             yield batch_of([row for held in spaces.held for row in emit(held, leftover=True)])
 

@@ -1,11 +1,14 @@
 """Chat rotation and packing: exact round trips and odd rows; the pipeline's stages."""
 
+import gc
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,6 +200,44 @@ def test_pieces_give_the_ids_of_the_whole_text(tokenizer):
             assert [g.tolist() for g in got] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in odd]
 
 
+@pytest.mark.parametrize(("memory", "limit", "long"), [(60, 10**6, 8), (10**6, 400, 8), (10**6, 400, 0), (50, 0, 10**6)])
+def test_ids_when_long_pieces_are_forgotten(tokenizer, monkeypatch, memory, limit, long):
+    monkeypatch.setattr(packing, "MEMORY_BYTES", limit)
+    monkeypatch.setattr(packing, "LONG_PIECE", long)
+    monkeypatch.setattr(packing, "JOINED", 7)
+    monkeypatch.setattr(packing, "PART_BYTES", 300)
+    rng = random.Random(memory + limit)
+    own = packing.Tokenizer(packing.default_tokenizer(), packing.default_ranks(), memory)
+    for k in range(12):
+        words = ["the", "l'eau,", "漢字" * k, "x" * 40, f"w{k}-{rng.random()}", "é<|endoftext|>", "a" * rng.randint(1, 99)]
+        texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(0, 40))] + ["a  b", None] * (k % 3)
+        expected = [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        assert [g.tolist() for g in own.batch(texts)] == expected
+
+
+def held_mb(own, batches):
+    """MB that a tokenizer still holds after some batches of texts, in Python, numpy and Arrow."""
+    gc.collect()
+    tracemalloc.start()
+    try:
+        arrow = pa.total_allocated_bytes()
+        for texts in batches:
+            for _ in own.batch(texts):
+                pass
+        gc.collect()
+        return (tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow) / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_tokenizer_holds_little_for_what_it_remembers():
+    """A hundred thousand pieces, of which none is an object of its own, and then a batch or so of long ones, however many there were."""
+    own = packing.Tokenizer(packing.default_tokenizer(), packing.default_ranks())
+    assert held_mb(own, ([" ".join(f"w{i * 7919}" for i in range(k, k + 500)) for k in range(at, at + 20_000, 500)] for at in range(0, 100_000, 20_000))) < 8
+    own = packing.Tokenizer(packing.default_tokenizer(), packing.default_ranks())
+    assert held_mb(own, ([" ".join(f"{i}," + "of/the/" * 100 for i in range(k, k + 50)) for k in range(at, at + 1_500, 50)] for at in range(0, 12_000, 1_500))) < 20
+
+
 def test_open_windows_place_best_fit_and_emit_the_fullest():
     spaces = packing.OpenWindows(10, 2)
     assert spaces.add(6, "a") is None and spaces.add(7, "b") is None
